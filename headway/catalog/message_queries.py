@@ -15,7 +15,7 @@ from headway.operators.filters import split_required
 from headway.operators.sampling import sample_by_gap
 from headway.plans import demand, tracks, weather
 from headway.plans import traffic as traffic_plan
-from headway.schemas import TICKET_MESSAGE
+from headway.schemas import TICKET_MESSAGE, schema
 from headway.sinks.tables import prediction_log, to_messages
 from headway.sources import messages as m
 
@@ -96,7 +96,7 @@ def f2_recent_for_route(v: Views):
     return m.recent_for_route(v.predictions, "7", order).select("prediction_id", "timestamp")
 
 
-_MESSAGE_FIELDS = "user string, kind string, level int"
+_MESSAGE_FIELDS = schema("user string, kind string, level int")
 
 
 @query(
@@ -105,7 +105,7 @@ _MESSAGE_FIELDS = "user string, kind string, level int"
     "messages",
 )
 def x8_decoded_messages(v: Views):
-    return m.parse_messages(v.messages, m.StructType.fromDDL(_MESSAGE_FIELDS), ["offset"])
+    return m.parse_messages(v.messages, _MESSAGE_FIELDS, ["offset"])
 
 
 @query(
@@ -113,8 +113,7 @@ def x8_decoded_messages(v: Views):
     "messages",
 )
 def x8_rejected_messages(v: Views):
-    schema = m.StructType.fromDDL(_MESSAGE_FIELDS)
-    return m.split_messages(v.messages, schema)[1].select("offset", "value")
+    return m.split_messages(v.messages, _MESSAGE_FIELDS)[1].select("offset", "value")
 
 
 @query(

@@ -138,7 +138,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
       SELECT t.trip_id AS trip_id_x, t.last AS timestamp_x, t.passengers_in, t.school, t.hospital,
         s.passengers_out, p.peak_hour, tr.traffic_level, tr.timestamp AS traffic_time,
         tr.measurement_id AS traffic_id, w.temperature, w.precipitation_probability,
-        w.weather_code, (e.day_event IS NOT NULL)::INTEGER AS event_dummy,
+        w.weather_code, (t.day IN (SELECT day_event FROM city_events))::INTEGER AS event_dummy,
         extract(hour FROM t.last) * 3600 + extract(minute FROM t.last) * 60
           + floor(extract(second FROM t.last)) AS seconds
       FROM (SELECT trip_id, timestamp::DATE AS day, count(fare) AS passengers_in,
@@ -153,7 +153,6 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         ON t.trip_id = p.trip_id
       LEFT JOIN trips ON t.trip_id = trips.trip_id
       LEFT JOIN traffic tr ON trips.shape_id IS NOT DISTINCT FROM tr.shape_id
-      LEFT JOIN city_events e ON e.day_event = t.day
       ASOF LEFT JOIN weather w ON t.last >= w.hour
     )
     WHERE peak_hour IS NOT NULL AND temperature IS NOT NULL AND weather_code IS NOT NULL

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators.keyed import first_per_key
@@ -26,29 +26,37 @@ def insert_if_absent(
     return firsts.join(existing.select(key), key, "left_anti").select(*incoming.columns)
 
 
-def message_fields(messages: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def message_fields(
+    messages: DataFrame, unique: Column, order: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
     """K3, first half: (key, field, value, position) for every field a JSON message carries.
 
-    An explicit null is a value; a field that a message does not carry yields no row. Messages
-    without the key field, or that are not JSON objects, are dropped. Values are JSON text.
+    ``unique`` is the name of the field that identifies a document. An explicit null is a value; a
+    field that a message does not carry yields no row. Messages without the unique field, or that
+    are not JSON objects, are dropped. Values are JSON text.
     """
-    fields = F.from_json("value", "map<string,string>")
     return (
-        messages.select(fields.alias("_fields"), F.struct(*order).alias("position"))
-        .filter(F.map_contains_key("_fields", key))
+        messages.select(
+            *keep,
+            F.from_json("value", "map<string,string>").alias("_fields"),
+            unique.alias("_unique"),
+            F.struct(*order).alias("position"),
+        )
+        .filter(F.map_contains_key(F.col("_fields"), F.col("_unique")))
         .select(
-            F.col("_fields")[key].alias(key),
+            *keep,
+            F.col("_fields")[F.col("_unique")].alias("key"),
             "position",
             F.explode("_fields").alias("field", "value"),
         )
-        .select(key, "field", "value", "position")
+        .select(*keep, "key", "field", "value", "position")
     )
 
 
-def latest_fields(fields: DataFrame, key: str) -> DataFrame:
+def latest_fields(fields: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """K3: the last value of every (key, field). Feeding results back in with newer rows is fine:
     the reduction is associative, and map tasks combine before the shuffle."""
-    return fields.groupBy(key, "field").agg(
+    return fields.groupBy(*keep, "key", "field").agg(
         F.max_by("value", "position").alias("value"), F.max("position").alias("position")
     )
 
@@ -60,9 +68,11 @@ def documents(fields: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
         for name in names
         if name != key
     ]
-    return fields.groupBy(key).agg(*named)
+    return fields.groupBy(F.col("key").alias(key)).agg(*named)
 
 
-def upsert_latest(messages: DataFrame, key: str, order: Sequence[str], names: Sequence[str]):
+def upsert_latest(
+    messages: DataFrame, key: str, order: Sequence[str], names: Sequence[str]
+) -> DataFrame:
     """Q14: JSON messages to one row per key; later fields overwrite, absent fields stay."""
-    return documents(latest_fields(message_fields(messages, key, order), key), key, names)
+    return documents(latest_fields(message_fields(messages, F.lit(key), order)), key, names)

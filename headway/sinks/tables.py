@@ -19,9 +19,10 @@ BATCH = "batch_id"
 VERSION = "version"
 
 
-def write_part(df: DataFrame, path: str, batch_id: int) -> None:
-    """K1: the part of one batch. Repeating a batch replaces its part."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def write_part(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
+    """K1: the part of one batch, within it a folder per value of ``by``. Repeating a batch
+    replaces its part."""
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_parts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

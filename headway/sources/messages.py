@@ -13,10 +13,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from headway import constants as K
 from headway.functions.times import parse_timestamp
+from headway.schemas import schema
 
-MESSAGE_SCHEMA = StructType.fromDDL(
-    "topic string, partition int, offset long, value string"
-)
+MESSAGE_SCHEMA = schema("topic string, partition int, offset long, value string")
 _BROKEN = "_broken"
 
 
@@ -51,23 +50,23 @@ def file_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFra
 
 
 def parse_messages(
-    messages: DataFrame, schema: StructType, keep: Sequence[str] = ()
+    messages: DataFrame, fields: StructType, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Fields of the messages, ``timestamp`` zone-free. Undecodable messages are dropped."""
-    return split_messages(messages, schema, keep)[0]
+    return split_messages(messages, fields, keep)[0]
 
 
 def split_messages(
-    messages: DataFrame, schema: StructType, keep: Sequence[str] = ()
+    messages: DataFrame, fields: StructType, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(decoded rows, undecodable messages). A wrong field type rejects the message."""
-    wanted = StructType([*schema.fields, StructField(_BROKEN, StringType())])
+    wanted = StructType([*fields.fields, StructField(_BROKEN, StringType())])
     data = F.from_json("value", wanted, {"columnNameOfCorruptRecord": _BROKEN})
     parsed = messages.withColumn("_data", data)
     broken = F.col("_data").isNull() | F.col(f"_data.{_BROKEN}").isNotNull()
-    fields = [F.col(f"_data.{name}").alias(name) for name in schema.names]
-    good = parsed.filter(~broken).select(*keep, *fields)
-    if "timestamp" in schema.names and schema["timestamp"].dataType == StringType():
+    columns = [F.col(f"_data.{name}").alias(name) for name in fields.names]
+    good = parsed.filter(~broken).select(*keep, *columns)
+    if "timestamp" in fields.names and fields["timestamp"].dataType == StringType():
         good = good.withColumn("timestamp", parse_timestamp(F.col("timestamp")))
     return good, parsed.filter(broken).drop("_data")
 
