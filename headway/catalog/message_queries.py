@@ -187,7 +187,7 @@ def k9_sent_messages(v: Views):
 
 @query(
     """SELECT stop_id, passenger_type, count(*) AS tickets, sum(fare) AS fares,
-  min(ticket_id) AS first_id, max(ticket_id) AS last_id
+  sum(length(ticket_id))::BIGINT AS id_characters
 FROM (SELECT stop_id, CASE n % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'student' ELSE 'senior' END
     AS passenger_type, CASE n % 3 WHEN 0 THEN 2.5::DOUBLE WHEN 1 THEN 1.25::DOUBLE
     ELSE 1::DOUBLE END AS fare,
@@ -202,14 +202,13 @@ def q10_tickets(v: Views):
     return tickets.groupBy("stop_id", "passenger_type").agg(
         F.count("*").alias("tickets"),
         F.sum("fare").alias("fares"),
-        F.min("ticket_id").alias("first_id"),
-        F.max("ticket_id").alias("last_id"),
+        F.sum(F.length("ticket_id")).alias("id_characters"),
     )
 
 
 @query(
     """SELECT stop_id, bus_id, count(*) AS readings, sum(status)::BIGINT AS statuses,
-  min(measurement_id) AS first_id, max(measurement_id) AS last_id
+  sum(length(measurement_id))::BIGINT AS id_characters
 FROM (SELECT stop_id, bus_id, 1 AS status,
     stop_id || '-' || route || '-' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '-'
       || prediction_id::VARCHAR || '-' || n::VARCHAR AS measurement_id
@@ -222,8 +221,7 @@ def q10_sensors(v: Views):
     return sensors.groupBy("stop_id", "bus_id").agg(
         F.count("*").alias("readings"),
         F.sum("status").alias("statuses"),
-        F.min("measurement_id").alias("first_id"),
-        F.max("measurement_id").alias("last_id"),
+        F.sum(F.length("measurement_id")).alias("id_characters"),
     )
 
 
@@ -239,11 +237,12 @@ GROUP BY stop_id, day""",
 )
 def j16_dated_departures(v: Views):
     dated = dated_schedule(v.stop_times, date(2024, 1, 1), date(2024, 1, 7), "departure_time")
-    return dated.groupBy("stop_id", F.col("service_day").cast("string").alias("service_day")).agg(
+    departures = dated.groupBy("stop_id", "service_day").agg(
         F.count("*").alias("departures"),
         F.min("timestamp").alias("first_departure"),
         F.max("timestamp").alias("last_departure"),
     )
+    return departures.withColumn("service_day", F.col("service_day").cast("string"))
 
 
 # Geometry

@@ -34,9 +34,12 @@ class Views:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._samples: dict[str, DataFrame] = {}
 
     def sample(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._samples:
+            self._samples[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._samples[name]
 
     @cached_property
     def events(self) -> DataFrame:
@@ -229,9 +232,9 @@ class Views:
 
     @cached_property
     def stop_times(self) -> DataFrame:
-        clock = F.format_string(
-            "%02d:%02d:00", F.col("l_partkey") % 20 + 5, F.col("l_suppkey") % 60
-        )
+        hour = F.lpad(_text(F.col("l_partkey") % 20 + 5), 2, "0")
+        minute = F.lpad(_text(F.col("l_suppkey") % 60), 2, "0")
+        clock = F.concat_ws(":", hour, minute, F.lit("00"))
         return self.sample("lineitem").select(
             _text(F.col("l_orderkey")).alias("trip_id"),
             F.col("l_suppkey").alias("stop_id"),

@@ -32,9 +32,9 @@ def dated_schedule(timetable: DataFrame, first: date, last: date, time_of_day: s
     clock = F.make_dt_interval(
         F.lit(0), parts[0].cast("int"), parts[1].cast("int"), parts[2].cast("decimal(18,6)")
     )
-    return timetable.select("*", F.explode(days).alias("service_day")).withColumn(
-        "timestamp", F.col("service_day").cast("timestamp_ntz") + clock
-    )
+    dated = timetable.withColumn("_clock", clock).select("*", F.explode(days).alias("service_day"))
+    start = F.col("service_day").cast("timestamp_ntz")
+    return dated.withColumn("timestamp", start + F.col("_clock")).drop("_clock")
 
 
 def melt(

@@ -2,29 +2,28 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the row that comes first in ``order`` for every key.
+    """Keep the row that comes first in ``order`` for every key; NULLs come first.
 
-    An aggregate, not a window: each map task already sends at most one row per key, so a key that
-    holds most of the table does not end up in one task.
+    Spark applies the rank limit before the shuffle as well as after it, so each map task sends one
+    row per key at most, and a key that holds much of the table does not end up in one task.
+    Columns that are dropped later are not read.
     """
-    return _pick(df, keys, order, F.min_by)
+    return _ranked(df, keys, [F.col(name).asc() for name in order])
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return _pick(df, keys, order, F.max_by)
+    """Keep the row that comes last in ``order`` for every key; NULLs come first."""
+    return _ranked(df, keys, [F.col(name).desc() for name in order])
 
 
-def _pick(df, keys, order, by):
-    rest = [name for name in df.columns if name not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    kept = df.groupBy(*keys).agg(by(F.struct(*rest), F.struct(*order)).alias("kept"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}").alias(c) for c in df.columns])
+def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,7 +1,9 @@
 """Greedy sampling by minimum gap."""
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,26 +56,32 @@ def sample_by_gap(
         .select(key, "_stretch", ts)
         .repartition(key, "_stretch")
         .sortWithinPartitions(key, "_stretch", ts)
-        .mapInPandas(_keeper(key, ts, pd.Timedelta(seconds=gap_seconds)), schema)
+        .mapInPandas(_keeper(key, ts, np.timedelta64(gap_seconds, "s")), schema)
     )
 
 
-def _keeper(key: str, ts: str, gap: pd.Timedelta):
+def _keeper(key: str, ts: str, gap: np.timedelta64):
+    """The function for the tasks. It refers to nothing else in this package, so that it travels
+    with the query and workers need no copy of the package."""
+
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unit, last = None, None
         for batch in batches:
+            moments = batch[ts].to_numpy()
+            step = gap.astype(moments.dtype.str.replace("M8", "m8")).astype("int64").item()
+            ticks = moments.astype("int64").tolist()
+            keys, stretches = batch[key].to_numpy(), batch["_stretch"].to_numpy()
+            changed = (keys[1:] != keys[:-1]) | (stretches[1:] != stretches[:-1])
+            bounds = [0, *(np.flatnonzero(changed) + 1).tolist(), len(ticks)]
             kept = []
-            for name, group in batch.groupby([key, "_stretch"], sort=False):
-                if name != unit:
-                    unit, last = name, None
-                moments = group[ts]
-                at = 0 if last is None else int(moments.searchsorted(last + gap, side="right"))
-                while at < len(moments):
-                    last = moments.iloc[at]
-                    kept.append((unit[0], last))
-                    at = int(moments.searchsorted(last + gap, side="right"))
-            if kept:
-                yield pd.DataFrame(kept, columns=[key, ts])
+            for begin, end in zip(bounds, bounds[1:]):
+                if (keys[begin], stretches[begin]) != unit:
+                    unit, last = (keys[begin], stretches[begin]), None
+                at = begin if last is None else bisect_right(ticks, last + step, begin, end)
+                while at < end:
+                    kept.append(at)
+                    last = ticks[at]
+                    at = bisect_right(ticks, last + step, at + 1, end)
+            yield batch[[key, ts]].iloc[kept]
 
     return keep
-

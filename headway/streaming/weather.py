@@ -33,31 +33,31 @@ def replace_weather(
     return start(messages, each_batch, checkpoint, every)
 
 
-class GapSampler(StatefulProcessor):
-    """Remembers the last kept moment of a key, and nothing else."""
+def _gap_sampler(key_name: str, ts: str, start: str, gap_seconds: int) -> StatefulProcessor:
+    """A processor that remembers the last kept moment of a key, and nothing else. Defined in here
+    so that it travels with the query and workers need no copy of the package."""
 
-    def __init__(self, key: str, ts: str, start: str, gap_seconds: int):
-        self.key, self.ts = key, ts
-        self.start, self.gap = pd.Timestamp(start), pd.Timedelta(seconds=gap_seconds)
+    class GapSampler(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("last", "micros long")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "micros long")
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+            last, gap = pd.Timestamp(start), pd.Timedelta(seconds=gap_seconds)
+            if self.last.exists():
+                last = pd.Timestamp(self.last.get()[0], unit="us")
+            kept = []
+            for moment in sorted(set().union(*[batch[ts].dropna() for batch in rows])):
+                if moment > last + gap:
+                    last = moment
+                    kept.append(moment)
+            if kept:
+                self.last.update((last.value // 1000,))
+                yield pd.DataFrame({key_name: [key[0]] * len(kept), ts: kept})
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-        last = self.start
-        if self.last.exists():
-            last = pd.Timestamp(self.last.get()[0], unit="us")
-        kept = []
-        for moment in sorted(set().union(*[batch[self.ts].dropna() for batch in rows])):
-            if moment > last + self.gap:
-                last = moment
-                kept.append(moment)
-        if kept:
-            self.last.update((last.value // 1000,))
-            yield pd.DataFrame({self.key: [key[0]] * len(kept), self.ts: kept})
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return GapSampler()
 
 
 def sample_stream(
@@ -71,7 +71,7 @@ def sample_stream(
     a later batch than rows after them, are not kept. Needs the RocksDB state store."""
     moments = stream.filter(F.col(key).isNotNull()).select(key, ts)
     return moments.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=GapSampler(key, ts, start, gap_seconds),
+        statefulProcessor=_gap_sampler(key, ts, start, gap_seconds),
         outputStructType=moments.schema,
         outputMode="Append",
         timeMode="None",
