@@ -24,17 +24,14 @@ def asof_backward(
     meets the intervals of its own day only, and exactly one of them matches. Left rows before the
     first right row get NULLs; of equal right times the last in ``tie`` order counts.
     """
-    steps = (
-        last_per_key(
-            right.filter(F.col(right_on).isNotNull()).select(right_on, *values, *tie),
-            [right_on],
-            list(tie) or list(values),
-        )
-        .withColumnRenamed(right_on, "_start")
+    timed = (
+        right.filter(F.col(right_on).isNotNull())
+        .select(F.col(right_on).alias("_start"), *values, *[n for n in tie if n not in values])
         .withColumn("_day", F.to_date("_start"))
     )
+    steps = last_per_key(timed, ["_start", "_day"], list(tie) or list(values))
     # One row per calendar day that has right rows: this window stays small at any data size.
-    days = steps.groupBy("_day").agg(F.min("_start").alias("_day_start"))
+    days = timed.groupBy("_day").agg(F.min("_start").alias("_day_start"))
     calendar = Window.orderBy("_day")
     following = days.select(
         "_day",
@@ -54,7 +51,7 @@ def asof_backward(
         F.coalesce("_end", "_next_start").alias("_end"),
         *values,
     )
-    last_day = days.agg(F.max("_day")).scalar()
+    last_day = timed.agg(F.max("_day")).scalar()
     placed = left.withColumn("_left_day", F.least(F.to_date(left_on), last_day))
     matches = (
         (F.col("_left_day") == F.col("_day"))

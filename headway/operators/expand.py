@@ -15,6 +15,15 @@ def repeat_rows(df: DataFrame, count: Column, position: str) -> DataFrame:
     return df.filter(count >= 1).select("*", F.explode(numbers).alias(position))
 
 
+def with_parsed(df: DataFrame, name: str, parsed: Column) -> DataFrame:
+    """Add a costly column, computed once per row.
+
+    Filters on a plain column move below the projection that defines it, and each then computes it
+    again. They do not move below a generator.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def explode_arrays(df: DataFrame, arrays: Sequence[str]) -> DataFrame:
     """C11: parallel arrays to one row per element, other columns repeated."""
     rest = [name for name in df.columns if name not in arrays]

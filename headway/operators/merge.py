@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.operators.expand import with_parsed
 from headway.operators.keyed import first_per_key
 
 
@@ -35,12 +36,10 @@ def message_fields(
     field that a message does not carry yields no row. Messages without the unique field, or that
     are not JSON objects, are dropped. Values are JSON text.
     """
+    parsed = with_parsed(messages, "_fields", F.from_json("value", "map<string,string>"))
     return (
-        messages.select(
-            *keep,
-            F.from_json("value", "map<string,string>").alias("_fields"),
-            unique.alias("_unique"),
-            F.struct(*order).alias("position"),
+        parsed.select(
+            *keep, "_fields", unique.alias("_unique"), F.struct(*order).alias("position")
         )
         .filter(F.map_contains_key(F.col("_fields"), F.col("_unique")))
         .select(

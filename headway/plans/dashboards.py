@@ -115,9 +115,10 @@ def route_map(
 ) -> DataFrame:
     """Q7: shape points and stops of the map trip of a route, or of all routes."""
     chosen = map_trips(trips, routes, route).select("route_short_name", "trip_id", "shape_id")
-    latest = latest_congestion(features).withColumnRenamed("trip_id_x", "trip_id")
+    shown = chosen.select(F.col("trip_id").alias("trip_id_x"))
+    latest = latest_congestion(features.join(shown, "trip_id_x", "left_semi"))
     points = (
-        chosen.join(latest, "trip_id", "left")
+        chosen.join(latest.withColumnRenamed("trip_id_x", "trip_id"), "trip_id", "left")
         .join(shapes, "shape_id")
         .select(
             "route_short_name",

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import constants as K
@@ -20,8 +20,12 @@ def first_predictions(predictions: DataFrame, order: Sequence[str]) -> DataFrame
     return first_per_key(known, ["prediction_id"], order)
 
 
-def _row_id() -> Column:
-    return composite_id("stop_id", "route", "timestamp", "prediction_id", "position")
+def _numbered(predictions: DataFrame, count: str, name: str) -> DataFrame:
+    """A row per passenger with an id. All of the id but the position is put together
+    once per prediction."""
+    prefix = composite_id("stop_id", "route", "timestamp", "prediction_id")
+    copies = repeat_rows(predictions.withColumn("_prefix", prefix), F.col(count), "position")
+    return copies.withColumn(name, composite_id("_prefix", "position"))
 
 
 def tickets_of(predictions: DataFrame) -> DataFrame:
@@ -30,12 +34,11 @@ def tickets_of(predictions: DataFrame) -> DataFrame:
     Passenger types take turns. Ids hold the prediction id and the position in it, so they are
     unique and come out the same when a task runs again.
     """
-    boarding = repeat_rows(predictions, F.col("predicted_passengers_in"), "position")
     types = F.array(*[F.lit(name) for name in K.FARES])
-    return boarding.withColumn(
-        "passenger_type", types[F.pmod(F.col("position"), F.lit(len(K.FARES)))]
-    ).select(
-        _row_id().alias("ticket_id"),
+    turn = types[F.pmod(F.col("position"), F.lit(len(K.FARES)))]
+    boarding = _numbered(predictions, "predicted_passengers_in", "ticket_id")
+    return boarding.withColumn("passenger_type", turn).select(
+        "ticket_id",
         "timestamp",
         "stop_id",
         "route",
@@ -47,9 +50,8 @@ def tickets_of(predictions: DataFrame) -> DataFrame:
 
 def sensors_of(predictions: DataFrame) -> DataFrame:
     """One active reading per alighting passenger."""
-    alighting = repeat_rows(predictions, F.col("predicted_passengers_out"), "position")
-    return alighting.select(
-        _row_id().alias("measurement_id"),
+    return _numbered(predictions, "predicted_passengers_out", "measurement_id").select(
+        "measurement_id",
         "timestamp",
         "stop_id",
         "route",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.bands import delay_percent, traffic_level
 from headway.functions.texts import composite_id
+from headway.operators.expand import with_parsed
 from headway.operators.keyed import first_per_key
 from headway.schemas import TRAVEL_TIME_REPLY
 
@@ -22,7 +23,7 @@ def read_replies(measurements: DataFrame, reply: str = "reply") -> DataFrame:
         F.try_element_at(F.col("_reply.rows"), F.lit(1))["elements"], F.lit(1)
     )
     return (
-        measurements.withColumn("_reply", F.from_json(reply, TRAVEL_TIME_REPLY))
+        with_parsed(measurements, "_reply", F.from_json(reply, TRAVEL_TIME_REPLY))
         .withColumn("normal", element["duration"]["value"])
         .withColumn("traffic", element["duration_in_traffic"]["value"])
         .drop("_reply", reply)

@@ -7,16 +7,17 @@ stream, a batch of files or a broker all do.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from headway import constants as K
 from headway.functions.times import parse_timestamp
+from headway.operators.expand import with_parsed
 from headway.schemas import schema
 
 MESSAGE_SCHEMA = schema("topic string, partition int, offset long, value string")
-_BROKEN = "_broken"
+_DATA, _BROKEN = "_data", "_broken"
 
 
 def broker_options(
@@ -53,34 +54,50 @@ def parse_messages(
     messages: DataFrame, fields: StructType, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Fields of the messages, ``timestamp`` zone-free. Undecodable messages are dropped."""
-    return split_messages(messages, fields, keep)[0]
+    return good_rows(decode_messages(messages, fields), fields, keep)
 
 
 def split_messages(
     messages: DataFrame, fields: StructType, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(decoded rows, undecodable messages). A wrong field type rejects the message."""
+    decoded = decode_messages(messages, fields)
+    return good_rows(decoded, fields, keep), bad_messages(decoded)
+
+
+def decode_messages(messages: DataFrame, fields: StructType) -> DataFrame:
+    """Messages with their fields as a struct; persist this to read both halves of it."""
     wanted = StructType([*fields.fields, StructField(_BROKEN, StringType())])
     data = F.from_json("value", wanted, {"columnNameOfCorruptRecord": _BROKEN})
-    parsed = messages.withColumn("_data", data)
-    broken = F.col("_data").isNull() | F.col(f"_data.{_BROKEN}").isNotNull()
-    columns = [F.col(f"_data.{name}").alias(name) for name in fields.names]
-    good = parsed.filter(~broken).select(*keep, *columns)
+    return with_parsed(messages, _DATA, data)
+
+
+def good_rows(decoded: DataFrame, fields: StructType, keep: Sequence[str] = ()) -> DataFrame:
+    columns = [F.col(f"{_DATA}.{name}").alias(name) for name in fields.names]
+    good = decoded.filter(~_is_broken()).select(*keep, *columns)
     if "timestamp" in fields.names and fields["timestamp"].dataType == StringType():
         good = good.withColumn("timestamp", parse_timestamp(F.col("timestamp")))
-    return good, parsed.filter(broken).drop("_data")
+    return good
+
+
+def bad_messages(decoded: DataFrame) -> DataFrame:
+    return decoded.filter(_is_broken()).drop(_DATA)
+
+
+def _is_broken() -> Column:
+    return F.col(_DATA).isNull() | F.col(f"{_DATA}.{_BROKEN}").isNotNull()
 
 
 def route_topics(messages: DataFrame) -> DataFrame:
     """Add the archive collection and its unique field; unknown topics are dropped."""
-    spark_map = F.create_map(
+    targets = F.create_map(
         *[
             part
             for topic, (collection, unique) in K.TOPICS.items()
             for part in (F.lit(topic), F.struct(F.lit(collection), F.lit(unique)))
         ]
     )
-    target = spark_map[F.col("topic")]
+    target = targets[F.col("topic")]
     return (
         messages.withColumn("_target", target)
         .filter(F.col("_target").isNotNull())

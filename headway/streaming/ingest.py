@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from headway.schemas import SENSOR_MESSAGE, TICKET_MESSAGE
 from headway.sinks.tables import write_part
-from headway.sources.messages import split_messages
+from headway.sources.messages import bad_messages, decode_messages, good_rows
 from headway.streaming.running import start
 
 
@@ -24,13 +24,12 @@ def ingest(
     """Append decoded messages to a table and undecodable ones to a reject table."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        decoded = decode_messages(batch, schema).persist()
         try:
-            good, bad = split_messages(batch, schema)
-            write_part(good, table, batch_id)
-            write_part(bad, rejects, batch_id)
+            write_part(good_rows(decoded, schema), table, batch_id)
+            write_part(bad_messages(decoded), rejects, batch_id)
         finally:
-            batch.unpersist()
+            decoded.unpersist()
 
     return start(messages, each_batch, checkpoint, every)
 
