@@ -46,7 +46,7 @@ def s3_ingested_times(v: Views):
 )
 def s4_parsed_times(v: Views):
     iso = texts.iso_text(F.col("ts"))
-    seconds = F.timestamp_diff("SECOND", F.lit(times.EPOCH).cast("timestamp_ntz"), F.col("ts"))
+    seconds = F.timestamp_diff("SECOND", times.moment(times.EPOCH), F.col("ts"))
     text = (
         F.when(F.col("event_id") % 3 == 0, iso)
         .when(F.col("event_id") % 3 == 1, seconds.cast("string"))

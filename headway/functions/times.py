@@ -10,6 +10,11 @@ EPOCH = datetime(1970, 1, 1)
 SECONDS_PER_DAY = 86400
 
 
+def moment(value: datetime) -> Column:
+    """Zone-free literal; a plain one would pass through the zones of Python and the session."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_timestamp(text: Column) -> Column:
     """S3: text to a zone-free timestamp; NULL where the text is not one."""
     return text.try_cast("timestamp_ntz")
@@ -21,7 +26,7 @@ def parse_time(text: Column) -> Column:
     micros = F.round(text.try_cast("double") * 1_000_000).cast("bigint")
     return F.when(
         text.rlike(r"^[+-]?[0-9]+([.][0-9]+)?$"),
-        F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH).cast("timestamp_ntz")),
+        F.timestamp_add("MICROSECOND", micros, moment(EPOCH)),
     ).otherwise(parse_timestamp(text))
 
 
@@ -68,13 +73,13 @@ def between_times(ts: Column, day: date, start: time, end: time) -> Column:
     Written as one range over the raw column, so that the scan can skip files and row groups.
     """
     low, high = datetime.combine(day, start), datetime.combine(day, end)
-    return (ts >= F.lit(low).cast("timestamp_ntz")) & (ts <= F.lit(high).cast("timestamp_ntz"))
+    return (ts >= moment(low)) & (ts <= moment(high))
 
 
 def hour_spine(day: date, start: time, end: time) -> Column:
     """Array of hours from start to end, both included; empty where end comes first."""
     hours = (datetime.combine(day, end) - datetime.combine(day, start)).total_seconds() // 3600
-    first = F.lit(datetime.combine(day, start)).cast("timestamp_ntz")
+    first = moment(datetime.combine(day, start))
     return F.transform(
         _counted(F.lit(int(hours) + 1)), lambda i: first + F.make_dt_interval(F.lit(0), i)
     )

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.constants import FEATURE_KEY
+from headway.functions.times import moment
 from headway.operators.keyed import new_rows
+from headway.operators.merge import insert_if_absent
 from headway.schemas import PREDICTION_LOG
 
 BATCH = "batch_id"
@@ -67,3 +69,28 @@ def to_messages(df: DataFrame, topic: str, columns: Sequence[str] | None = None)
     """K9: rows as JSON messages for a topic."""
     return df.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*(columns or "*"))).alias("value"))
 
+
+
+def send_messages(messages: DataFrame, servers: str) -> None:
+    """K9: messages to a broker (the connector must be on the class path)."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+
+def append_to_database(df: DataFrame, url: str, table: str, **properties: str) -> None:
+    """K1: append to a database table, in as many connections as there are partitions."""
+    df.write.format("jdbc").mode("append").options(url=url, dbtable=table, **properties).save()
+
+
+def missing_rows(
+    df: DataFrame, existing: DataFrame, key: str, order: Sequence[str], time: str = "timestamp"
+) -> DataFrame:
+    """K1, K2: the rows to append so that every key is in the table once.
+
+    The existing table is read only over the time span of the new rows (their keys carry their
+    time), so a repeated batch finds what an earlier try has already committed.
+    """
+    span = df.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
+    if span["low"] is not None:
+        same_time = F.col(time).between(moment(span["low"]), moment(span["high"]))
+        existing = existing.filter(same_time | F.col(time).isNull())
+    return insert_if_absent(df, existing, key, order)

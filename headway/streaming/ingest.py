@@ -1,15 +1,20 @@
 """Raw ingest of messages."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from headway.schemas import SENSOR_MESSAGE, TICKET_MESSAGE
-from headway.sinks.tables import write_part
-from headway.sources.messages import bad_messages, decode_messages, good_rows
+from headway.sinks.tables import missing_rows, write_part
+from headway.sources.messages import (
+    bad_messages,
+    decode_messages,
+    good_rows,
+    parse_messages,
+)
 from headway.streaming.running import start
 
 
@@ -34,6 +39,33 @@ def ingest(
     return start(messages, each_batch, checkpoint, every)
 
 
+def ingest_once(
+    messages: DataFrame,
+    schema: StructType,
+    key: str,
+    existing: Callable[[SparkSession], DataFrame],
+    append: Callable[[DataFrame], None],
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """K1, K2: append to a table that cannot replace the part of a batch, such as a database.
+
+    ``existing`` gives the table as it is, ``append`` adds rows to it. Keys that are there already
+    are left out, so the first message of a key wins and a repeated batch adds nothing. Messages
+    without the key, or not decodable, are skipped.
+    """
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = parse_messages(batch, schema, keep=["partition", "offset"]).persist()
+        try:
+            fresh = missing_rows(rows, existing(batch.sparkSession), key, ["partition", "offset"])
+            append(fresh.drop("partition", "offset"))
+        finally:
+            rows.unpersist()
+
+    return start(messages, each_batch, checkpoint, every)
+
+
 def ingest_tickets_and_sensors(
     messages: DataFrame, folder: str, checkpoints: str, every: str | None = None
 ) -> list[StreamingQuery]:

@@ -1,6 +1,7 @@
 """Streams over files: the streamed result equals the batch result, repeats change nothing."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -14,8 +15,14 @@ from headway.sinks.tables import BATCH, read_parts, read_version, write_part, wr
 from headway.sources.messages import file_stream, parse_messages
 from headway.streaming.archive import archive, read_archive
 from headway.streaming.champion import current_champion, decide_champions
-from headway.streaming.ingest import first_of_shape, first_seen, ingest_tickets_and_sensors
+from headway.streaming.ingest import (
+    first_of_shape,
+    first_seen,
+    ingest_once,
+    ingest_tickets_and_sensors,
+)
 from headway.streaming.occupancy import movements, read_occupancy, track_occupancy
+from headway.streaming.running import run_until_any_ends, start
 from headway.streaming.weather import replace_weather, sample_stream
 
 TS = datetime(2025, 5, 16, 8)
@@ -60,6 +67,8 @@ class Topic:
             self.offset += 1
         path = self.folder / f"{self.files:05d}.json"
         path.write_text("\n".join(lines) + "\n")
+        # Files are read in the order of their times.
+        os.utime(path, (1_700_000_000 + self.files,) * 2)
         self.files += 1
 
 
@@ -103,6 +112,57 @@ def test_ingest_appends_good_rows_and_keeps_rejects(spark, topic, tmp_path):
     assert spark.read.parquet(f"{out}/raw_tickets").count() == 3
 
 
+def test_ingest_once_lets_the_first_message_win(spark, topic, tmp_path):
+    table = str(tmp_path / "gps")
+
+    def existing(session):
+        return read_parts(session, table, schemas.GPS)
+
+    def append(df):
+        df.write.mode("append").parquet(table)
+
+    def run(checkpoint):
+        gps = ingest_once(
+            stream(spark, topic),
+            schemas.GPS_MESSAGE,
+            "measurement_id",
+            existing,
+            append,
+            str(tmp_path / checkpoint),
+        )
+        finish(gps)
+        return rows(existing(spark).select("measurement_id", "bus_id"))
+
+    def gps(name, bus, minutes=0):
+        moment = (TS + timedelta(minutes=minutes)).isoformat()
+        return {"measurement_id": name, "bus_id": bus, "timestamp": moment}
+
+    topic.send("gps.topic", gps("a", 1), gps("a", 2), gps(None, 3), "junk", gps("b", 4, 5))
+    topic.send("gps.topic", gps("b", 5, 5), gps("c", 6, 600))
+    expected = [("a", 1), ("b", 4), ("c", 6)]
+    assert run("one") == expected
+    # With the checkpoint lost all messages come again, and add nothing.
+    assert run("two") == expected
+
+
+def test_all_queries_stop_when_one_fails(spark, topic, tmp_path):
+    topic.send("t", "x")
+    spark.streams.resetTerminated()
+
+    def fail(batch, batch_id):
+        raise ValueError("no table")
+
+    def wait(batch, batch_id):
+        pass
+
+    waiting = start(stream(spark, topic), wait, str(tmp_path / "waiting"), every="1 second")
+    failing = start(stream(spark, topic), fail, str(tmp_path / "failing"), every="1 second")
+    with pytest.raises(Exception, match="no table"):
+        run_until_any_ends(spark)
+    assert not waiting.isActive and not failing.isActive
+    spark.streams.resetTerminated()
+
+
 def test_repeated_batch_replaces_its_part(spark, tmp_path):
     table = str(tmp_path / "table")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, text string")
