@@ -73,5 +73,20 @@ def documents(fields: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
 def upsert_latest(
     messages: DataFrame, key: str, order: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
-    """Q14: JSON messages to one row per key; later fields overwrite, absent fields stay."""
-    return documents(latest_fields(message_fields(messages, F.lit(key), order)), key, names)
+    """Q14: JSON messages to one row per key; later fields overwrite, absent fields stay.
+
+    The same as the steps above, in one aggregation, for fields that are known beforehand: a
+    message counts for a field only if it carries it.
+    """
+    fields, position = F.col("_fields"), F.struct(*order)
+    parsed = with_parsed(messages, "_fields", F.from_json("value", "map<string,string>"))
+    latest = [
+        F.max_by(fields[name], F.when(F.map_contains_key(fields, name), position)).alias(name)
+        for name in names
+        if name != key
+    ]
+    return (
+        parsed.filter(F.map_contains_key(fields, key))
+        .groupBy(fields[key].alias(key))
+        .agg(*latest)
+    )

@@ -37,10 +37,10 @@ def read_parts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def write_version(df: DataFrame, path: str, version: int) -> None:
+def write_version(df: DataFrame, path: str, version: int, *by: str) -> None:
     """K4, K5: a whole new version next to the old ones. Its files appear when the write commits,
     so a failed write leaves the old version the newest."""
-    df.write.mode("overwrite").parquet(f"{path}/{VERSION}={version}")
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{VERSION}={version}")
 
 
 def read_version(spark: SparkSession, path: str) -> DataFrame:

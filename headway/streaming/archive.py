@@ -9,7 +9,7 @@ from pyspark.sql.types import StructField, StructType
 
 from headway.operators.merge import documents, latest_fields, message_fields
 from headway.schemas import schema
-from headway.sinks.tables import BATCH, read_parts, write_part
+from headway.sinks.logs import add_to_log, fold_log, read_log
 from headway.sources.messages import route_topics
 from headway.streaming.running import start
 
@@ -18,7 +18,7 @@ FIELDS = StructType(
     [
         *schema("key string, field string, value string").fields,
         StructField("position", schema("partition int, offset long")),
-        *schema(f"{BATCH} int, collection string").fields,
+        *schema("collection string").fields,
     ]
 )
 
@@ -32,7 +32,7 @@ def archive(
         fields = message_fields(
             route_topics(batch), F.col("unique_field"), ORDER, keep=["collection"]
         )
-        write_part(latest_fields(fields, ["collection"]), table, batch_id, "collection")
+        add_to_log(_latest(fields), table, batch_id, "collection")
 
     return start(messages, each_batch, checkpoint, every)
 
@@ -41,5 +41,14 @@ def read_archive(
     spark: SparkSession, table: str, collection: str, key: str, names: Sequence[str]
 ) -> DataFrame:
     """Documents of a collection; only its folders are read."""
-    parts = read_parts(spark, table, FIELDS).filter(F.col("collection") == collection)
-    return documents(latest_fields(parts), key, names)
+    fields = read_log(spark, table, FIELDS).filter(F.col("collection") == collection)
+    return documents(latest_fields(fields), key, names)
+
+
+def fold_archive(spark: SparkSession, table: str, upto: int) -> None:
+    """Fold what the stream has written up to a finished batch."""
+    fold_log(spark, table, FIELDS, _latest, upto, "collection")
+
+
+def _latest(fields: DataFrame) -> DataFrame:
+    return latest_fields(fields, ["collection"])

@@ -7,16 +7,16 @@ from pyspark.sql.streaming import StreamingQuery
 from headway.constants import SENSOR_ACTIVE
 from headway.plans.occupancy import STOP_KEY
 from headway.schemas import schema
-from headway.sinks.tables import BATCH, read_parts, write_part
+from headway.sinks.logs import add_to_log, fold_log, read_log
 from headway.streaming.running import start
 
 REFRESH = "5 seconds"
 COUNTS = schema(
     "trip_id string, bus_id int, route string, stop_id string, timestamp timestamp_ntz, "
-    f"on long, off long, {BATCH} int, day date"
+    "on long, off long, day date"
 )
 CHANGES = schema(
-    f"bus_id int, trip_id string, latest_timestamp timestamp_ntz, change long, {BATCH} int"
+    "bus_id int, trip_id string, latest_timestamp timestamp_ntz, change long"
 )
 
 
@@ -48,19 +48,16 @@ def track_occupancy(
             .persist()
         )
         try:
-            write_part(counts, f"{folder}/counts", batch_id, "day")
-            changes = occupancy_changes(counts, earlier_counts(spark, folder, batch_id))
-            write_part(changes, f"{folder}/changes", batch_id)
+            earlier = read_log(spark, f"{folder}/counts", COUNTS, before=batch_id)
+            changes = occupancy_changes(counts, earlier)
+            add_to_log(counts, f"{folder}/counts", batch_id, "day")
+            add_to_log(changes, f"{folder}/changes", batch_id)
         finally:
             counts.unpersist()
 
     return start(moves, each_batch, checkpoint, every)
 
 
-def earlier_counts(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    return read_parts(spark, f"{folder}/counts", COUNTS).filter(F.col(BATCH) < batch_id)
-
-
 def occupancy_changes(counts: DataFrame, earlier: DataFrame) -> DataFrame:
     """Change of the occupancy sum per bus and trip that new counts bring on top of earlier ones."""
     columns = [*STOP_KEY, "on", "off"]
@@ -87,13 +84,28 @@ def occupancy_changes(counts: DataFrame, earlier: DataFrame) -> DataFrame:
     )
 
 
+def fold_occupancy(spark: SparkSession, folder: str, upto: int) -> None:
+    """Fold what the stream has written up to a finished batch."""
+    fold_log(spark, f"{folder}/counts", COUNTS, _sum_counts, upto, "day")
+    fold_log(spark, f"{folder}/changes", CHANGES, _sum_changes, upto)
+
+
+def _sum_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(*STOP_KEY, "day").agg(F.sum("on").alias("on"), F.sum("off").alias("off"))
+
+
+def _sum_changes(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("bus_id", "trip_id").agg(
+        F.max("latest_timestamp").alias("latest_timestamp"), F.sum("change").alias("change")
+    )
+
+
 def read_occupancy(spark: SparkSession, folder: str) -> DataFrame:
     """Current occupancy per bus and trip, as the batch query gives it."""
-    return (
-        read_parts(spark, f"{folder}/changes", CHANGES)
-        .groupBy("bus_id", "trip_id")
-        .agg(
-            F.max("latest_timestamp").alias("latest_timestamp"),
-            F.greatest(F.sum("change"), F.lit(0)).alias("total_occupancy"),
-        )
+    sums = _sum_changes(read_log(spark, f"{folder}/changes", CHANGES))
+    return sums.select(
+        "bus_id",
+        "trip_id",
+        "latest_timestamp",
+        F.greatest("change", F.lit(0)).alias("total_occupancy"),
     )

@@ -13,7 +13,7 @@ from headway.operators.sampling import sample_by_gap
 from headway.plans.occupancy import current_occupancy
 from headway.sinks.tables import BATCH, read_parts, read_version, write_part, write_version
 from headway.sources.messages import file_stream, parse_messages
-from headway.streaming.archive import archive, read_archive
+from headway.streaming.archive import archive, fold_archive, read_archive
 from headway.streaming.champion import current_champion, decide_champions
 from headway.streaming.ingest import (
     first_of_shape,
@@ -21,7 +21,12 @@ from headway.streaming.ingest import (
     ingest_once,
     ingest_tickets_and_sensors,
 )
-from headway.streaming.occupancy import movements, read_occupancy, track_occupancy
+from headway.streaming.occupancy import (
+    fold_occupancy,
+    movements,
+    read_occupancy,
+    track_occupancy,
+)
 from headway.streaming.running import run_until_any_ends, start
 from headway.streaming.weather import replace_weather, sample_stream
 
@@ -208,7 +213,15 @@ def test_occupancy_stream_equals_batch(spark, topic, tmp_path):
         ([ticket(n, bus=2) for n in range(6, 8)], []),
         ([ticket(9, minutes=24 * 60)], [sensor(20, minutes=24 * 60)]),
     ]
-    for new_tickets, new_sensors in steps:
+    for step, (new_tickets, new_sensors) in enumerate(steps):
+        if step in (3, 5):
+            before = rows(read_occupancy(spark, str(tmp_path / "occupancy")))
+            finished = max(
+                int(p.name.split("=")[1])
+                for p in (tmp_path / "occupancy" / "changes" / "parts").glob(f"{BATCH}=*")
+            )
+            fold_occupancy(spark, str(tmp_path / "occupancy"), finished)
+            assert rows(read_occupancy(spark, str(tmp_path / "occupancy"))) == before
         sent_tickets += new_tickets
         sent_sensors += new_sensors
         if new_tickets:
@@ -238,6 +251,14 @@ def test_archive_stream_equals_batch_upsert(spark, topic, tmp_path):
     batch = spark.createDataFrame(lines, "offset long, value string")
     assert streamed == rows(upsert_latest(batch, "measurement_id", ["offset"], names))
 
+    for upto in (0, 1, 2):
+        fold_archive(spark, table, upto)
+        assert streamed == rows(read_archive(spark, table, "gps", "measurement_id", names))
+    topic.send("gps.topic", {"measurement_id": "a", "note": "z"})
+    finish(archive(stream(spark, topic), table, str(tmp_path / "checkpoint")))
+    latest = rows(read_archive(spark, table, "gps", "measurement_id", names))
+    assert latest == [("a", "2", "z"), ("b", "3", None)]
+
 
 def forecast(hours, **extra):
     return {
