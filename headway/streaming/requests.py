@@ -1,0 +1,80 @@
+"""Which messages lead to a request to the map service (D2 with rounds)."""
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from headway.operators.filters import has_text
+from headway.operators.keyed import first_per_key
+from headway.schemas import PREDICTION_MESSAGE, schema
+from headway.sinks.tables import BATCH, read_parts, write_part
+from headway.sources.messages import parse_messages
+from headway.streaming.running import start
+
+ORDER = ["partition", "offset"]
+REQUESTS = schema(
+    "partition int, offset long, shape_id string, timestamp timestamp_ntz, stop_id string, "
+    f"route string, bus_id int, trip_id string, round int, {BATCH} int"
+)
+
+
+def choose_requests(
+    messages: DataFrame, shapes: int, table: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Write the first message of every shape, round after round.
+
+    Once as many shapes have been asked for as there are (``shapes``), the next message starts a
+    new round. Messages without a shape or a readable time are left out. The written rows are also
+    what later batches know about the running round.
+    """
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = parse_messages(batch, PREDICTION_MESSAGE, keep=ORDER).filter(
+            has_text(["shape_id"]) & F.col("timestamp").isNotNull()
+        )
+        columns = [n for n in REQUESTS.names if n not in ("round", BATCH)]
+        rows = rows.select(*columns).persist()
+        earlier = read_parts(batch.sparkSession, table, REQUESTS).filter(F.col(BATCH) < batch_id)
+        found = next_requests(rows, earlier, shapes, ORDER)
+        try:
+            chosen = found[0]
+            for more in found[1:]:
+                chosen = chosen.union(more)
+            write_part(chosen, table, batch_id)
+        finally:
+            for df in [rows, *found]:
+                df.unpersist()
+
+    return start(messages, each_batch, checkpoint, every)
+
+
+def next_requests(
+    rows: DataFrame, earlier: DataFrame, shapes: int, order: Sequence[str]
+) -> list[DataFrame]:
+    """The chosen rows of one batch, a persisted DataFrame per round.
+
+    Every turn of the loop ends a round, so there are at most rows / shapes turns; the trigger
+    bounds the rows of a batch. A turn looks up the rest of the batch with one aggregation.
+    """
+    if shapes < 1:
+        raise ValueError("a round needs at least one shape")
+    current = earlier.agg(F.max("round").alias("round")).first()["round"] or 1
+    asked = earlier.filter(F.col("round") == current).select("shape_id")
+    missing = shapes - asked.count()
+    if missing <= 0:
+        current, asked, missing = current + 1, asked.limit(0), shapes
+    position, found, rest = F.struct(*order), [], rows
+    while True:
+        fresh = rest.join(asked, "shape_id", "left_anti").select(*rows.columns)
+        firsts = first_per_key(fresh, ["shape_id"], order).orderBy(*order).limit(missing)
+        firsts = firsts.withColumn("round", F.lit(current)).persist()
+        found.append(firsts)
+        if firsts.count() < missing:
+            return found
+        last = firsts.agg(F.max(position).alias("last")).first()["last"]
+        reached = [F.lit(last[name]).cast(rows.schema[name].dataType).alias(name) for name in order]
+        rest = rows.filter(position > F.struct(*reached))
+        current, asked, missing = current + 1, asked.limit(0), shapes
+

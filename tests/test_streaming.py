@@ -27,6 +27,7 @@ from headway.streaming.occupancy import (
     read_occupancy,
     track_occupancy,
 )
+from headway.streaming.requests import choose_requests
 from headway.streaming.running import run_until_any_ends, start
 from headway.streaming.weather import replace_weather, sample_stream
 
@@ -315,6 +316,29 @@ def test_champion_stream(spark, topic, tmp_path):
     assert [r.model_key for r in decided.collect()] == ["m1", "m4", "m6"]
 
 
+def test_request_rounds_equal_a_loop(spark, topic, tmp_path):
+    names = list("abacabbccdaabbbbcaccabdbacabcaab")
+    expected, asked, turn = [], [], 1
+    for offset, name in enumerate(names):
+        if len(asked) == 3:
+            asked, turn = [], turn + 1
+        if name not in asked:
+            asked.append(name)
+            expected.append((offset, name, turn))
+
+    def message(name):
+        return {"prediction_id": 1, "shape_id": name, "timestamp": TS.isoformat()}
+
+    for begin in range(0, len(names), 9):
+        topic.send("t", *[message(name) for name in names[begin : begin + 9]])
+    topic.send("t", message(None), message("") | {"timestamp": "soon"}, "junk")
+    table = str(tmp_path / "requests")
+    finish(choose_requests(stream(spark, topic), 3, table, str(tmp_path / "checkpoint")))
+    found = spark.read.parquet(table).orderBy("offset")
+    assert [(r.offset, r.shape_id, r.round) for r in found.collect()] == expected
+    assert turn > 4
+
+
 def events(spark, topic, *batches):
     for batch in batches:
         topic.send("t", *[{"key": k, "timestamp": t.isoformat()} for k, t in batch])
