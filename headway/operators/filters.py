@@ -53,3 +53,15 @@ def clean_names(df: DataFrame) -> DataFrame:
 def any_row(df: DataFrame, condition: Column) -> DataFrame:
     """At most one row, present when the condition holds somewhere."""
     return df.filter(condition).limit(1).select(F.lit(True).alias("found"))
+
+
+def within_range_of(df: DataFrame, other: DataFrame, name: str) -> DataFrame:
+    """Rows whose value lies in the range of values of another table (or is missing).
+
+    The ends of the range are subqueries that run before the scan, so that a table stored by the
+    column opens the folders within the range only. A semi-join would prune only where Spark deems
+    it worthwhile.
+    """
+    low = other.agg(F.min(name)).scalar()
+    high = other.agg(F.max(name)).scalar()
+    return df.filter(((F.col(name) >= low) & (F.col(name) <= high)) | F.col(name).isNull())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators.expand import with_parsed
+from headway.operators.filters import within_range_of
 from headway.operators.keyed import first_per_key
 
 
@@ -19,11 +20,11 @@ def insert_if_absent(
     """K2: rows to append. The first message of a key wins; known and NULL keys are left out.
 
     ``partition`` names a column that the key determines (such as the day within the id) and by
-    which the existing table is stored: only partitions that the incoming rows touch are read.
+    which the existing table is stored: only partitions in the range of the incoming rows are read.
     """
     firsts = first_per_key(incoming.filter(F.col(key).isNotNull()), [key], order)
     if partition is not None:
-        existing = existing.join(incoming.select(partition).distinct(), partition, "left_semi")
+        existing = within_range_of(existing, incoming, partition)
     return firsts.join(existing.select(key), key, "left_anti").select(*incoming.columns)
 
 

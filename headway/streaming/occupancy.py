@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.constants import SENSOR_ACTIVE
+from headway.operators.filters import within_range_of
 from headway.plans.occupancy import STOP_KEY
 from headway.schemas import schema
 from headway.sinks.logs import add_to_log, fold_log, read_log
@@ -61,7 +62,7 @@ def track_occupancy(
 def occupancy_changes(counts: DataFrame, earlier: DataFrame) -> DataFrame:
     """Change of the occupancy sum per bus and trip that new counts bring on top of earlier ones."""
     columns = [*STOP_KEY, "on", "off"]
-    same_days = earlier.join(counts.select("day").distinct(), "day", "left_semi")
+    same_days = within_range_of(earlier, counts, "day")
     rows = counts.select(*columns, F.lit(True).alias("new")).union(
         same_days.select(*columns, F.lit(False).alias("new"))
     )

@@ -252,6 +252,19 @@ def test_insert_if_absent(spark):
         assert rows(fresh) == [("b", 3, 1, "d1")]
 
 
+def test_range_of_another_table_prunes_folders(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(20).withColumn("day", (F.col("id") % 10).cast("int")).write.partitionBy(
+        "day"
+    ).parquet(path)
+    wanted = frame(spark, [(3,), (5,)], "day int")
+    found = filters.within_range_of(spark.read.parquet(path), wanted, "day")
+    assert {r.day for r in found.collect()} == {3, 4, 5}
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in scan and "Subquery" in scan.split("PartitionFilters: [")[1][:120]
+    assert filters.within_range_of(spark.read.parquet(path), wanted.limit(0), "day").isEmpty()
+
+
 def upserted(spark, *values):
     df = frame(spark, list(enumerate(values)), "offset long, value string")
     return rows(merge.upsert_latest(df, "id", ["offset"], ["x", "y"]))
