@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import crossparse, decontaminate, guesscost, perplexity, piecetable, simhash
+from headway.llm import chatgrammar, crossparse, decontaminate, guesscost, perplexity, piecetable, simhash, toxiccrf, urltrees, viterbi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -114,3 +114,80 @@ def op10_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and group of near duplicates of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+@query()
+def op3_unigram_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of unigram pieces of every document."""
+    model = piecetable.read_model(public_tokenizers.path(PIECES))
+    return viterbi.token_counts(table(spark, folder, "documents"), model)
+
+
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query()
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return urltrees.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = toxiccrf.learned_from(docs, table(spark, folder, "labels"))
+    found = toxiccrf.score(docs.select("doc_id", "text"), model)
+    score = F.col("toxicity")["score"]
+    return found.select(
+        "doc_id",
+        toxiccrf.held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.col("toxicity")["n_toxic"].alias("n_toxic"),
+    )
+
+
+@query(
+    r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17
+      ELSE 20 + length(to_base64(encode(role))) END + length(text)
+    + CASE WHEN regexp_matches(text, '\[/?INST\]|</?s>|<</?SYS>>|<<ROLE:[A-Za-z0-9+/=]*>>|<</ROLE>>')
+        OR regexp_matches(text, '[\[<]<?\\+/?(?:s>|INST\]|SYS>>|ROLE)')
+      THEN len(regexp_extract_all(text, '[\[<]<?\\*/?(?:s>|INST\]|SYS>>|ROLE)')) ELSE 0 END AS n
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+)
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation formatted and read back, as digests; with one whose texts hold marks."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.sql(
+        "SELECT -1L AS conv_id, n AS turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(n, role)"
+    )
+    made = chatgrammar.format_conversations(rows.unionByName(hard))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = chatgrammar.loss_text(F.col("formatted"), F.col("loss_spans"))
+    return made.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
