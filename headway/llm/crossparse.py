@@ -117,8 +117,6 @@ class Languages:
         self.seen = Memo(self._parse, 600_000)
 
     def _parse(self, word: str) -> int:
-        if not self.seen:
-            self.used = 0
         if self.used >= len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
         padded = f" {word} "
@@ -131,8 +129,9 @@ class Languages:
         words = LETTERS.findall(text.lower())
         total = np.zeros(len(self.names))
         # In pieces shorter than the memory, so that a row number stays right until it is read.
-        for at in range(0, len(words), 50_000):
-            piece = words[at : at + 50_000]
+        size = min(50_000, self.seen.limit)
+        for at in range(0, len(words), size):
+            piece = words[at : at + size]
             if self.used + len(piece) > self.seen.limit:
                 self.seen.clear()
                 self.used = 0

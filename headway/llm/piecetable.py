@@ -15,13 +15,16 @@ import hashlib
 import heapq
 import re
 import struct
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from headway.llm.shared import Memo, once, over_texts
 
@@ -48,9 +51,7 @@ class Vocabulary:
 
     @classmethod
     def load(cls, model: bytes) -> Vocabulary:
-        from sentencepiece import SentencePieceProcessor
-
-        sp: SentencePieceProcessor = sentencepiece.SentencePieceProcessor(model_proto=model)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         ids, score, bytes_at, pieces = {}, {}, [-1] * 256, []
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
@@ -177,16 +178,25 @@ class Decoder:
     def __init__(self, words: Vocabulary):
         self.words = words
         mark = MARK.encode()
-        self.plain = [(p.replace(mark, b" ") if i not in set(words.bytes_at) else p) if p is not None else b"" for i, p in enumerate(words.pieces)]
+        self.plain = [(p or b"").replace(mark, b" ") for p in words.pieces]
         self.plain[words.unknown] = self.UNKNOWN
         self.byte = np.zeros(len(self.plain), bool)
         self.byte[words.bytes_at] = True
+        # The mark before a text is the first piece's; the space of an unknown piece or of a byte stays.
+        self.mark_first = ~self.byte
+        self.mark_first[words.unknown] = False
 
     def decode(self, packed: bytes) -> bytes:
         ids = np.frombuffer(packed, "<u4")
-        ids = ids[(ids != self.words.begin) & (ids != self.words.end)]
+        if len(ids) and ids[0] == self.words.begin:
+            ids = ids[1:]
+        if len(ids) and ids[-1] == self.words.end:
+            ids = ids[:-1]
+        special = (ids == self.words.begin) | (ids == self.words.end)
+        if special.any():  # bytes on either side of a special id do not meet
+            return self._repaired(ids[int(np.argmin(special)) if not special.all() else len(ids) :])
         text = b"".join(map(self.plain.__getitem__, ids.tolist()))
-        if len(ids) and text[:1] == b" " and not self.byte[ids[0]]:
+        if text[:1] == b" " and self.mark_first[ids[0]]:
             text = text[1:]
         try:
             text.decode()
@@ -195,15 +205,14 @@ class Decoder:
             return self._repaired(ids)
 
     def _repaired(self, ids: np.ndarray) -> bytes:
-        out, first = [], True
-        for run in np.split(ids, np.flatnonzero(np.diff(self.byte[ids].astype(np.int8))) + 1):
+        out: list[bytes] = []
+        for run in () if not len(ids) else np.split(ids, np.flatnonzero(np.diff(self.byte[ids].astype(np.int8))) + 1):
             text = b"".join(map(self.plain.__getitem__, run.tolist()))
             if self.byte[run[0]]:
                 text = "".join(_bytes_as_text(text)).encode()
-            elif first and text[:1] == b" ":
+            elif not out and text[:1] == b" " and self.mark_first[run[0]]:
                 text = text[1:]
             out.append(text)
-            first = False
         return b"".join(out)
 
 
@@ -274,11 +283,6 @@ def encode(docs: DataFrame, model: bytes, id: str = "doc_id", text: str = "text"
 
 def decode(ids: Column, model: bytes) -> Column:
     """The text of a column of id arrays; null for null."""
-    from collections.abc import Iterator
-
-    import pyarrow as pa
-    from pyspark.sql.functions import arrow_udf
-
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         _, decoder = coder(model)
         for batch in batches:

@@ -1,0 +1,91 @@
+"""Spans against plain patterns, and guess costs against all segmentations."""
+
+import random
+import re
+
+import pytest
+
+from headway.llm import guesscost
+
+KEYS = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token", "api_?key"))
+
+
+def plain_spans(text):
+    found = []
+    for m in re.finditer(rf"({KEYS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
+        if len(m[2]) >= 6:
+            found.append((m.start(), "assign", m.end()))
+    found += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found, key=lambda s: (s[0], guesscost.KINDS.index(s[1])))
+
+
+def test_base_spans():
+    rng = random.Random(1)
+    parts = ["password", "=", ":", " ", '"', "'", "token", "API_KEY", "apikey", "abcdef0123456789abcdef0123", "é", "AKIA", "ABCDEFGHIJKLMNOP12", "K", "toKen", "x", "\n", "deadbeef" * 3, "secretpassword", "/=", "ſecret"]
+    guesses = guesscost.Guesses()
+    for _ in range(5000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        assert guesscost.find(text.encode(), guesses, 8)[0] == plain_spans(text)
+
+
+def every_cost(guesses, value):
+    """The least cost by trying every way to cut a value; brute-force parts may not meet."""
+    known = {}
+    for i, j, cost, _ in guesses.parts(value):
+        known[i, j] = min(cost, known.get((i, j), cost))
+    per = guesscost.math.log10(guesscost._alphabet(value))
+
+    def least(at, brute):
+        if at == len(value):
+            return 0.0
+        ways = []
+        for end in range(at + 1, len(value) + 1):
+            if (at, end) in known:
+                ways.append(known[at, end] + guesscost.PART + least(end, False))
+            if not brute:
+                ways.append(per * (end - at) + guesscost.PART + least(end, True))
+        return min(ways, default=guesscost.math.inf)
+
+    return least(0, False)
+
+
+@pytest.mark.parametrize("value", ["password1", "qwertyabc", "aaa1999", "p4sswordx", "abcabc!", "20240131z", "zz", "x", "éé1", "admin123456"])
+def test_cost_is_the_least_of_all(value):
+    guesses = guesscost.Guesses()
+    total, parts = guesses.segments(value)
+    assert total == pytest.approx(every_cost(guesses, value))
+    assert [p[0] for p in parts] == [0, *(p[1] for p in parts[:-1])] and parts[-1][1] == len(value)
+
+
+def test_order_of_costs():
+    cost = guesscost.Guesses().cost
+    assert cost("password") < cost("password2024") < cost("hunter2!x") < cost("xK9$fQ2!pLw")
+    assert cost("qwertyuiop") < 4 and cost("aaaaaaaaaaaa") < 4 and cost("1999-12-31") < 6
+    assert cost("") == 0 and cost("aZ3$" * 5000) > 100
+
+
+def test_frame(spark):
+    rows = [
+        (1, "pwd: xK9$fQ2!pLw and passphrase=password"),
+        (2, None),
+        (3, ""),
+        (4, "é password=abcdef123 token: 'short' auth = \"p@ss w\""),
+        (4, "é password=abcdef123 token: 'short' auth = \"p@ss w\""),
+        (None, "no secrets " * 20000),
+    ]
+    docs = spark.createDataFrame([(*r, 5, "z") for r in rows], "doc_id long, text string, n_chars int, spans string")
+    found = [(r.doc_id, r.secrets.spans) for r in guesscost.scan(docs).collect()]
+    assert found[0] == (1, "guess:5:16") and found[1:3] == [(2, ""), (3, "")]
+    assert found[3] == found[4] == (4, "assign:2:20") and found[5] == (None, "")
+    clean = guesscost.redact(docs)
+    assert clean.columns == docs.columns and clean.schema["n_chars"] == docs.schema["n_chars"]
+    texts = [(r.text, r.n_chars) for r in clean.collect()]
+    assert texts[0] == ("pwd: [SECRET] and passphrase=password", 37)
+    assert texts[1] == (None, 5) and texts[3][0] == "é [SECRET] token: 'short' auth = \"p@ss w\""
+    assert texts[5] == (rows[5][1], 5)
+    assert guesscost.scan(docs.limit(0)).count() == 0
+
+
+def test_redaction_of_overlapping_spans():
+    assert guesscost.redacted("abcdefghij".encode(), [(1, "x", 4), (3, "y", 6), (8, "z", 9)], "#") == "a#gh#j"
