@@ -14,6 +14,7 @@ multiple of the distance to the quartile on that side. Quartiles are exact, over
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,7 +124,7 @@ def count_ngrams(rows: DataFrame) -> DataFrame:
 def kneser_ney(counts: DataFrame) -> DataFrame:
     """(size, key, logp, backoff) of an interpolated modified Kneser-Ney model from counts (key, n) of the highest order.
 
-    Lower orders count distinct symbols before. `backoff` is the log weight of the next lower order after these symbols as
+    Order 0 is one row per language, the uniform distribution. Lower orders count distinct symbols before. `backoff` is the log weight of the next lower order after these symbols as
     a context, null for n-grams that are no context. Discounts are those of Chen and Goodman for each language and order,
     held between 0 and the count; where counts of counts are missing they are 0.5, 1 and 1.5.
     """
@@ -155,14 +156,17 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         contexts = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("taken").alias("free"))
         rows = rows.join(contexts, "context")
         own, rest = (F.col("n") - F.col("taken")) / F.col("total"), F.col("free") / F.col("total")
+        weight = F.log(rest)
         if k == 1:
             made = rows.select("key", (own + rest / SYMBOLS).alias("p"))
+            uniform = F.lit(-math.log(SYMBOLS)).alias("logp")
+            out.append(contexts.select(F.lit(0).alias("size"), F.col("context").alias("key"), uniform, weight.alias("backoff")))
         else:
             suffix = F.shiftleft("lang", (k - 1) * BITS).bitwiseOR(F.col("key").bitwiseAND(F.lit((1 << (k - 1) * BITS) - 1)))
             made = rows.withColumn("suffix", suffix).join(below.select(F.col("key").alias("suffix"), F.col("p").alias("q")), "suffix")
             made = made.select("key", (own + rest * F.col("q")).alias("p"))
-            weight = contexts.select(F.col("context").alias("key"), F.log(F.col("free") / F.col("total")).alias("backoff"))
-            out[-1] = out[-1].join(weight, "key", "left").select("size", "key", "logp", "backoff")
+            weights = contexts.select(F.col("context").alias("key"), weight.alias("backoff"))
+            out[-1] = out[-1].join(weights, "key", "left").select("size", "key", "logp", "backoff")
         below = keep(made)
         out.append(below.select(F.lit(k).alias("size"), "key", F.log("p").alias("logp")))
     out[-1] = out[-1].withColumn("backoff", F.lit(None).cast("double"))
@@ -177,7 +181,7 @@ class Arrays:
 
     def __init__(self, size: np.ndarray, key: np.ndarray, logp: np.ndarray, backoff: np.ndarray):
         self.keys, self.logp, self.backoff = {}, {}, {}
-        for k in range(1, ORDER + 1):
+        for k in range(ORDER + 1):
             at = np.flatnonzero(size == k)
             at = at[np.argsort(key[at])]
             self.keys[k], self.logp[k] = key[at], logp[at].astype(np.float32)
@@ -197,8 +201,8 @@ class Arrays:
         if not seen.all():
             lost = np.flatnonzero(~seen)
             rest = keys[lost]
-            if k == 1:
-                out[lost] = -np.log(SYMBOLS)
+            if k == 0:
+                out[lost] = -math.log(SYMBOLS)
             else:
                 lang = rest >> k * BITS
                 out[lost] = self.log_probability(lang << (k - 1) * BITS | rest & ((1 << (k - 1) * BITS) - 1), k - 1)
