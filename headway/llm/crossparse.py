@@ -22,7 +22,6 @@ from headway.llm.shared import Memo, keep, once, over_texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDECIDED = "und"
-_models: dict = {}
 
 
 class SuffixAutomaton:
@@ -193,7 +192,7 @@ def predicted(words: dict[str, list[str]]):
     key = uuid.uuid4().hex
 
     def start():
-        languages = once(_models, key, lambda: Languages(words))
+        languages = once(key, lambda: Languages(words))
 
         def work(texts):
             pairs = [languages.predict(t) for t in texts]

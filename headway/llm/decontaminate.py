@@ -26,7 +26,6 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 NORMAL = bytes(
     (c + 32 if 65 <= c <= 90 else c) if 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-_automata: dict = {}
 
 
 def normal_words(text: bytes | None) -> list[bytes]:
@@ -83,7 +82,7 @@ def _scanned(items: list[tuple[str, bytes]], size: int):
     key = uuid.uuid4().hex
 
     def start():
-        automaton = once(_automata, key, lambda: build(items, size))
+        automaton = once(key, lambda: build(items, size))
 
         def work(texts):
             columns = [[], [], [], []]

@@ -30,7 +30,6 @@ from headway.llm.shared import Memo, once, over_texts
 
 MARK = "▁"
 PART = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_loaded: dict = {}
 
 
 @dataclass
@@ -238,7 +237,7 @@ def coder(model: bytes) -> tuple[Encoder, Decoder]:
         encoder = Encoder(model)
         return encoder, Decoder(encoder.words)
 
-    return once(_loaded, hashlib.sha256(model).hexdigest(), make)
+    return once(hashlib.sha256(model).hexdigest(), make)
 
 
 def read_model(path: str) -> bytes:

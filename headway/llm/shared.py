@@ -50,7 +50,9 @@ def over_texts(start: Callable[[], Callable[[list], list]], **fields: str) -> Ca
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        _used.clear()
         work = start()
+        release_unused()
         for texts in batches:
             columns = work(texts.cast(pa.binary()).to_pylist())
             yield pa.StructArray.from_arrays(
@@ -61,12 +63,26 @@ def over_texts(start: Callable[[], Callable[[list], list]], **fields: str) -> Ca
     return arrow_udf(run, kind).asNondeterministic()
 
 
-def once(cache: dict, key: str, make: Callable):
-    """`make()` of the last `key` asked for; a worker process keeps one such object from task to task."""
-    if key not in cache:
-        cache.clear()
-        cache[key] = make()
-    return cache[key]
+_held: dict[str, object] = {}
+_used: set[str] = set()
+
+
+def once(key: str, make: Callable):
+    """`make()` of a key, kept in the worker process from task to task until a function without it runs there.
+
+    Workers outlive queries, so what earlier operators have built must not pile up in them.
+    """
+    _used.add(key)
+    if key not in _held:
+        release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
+def release_unused() -> None:
+    """Drops what functions before this one have kept."""
+    for key in _held.keys() - _used:
+        del _held[key]
 
 
 class Memo(dict):

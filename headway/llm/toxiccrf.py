@@ -33,7 +33,6 @@ MOST_FEATURES = 20_000
 AROUND = 8
 WINDOWS_PER_DOC = 4
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
-_taggers: dict = {}
 
 
 def features(word: str) -> list[str]:
@@ -307,7 +306,7 @@ def scored(model: Field, least: float = 0.5):
     key = uuid.uuid4().hex
 
     def start():
-        tagger = once(_taggers, key, lambda: Tagger(model)) if model.weights else None
+        tagger = once(key, lambda: Tagger(model)) if model.weights else None
 
         def work(texts):
             columns = [[], [], []]

@@ -22,7 +22,6 @@ from headway.llm.shared import Memo, once, over_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-_counters: dict = {}
 
 
 def unigram_vocabulary(model: bytes) -> list[tuple[str, float]]:
@@ -94,7 +93,7 @@ def counted(model: bytes):
         return Counter(vocabulary, sum(score == 0.0 for _, score in vocabulary))
 
     def start():
-        counter = once(_counters, hashlib.sha256(model).hexdigest(), make)
+        counter = once(hashlib.sha256(model).hexdigest(), make)
         return lambda texts: [[counter.count((t or b"").decode()) for t in texts]]
 
     return over_texts(start, n_tokens="long")
