@@ -16,7 +16,7 @@ from headway.operators.sampling import sample_by_gap
 from headway.plans import demand, tracks, weather
 from headway.plans import traffic as traffic_plan
 from headway.schemas import TICKET_MESSAGE, schema
-from headway.sinks.tables import prediction_log, to_messages
+from headway.sinks.tables import missing_rows, prediction_log, to_messages
 from headway.sources import messages as m
 
 # Messages
@@ -33,10 +33,17 @@ def s1_parsed_messages(v: Views):
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS timestamp FROM events"""
+    """SELECT event_id, CASE WHEN event_id % 7 = 1 THEN ts - INTERVAL 2 HOUR
+  WHEN event_id % 7 <> 0 THEN ts END AS timestamp FROM events"""
 )
 def s3_ingested_times(v: Views):
-    text = F.when(F.col("event_id") % 7 != 0, F.col("ts").cast("string")).otherwise("soon")
+    kind, plain = F.col("event_id") % 7, F.col("ts").cast("string")
+    text = (
+        F.when(kind == 0, "soon")
+        .when(kind == 1, F.concat(plain, F.lit("+02:00")))
+        .when(kind == 2, F.concat(plain, F.lit("Z")))
+        .otherwise(plain)
+    )
     return v.events.select("event_id", times.parse_timestamp(text).alias("timestamp"))
 
 
@@ -45,14 +52,17 @@ def s3_ingested_times(v: Views):
   WHEN 1 THEN date_trunc('second', ts)::TIMESTAMP END AS timestamp FROM events"""
 )
 def s4_parsed_times(v: Views):
-    iso = texts.iso_text(F.col("ts"))
+    """Among the unreadable ones: digits as a text, a number beyond all dates, a truth value."""
+    quoted = F.format_string('"%s"', texts.iso_text(F.col("ts")))
     seconds = F.timestamp_diff("SECOND", times.moment(times.EPOCH), F.col("ts"))
-    text = (
-        F.when(F.col("event_id") % 3 == 0, iso)
+    unreadable = F.array(*[F.lit(x) for x in ('"2025"', "9999999999999999", "true", '"noon"')])
+    json = (
+        F.when(F.col("event_id") % 3 == 0, quoted)
         .when(F.col("event_id") % 3 == 1, seconds.cast("string"))
-        .otherwise("12 o'clock")
+        .otherwise(unreadable[(F.floor(F.col("event_id") / 3) % 4).cast("int")])
     )
-    return v.events.select("event_id", times.parse_time(text).alias("timestamp"))
+    parsed = times.parse_time(F.try_parse_json(json))
+    return v.events.select("event_id", parsed.alias("timestamp"))
 
 
 @query(
@@ -73,7 +83,29 @@ def s7_routed_messages(v: Views):
     "messages",
 )
 def s9_message_page(v: Views):
-    return m.read_page(v.messages, cursor=500, limit=10).select("topic", "offset")
+    cursor = v.messages.select("topic", "partition").distinct().withColumn("offset", F.lit(500))
+    return m.read_page(v.messages, cursor, limit=10).select("topic", "offset")
+
+
+@query(
+    """SELECT topic, partition, "offset" FROM (
+  SELECT topic, (event % 4)::INTEGER AS partition, event // 4 AS "offset" FROM (
+    SELECT *, "offset" AS event FROM messages WHERE topic = 'gps.topic'))
+WHERE "offset" > CASE partition WHEN 0 THEN 40 WHEN 1 THEN 90 WHEN 2 THEN 20 ELSE -1 END
+ORDER BY "offset", partition LIMIT 25 OFFSET 25""",
+    "messages",
+)
+def s9_page_over_partitions(v: Views):
+    """The second page of a topic whose partitions repeat each other's offsets; one is not yet read."""
+    event = F.col("offset")
+    messages = v.messages.filter("topic = 'gps.topic'").select(
+        "topic", (event % 4).cast("int").alias("partition"), F.floor(event / 4).alias("offset")
+    )
+    places = messages.select("topic", "partition").distinct().filter("partition < 3")
+    read = F.when(F.col("partition") == 0, 40).when(F.col("partition") == 1, 90).otherwise(20)
+    cursor = places.withColumn("offset", read.cast("long"))
+    first = m.read_page(messages, cursor, limit=25)
+    return m.read_page(messages, m.next_cursor(first, cursor), limit=25)
 
 
 @query(
@@ -82,7 +114,7 @@ ORDER BY "offset" """,
     "messages",
 )
 def l1_recent_messages(v: Views):
-    return m.recent_messages(v.messages).select("offset", "topic")
+    return m.recent_messages(v.messages, ["offset"]).select("offset", "topic")
 
 
 @query(
@@ -139,6 +171,18 @@ def k2_inserted_if_absent(v: Views):
     return fresh.select("prediction_id", "route", "price")
 
 
+@query(
+    """SELECT * REPLACE (timestamp + INTERVAL 90 DAY AS timestamp) FROM first_predictions
+WHERE prediction_id NOT IN (SELECT prediction_id FROM predictions WHERE traffic = 'R')""",
+    "predictions",
+    "first_predictions",
+)
+def k2_known_at_other_times(v: Views):
+    """Whole new rows; known keys come again months after the times that the table has them at."""
+    later = v.predictions.withColumn("timestamp", F.col("timestamp") + F.expr("interval 90 days"))
+    return missing_rows(later, v.predictions.filter("traffic = 'R'"), "prediction_id", ARRIVAL)
+
+
 @query(
     """SELECT "user", arg_max(kind, "offset") AS kind,
   (max({'o': "offset", 'l': level}) FILTER (has_level)).l AS level
@@ -149,6 +193,20 @@ def k3_upserted_documents(v: Views):
     return merge.upsert_latest(v.messages, "user", ["offset"], ["kind", "level"])
 
 
+@query(
+    """SELECT "user", arg_max(kind || '2', "offset") AS kind FROM messages WHERE is_json
+GROUP BY "user" """,
+    "messages",
+)
+def k3_repeated_names(v: Views):
+    """Messages that carry a field twice; the last one counts."""
+    name = F.regexp_extract("value", '"kind":"([a-z]+)"', 1)
+    second = F.format_string('"kind":"%s2",', name)
+    again = F.concat(F.regexp_replace("value", "}$", ","), F.regexp_replace(second, ",$", "}"))
+    doubled = v.messages.withColumn("value", F.when(name != "", again).otherwise(F.col("value")))
+    return merge.upsert_latest(doubled, "user", ["offset"], ["kind"])
+
+
 @query(
     """SELECT route_short_name, strftime(timestamp_x, '%Y-%m-%d %H:%M:%S') AS timestamp,
   peak_hour = 1 AS peak_hour, round(sine_time, 6) AS sine_time, temperature,
@@ -185,64 +243,44 @@ def k9_sent_messages(v: Views):
 # Demand
 
 
+_CARRIED = "stop_id, route, bus_id, trip_id, peak_hour, hospital, school"
+_PREFIX = """stop_id || '-' || route || '-' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S') || '-'
+    || prediction_id::VARCHAR || '-' || n::VARCHAR"""
+
+
 @query(
-    """SELECT stop_id, passenger_type, count(*) AS tickets, sum(fare) AS fares,
-  sum(length(ticket_id))::BIGINT AS id_characters
-FROM (SELECT stop_id, CASE n % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'student' ELSE 'senior' END
-    AS passenger_type, CASE n % 3 WHEN 0 THEN 2.5::DOUBLE WHEN 1 THEN 1.25::DOUBLE
-    ELSE 1::DOUBLE END AS fare,
-    stop_id || '-' || route || '-' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '-'
-      || prediction_id::VARCHAR || '-' || n::VARCHAR AS ticket_id
-  FROM (SELECT *, unnest(range(predicted_passengers_in)) AS n FROM first_predictions))
-GROUP BY ALL""",
+    f"""SELECT {_PREFIX} AS ticket_id, timestamp, {_CARRIED},
+  CASE n % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'student' ELSE 'senior' END AS passenger_type,
+  CASE n % 3 WHEN 0 THEN 2.5::DOUBLE WHEN 1 THEN 1.25::DOUBLE ELSE 1::DOUBLE END AS fare
+FROM (SELECT *, unnest(range(predicted_passengers_in)) AS n FROM first_predictions)""",
     "first_predictions",
 )
 def q10_tickets(v: Views):
-    tickets, _ = demand.expand_counts(v.predictions, ARRIVAL)
-    return tickets.groupBy("stop_id", "passenger_type").agg(
-        F.count("*").alias("tickets"),
-        F.sum("fare").alias("fares"),
-        F.sum(F.length("ticket_id")).alias("id_characters"),
-    )
+    return demand.expand_counts(v.predictions, ARRIVAL)[0]
 
 
 @query(
-    """SELECT stop_id, bus_id, count(*) AS readings, sum(status)::BIGINT AS statuses,
-  sum(length(measurement_id))::BIGINT AS id_characters
-FROM (SELECT stop_id, bus_id, 1 AS status,
-    stop_id || '-' || route || '-' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '-'
-      || prediction_id::VARCHAR || '-' || n::VARCHAR AS measurement_id
-  FROM (SELECT *, unnest(range(predicted_passengers_out)) AS n FROM first_predictions))
-GROUP BY ALL""",
+    f"""SELECT {_PREFIX} AS measurement_id, timestamp, {_CARRIED}, 1 AS status,
+  2 AS activation_type
+FROM (SELECT *, unnest(range(predicted_passengers_out)) AS n FROM first_predictions)""",
     "first_predictions",
 )
 def q10_sensors(v: Views):
-    _, sensors = demand.expand_counts(v.predictions, ARRIVAL)
-    return sensors.groupBy("stop_id", "bus_id").agg(
-        F.count("*").alias("readings"),
-        F.sum("status").alias("statuses"),
-        F.sum(F.length("measurement_id")).alias("id_characters"),
-    )
+    return demand.expand_counts(v.predictions, ARRIVAL)[1]
 
 
 @query(
-    """SELECT stop_id, strftime(day, '%Y-%m-%d') AS service_day, count(*) AS departures,
-  min(moment) AS first_departure, max(moment) AS last_departure
-FROM (SELECT stop_id, day, day + to_hours(departure_time[1:2]::INTEGER)
-    + to_minutes(departure_time[4:5]::INTEGER) AS moment
-  FROM stop_times, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01',
-    TIMESTAMP '2024-01-07', INTERVAL 1 DAY)) AS day))
-GROUP BY stop_id, day""",
+    """SELECT trip_id, stop_id, stop_sequence, departure_time,
+  strftime(day, '%Y-%m-%d') AS service_day,
+  (day + to_hours(departure_time[1:2]::INTEGER) + to_minutes(departure_time[4:5]::INTEGER))
+    ::TIMESTAMP AS timestamp
+FROM stop_times, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-07',
+  INTERVAL 1 DAY)) AS day)""",
     "stop_times",
 )
 def j16_dated_departures(v: Views):
     dated = dated_schedule(v.stop_times, date(2024, 1, 1), date(2024, 1, 7), "departure_time")
-    departures = dated.groupBy("stop_id", "service_day").agg(
-        F.count("*").alias("departures"),
-        F.min("timestamp").alias("first_departure"),
-        F.max("timestamp").alias("last_departure"),
-    )
-    return departures.withColumn("service_day", F.col("service_day").cast("string"))
+    return dated.withColumn("service_day", F.col("service_day").cast("string"))
 
 
 # Geometry
@@ -288,7 +326,7 @@ _MICROS = "round_even(km / 30 * 3600 * 1000000, 0)::BIGINT"
 
 @query(
     f"""SELECT m.shape_id, m.stop_id || '-' || m.route || '-'
-    || strftime(m.timestamp, '%Y-%m-%d %H:%M:%S') || '-' || g.sequence::VARCHAR AS measurement_id,
+    || strftime(m.timestamp, '%Y-%m-%dT%H:%M:%S') || '-' || g.sequence::VARCHAR AS measurement_id,
   m.stop_sequence::INTEGER AS sequence, round(g.lat, 6) AS latitude, round(g.lon, 6) AS longitude,
   date_trunc('second', m.timestamp + to_microseconds(g.elapsed))::TIMESTAMP AS timestamp
 FROM ({_FIRST_OF_SHAPE}) m
@@ -370,7 +408,7 @@ def c6_traffic_codes(v: Views):
 
 
 @query(
-    """SELECT stop_id || '-' || route || '-' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '-'
+    """SELECT stop_id || '-' || route || '-' || strftime(timestamp, '%Y-%m-%dT%H:%M:%S') || '-'
     || prediction_id::VARCHAR AS measurement_id, shape_id, traffic AS traffic_level
 FROM (SELECT * FROM predictions QUALIFY row_number() OVER (PARTITION BY shape_id
       ORDER BY timestamp, part, supplier, quantity, price, prediction_id) = 1)""",
@@ -405,38 +443,50 @@ def k4_weather_snapshot(v: Views):
 
 
 _FAULTS = {
-    1: "Missing required field: latitude",
-    2: "Array fields must have the same length",
-    3: "Temperature values must be numbers",
-    4: "Precipitation probability must be between 0 and 100",
+    1: "latitude:missing",
+    2: "arrays:length",
+    3: "temperature:number",
+    4: "precipitation_probability:range",
+    5: "weather_code:number",
+    6: "hour:missing",
 }
 
 
 def faulty_messages(v: Views):
-    """Weather messages with a fault that depends on the day."""
-    kind = F.col("offset") % 5
-    return v.weather_messages.withColumns(
-        {
-            "latitude": F.when(kind != 1, F.col("latitude")),
-            "hour": F.when(kind == 2, F.slice("hour", 2, 100)).otherwise(F.col("hour")),
-            "temperature": F.transform("temperature", lambda t: F.when(kind != 3, t)),
-            "precipitation_probability": F.transform(
-                "precipitation_probability", lambda p: F.when(kind == 4, p + 101).otherwise(p)
-            ),
-        }
-    )
+    """Weather messages as JSON with a fault that depends on the day: a field left out, a shorter
+    array, a text among numbers, a value out of range, a fraction for a code, no array at all."""
+    kind = F.col("offset") % 7
+    field = lambda name, text: F.concat(F.lit(f'"{name}":'), text)
+    array = lambda column: F.concat(F.lit("["), F.array_join(column, ","), F.lit("]"))
+    numbers = lambda name: F.transform(name, lambda x: x.cast("string"))
+    hours = F.transform("hour", lambda h: F.concat(F.lit('"'), h, F.lit('"')))
+    hour_array = F.when(kind == 2, array(F.slice(hours, 2, 100))).otherwise(array(hours))
+    parts = [
+        F.when(kind != 1, field("latitude", F.lit("46.0"))),
+        field("longitude", F.lit("11.0")),
+        field("timestamp", F.concat(F.lit('"'), F.col("timestamp"), F.lit('"'))),
+        field("hour", F.when(kind == 6, F.lit('"noon"')).otherwise(hour_array)),
+        field("temperature", array(F.when(kind == 3, F.transform(numbers("temperature"), lambda t: F.lit('"warm"'))).otherwise(numbers("temperature")))),
+        field(
+            "precipitation_probability",
+            array(F.transform("precipitation_probability", lambda p: (p + F.when(kind == 4, 101).otherwise(0)).cast("string"))),
+        ),
+        field("weather_code", array(F.when(kind == 5, F.transform(numbers("weather_code"), lambda c: F.lit('"x"'))).otherwise(numbers("weather_code")))),
+    ]
+    value = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return v.weather_messages.select("offset", value.alias("value"))
 
 
 @query(
-    """SELECT day, CASE day % 5 """
+    """SELECT day, CASE day % 7 """
     + " ".join(f"WHEN {kind} THEN '{text}'" for kind, text in _FAULTS.items())
     + """ END AS reason
 FROM (SELECT DISTINCT (hour::DATE - DATE '1970-01-01')::BIGINT AS day FROM weather)
-WHERE day % 5 <> 0""",
+WHERE day % 7 <> 0""",
     "weather",
 )
 def f10_rejected_weather(v: Views):
-    _, rejected = weather.check_weather(faulty_messages(v))
+    _, rejected = weather.check_weather(weather.decode_weather(faulty_messages(v), keep=["offset"]))
     return rejected.select(F.col("offset").alias("day"), "reason")
 
 

@@ -6,12 +6,9 @@ from headway.catalog.registry import query
 from headway.catalog.views import Views
 from headway.functions import texts
 from headway.operators.champion import mark_champions
+from headway.operators.filters import complete_columns
 from headway.plans import dashboards, model
 
-# Fewer and flatter trees than the default, so that the check runs quickly.
-ROUNDS, DEPTH = 5, 4
-
-
 @query(
     """SELECT name, model_key, accuracy, timestamp,
   accuracy < coalesce(min(accuracy) OVER (PARTITION BY name ORDER BY timestamp, model_key
@@ -113,12 +110,85 @@ def c15_route_texts(v: Views):
     )
 
 
+@query(
+    """SELECT trip_id_x, timestamp_x, share, peak_hour, event_dummy, school, hospital, weekend,
+  round(sine_time, 6) AS sine_time, temperature, precipitation_probability, weather_code,
+  round(congestion_rate, 6) AS congestion_rate, CASE traffic_level WHEN 'no traffic/low' THEN 0
+    WHEN 'medium' THEN 1 WHEN 'heavy' THEN 2 WHEN 'severe/standstill' THEN 3 END AS traffic_level
+FROM (SELECT *, (('0x' || md5(trip_id_x || '|' || strftime(timestamp_x, '%Y-%m-%d %H:%M:%S'))[1:8])
+  ::BIGINT % 100)::INTEGER AS share FROM feature_table)""",
+    "feature_table",
+)
+def m1_model_table(v: Views):
+    table = model.model_table(v.feature_table)
+    return table.withColumns({n: F.round(n, 6) for n in ("sine_time", "congestion_rate")})
+
+
+@query(
+    """SELECT unnest(['trip_id_x', 'timestamp_x', 'peak_hour', 'sine_time', 'temperature',
+  'weather_code', 'event_dummy', 'congestion_rate', 'school', 'hospital', 'weekend']) AS column_name
+FROM (SELECT count(*) AS n FROM feature_table WHERE traffic_level = 'heavy') WHERE n > 0""",
+    "feature_table",
+)
+def f11_complete_columns(v: Views):
+    """Columns without a gap, of a table with a missing level and a number that is none."""
+    gaps = v.feature_table.withColumns(
+        {
+            "traffic_level": F.when(F.col("traffic_level") != "heavy", F.col("traffic_level")),
+            "precipitation_probability": F.when(
+                F.col("traffic_level") == "heavy", F.lit(float("nan"))
+            ).otherwise(F.col("precipitation_probability")),
+        }
+    )
+    names = [(name,) for name in complete_columns(gaps)]
+    return v.spark.createDataFrame(names, "column_name string")
+
+
+@query(
+    """SELECT count(*) AS test_rows, round(sqrt(avg((congestion_rate - (SELECT avg(congestion_rate)
+  FROM shared WHERE share < 70)) ** 2)), 6) AS rmse
+FROM shared WHERE share >= 70""".replace(
+        "shared",
+        """(SELECT congestion_rate, ('0x' || md5(trip_id_x || '|' || strftime(timestamp_x,
+  '%Y-%m-%d %H:%M:%S'))[1:8])::BIGINT % 100 AS share FROM feature_table)""",
+    ),
+    "feature_table",
+)
+def m5_root_tree_rmse(v: Views):
+    """A tree without a split predicts the mean of the training rows, so its error is known."""
+    trained = model.train_tree(v.feature_table, depth=0)
+    scored = model.score(trained, model.test_rows(model.model_table(v.feature_table)))
+    rmse = model.rmse(scored, "congestion_rate", "prediction")
+    return scored.agg(F.count("*").alias("test_rows"), F.lit(rmse.scalar()).alias("rmse")).select(
+        "test_rows", F.round("rmse", 6).alias("rmse")
+    )
+
+
+@query(
+    """SELECT unnest(['peak_hour', 'sine_time', 'temperature', 'precipitation_probability',
+  'weather_code', 'traffic_level', 'event_dummy', 'school', 'hospital', 'weekend']) AS feature,
+  true AS consistent"""
+)
+def m4_split_statistics(v: Views):
+    """Means times splits are totals, and a feature has importance just where it has splits."""
+    trained = model.train_tree(v.feature_table)
+    kinds = model.split_statistics(trained, v.feature_table).join(
+        model.feature_importance(trained, v.feature_table), "feature"
+    )
+    same = [
+        F.abs(F.col(mean) * F.col("weight") - F.col(f"total_{mean}")) < 1e-6
+        for mean in ("gain", "cover")
+    ]
+    used = (F.col("importance") > 0) == (F.col("total_gain") > 0)
+    return kinds.select("feature", (same[0] & same[1] & used).alias("consistent"))
+
+
 # Trained models have no counterpart in SQL.
 
 
 @query()
 def m2_boosted_forecast(v: Views):
-    trained = model.train_boosted(v.feature_table, rounds=ROUNDS, depth=DEPTH)
+    trained = model.train_boosted(v.feature_table)
     return model.score(trained, _grid(v)).select("route_short_name", "timestamp", "prediction")
 
 

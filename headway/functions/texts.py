@@ -3,10 +3,14 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MISSING = "None"
+
 
 def composite_id(*parts: Column) -> Column:
-    """Parts joined by dashes; timestamps print in ISO form."""
-    return F.concat_ws("-", *parts)
+    """Parts joined by dashes. A missing part leaves its mark, so that ids stay apart; give
+    timestamps as ``iso_text``."""
+    columns = [F.col(part) if isinstance(part, str) else part for part in parts]
+    return F.concat_ws("-", *[F.coalesce(c.cast("string"), F.lit(MISSING)) for c in columns])
 
 
 def iso_text(ts: Column) -> Column:

@@ -15,19 +15,36 @@ def moment(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+_ZONED = r":[0-9]{2}.*(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
 def parse_timestamp(text: Column) -> Column:
-    """S3: text to a zone-free timestamp; NULL where the text is not one."""
-    return text.try_cast("timestamp_ntz")
-
-
-def parse_time(text: Column) -> Column:
-    """ISO text, or seconds since 1970, to a zone-free timestamp; NULL where it is neither."""
-    text = text.cast("string")
-    micros = F.round(text.try_cast("double") * 1_000_000).cast("bigint")
-    return F.when(
-        text.rlike(r"^[+-]?[0-9]+([.][0-9]+)?$"),
-        F.timestamp_add("MICROSECOND", micros, moment(EPOCH)),
-    ).otherwise(parse_timestamp(text))
+    """S3: text to a zone-free timestamp in UTC; NULL where the text is not one. Text without an
+    offset is taken as it stands."""
+    instant = _since_epoch(F.unix_micros(text.try_cast("timestamp")))
+    return F.when(text.rlike(_ZONED), instant).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def parse_epoch(seconds: Column) -> Column:
+    """Seconds since 1970 to a zone-free timestamp; NULL where that is out of range."""
+    micros = F.round(seconds.cast("double") * 1_000_000)
+    # Years 1 to 9999, which is all that a timestamp may hold here.
+    known = micros.between(-62_135_596_800_000_000, 253_402_300_799_999_999)
+    return _since_epoch(F.when(known, micros).try_cast("bigint"))
+
+
+def parse_time(value: Column) -> Column:
+    """A JSON value (variant) to a zone-free timestamp: text in ISO form, or a number of
+    seconds since 1970. NULL for anything else; a text of digits is not a number."""
+    kind = F.schema_of_variant(value)
+    number = kind.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)")
+    text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
+    iso = F.when(text.rlike("^[0-9]{4}-"), parse_timestamp(text))
+    return F.when(number, parse_epoch(F.try_variant_get(value, "$", "double"))).otherwise(iso)
+
+
+def _since_epoch(micros: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", micros, moment(EPOCH))
 
 
 def day_start(ts: Column) -> Column:

@@ -20,8 +20,8 @@ def asof_backward(
 
     The right side becomes intervals [time, next time), cut up by calendar day, so that the join is
     an equi-join on the day plus a range test. Spark then broadcasts the right side where it is
-    small and sorts or splits by day where it is not; nothing relies on it being small. A left row
-    meets the intervals of its own day only, and exactly one of them matches. Left rows before the
+    small and sorts or splits by day where it is not. A left row meets the intervals of its own day
+    only, as many as the day has right times, and exactly one of them matches. Left rows before the
     first right row get NULLs; of equal right times the last in ``tie`` order counts.
     """
     timed = (
@@ -29,32 +29,37 @@ def asof_backward(
         .select(F.col(right_on).alias("_start"), *values, *[n for n in tie if n not in values])
         .withColumn("_day", F.to_date("_start"))
     )
-    steps = last_per_key(timed, ["_start", "_day"], list(tie) or list(values))
+    # One shuffle by day serves the rows within a day, the last row of each day and the last of
+    # all: the three select the same columns of it, so it is computed once.
+    day = Window.partitionBy("_day")
+    stepped = (
+        last_per_key(timed, ["_start", "_day"], list(tie) or list(values))
+        .select("_day", "_start", *values)
+        .withColumn("_end", F.lead("_start").over(day.orderBy("_start")))
+        .withColumn("_day_start", F.min("_start").over(day))
+    )
+    within = stepped.filter(F.col("_end").isNotNull())
     # One row per calendar day that has right rows: this window stays small at any data size.
-    days = timed.groupBy("_day").agg(F.min("_start").alias("_day_start"))
     calendar = Window.orderBy("_day")
-    following = days.select(
-        "_day",
-        F.lead("_day").over(calendar).alias("_next_day"),
-        F.lead("_day_start").over(calendar).alias("_next_start"),
+    ends = stepped.filter(F.col("_end").isNull())
+    following = ends.withColumns(
+        {
+            "_end": F.lead("_day_start").over(calendar),
+            "_next_day": F.lead("_day").over(calendar),
+        }
     )
-    within_day = Window.partitionBy("_day").orderBy("_start")
-    ended = steps.withColumn("_end", F.lead("_start").over(within_day)).join(following, "_day")
     # The last interval of a day reaches to the next day that has rows, over any gap between.
     reach = F.when(
-        F.col("_end").isNull() & F.col("_next_day").isNotNull(),
-        F.sequence(F.col("_day"), F.col("_next_day")),
+        F.col("_next_day").isNotNull(), F.sequence(F.col("_day"), F.col("_next_day"))
     ).otherwise(F.array("_day"))
-    intervals = ended.select(
-        F.explode(reach).alias("_day"),
-        "_start",
-        F.coalesce("_end", "_next_start").alias("_end"),
-        *values,
-    )
-    last_day = timed.agg(F.max("_day")).scalar()
+    columns = ["_start", "_end", *values]
+    over_days = following.select(F.explode(reach).alias("_reached"), *columns)
+    intervals = within.select(F.col("_day").alias("_reached"), *columns).union(over_days)
+    newest = ends.agg(F.max_by(F.struct("_day", "_day_start", *columns), "_day").alias("last"))
+    last_day = newest.select("last._day").scalar()
     placed = left.withColumn("_left_day", F.least(F.to_date(left_on), last_day))
     matches = (
-        (F.col("_left_day") == F.col("_day"))
+        (F.col("_left_day") == F.col("_reached"))
         & (F.col(left_on) >= F.col("_start"))
         & (F.col("_end").isNull() | (F.col(left_on) < F.col("_end")))
     )

@@ -32,5 +32,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def new_rows(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key that the existing table does not hold."""
-    return df.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
+    """One row per key that the existing table does not hold. Of several rows of a key the
+    least by the other columns, in their order, is taken."""
+    one = first_per_key(df, keys, [name for name in df.columns if name not in keys] or list(keys))
+    return one.join(existing.select(*keys), list(keys), "left_anti").select(df.columns)

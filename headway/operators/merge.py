@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators.expand import with_parsed
-from headway.operators.filters import within_range_of
 from headway.operators.keyed import first_per_key
 
 
@@ -15,19 +14,25 @@ def insert_if_absent(
     existing: DataFrame,
     key: str,
     order: Sequence[str],
-    partition: str | None = None,
 ) -> DataFrame:
-    """K2: rows to append. The first message of a key wins; known and NULL keys are left out.
-
-    ``partition`` names a column that the key determines (such as the day within the id) and by
-    which the existing table is stored: only partitions in the range of the incoming rows are read.
-    """
+    """K2: rows to append. The first message of a key wins; known and NULL keys are left out. Of
+    the table only the key column is read, but all of it: a key may come again at any time."""
     firsts = first_per_key(incoming.filter(F.col(key).isNotNull()), [key], order)
-    if partition is not None:
-        existing = within_range_of(existing, incoming, partition)
     return firsts.join(existing.select(key), key, "left_anti").select(*incoming.columns)
 
 
+def json_fields(value: str) -> Column:
+    """Fields of a JSON object as a map of JSON texts; of a name that is repeated the last counts."""
+    read = F.from_json(value, "map<string,string>")
+    entries = F.map_entries(read)
+    names = F.array_distinct(F.map_keys(read))
+    last = F.transform(
+        names, lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"]
+    )
+    repeated = F.size(names) < F.size(entries)
+    return F.when(repeated, F.map_from_arrays(names, last)).otherwise(read)
+
+
 def message_fields(
     messages: DataFrame, unique: Column, order: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -37,7 +42,7 @@ def message_fields(
     field that a message does not carry yields no row. Messages without the unique field, or that
     are not JSON objects, are dropped. Values are JSON text.
     """
-    parsed = with_parsed(messages, "_fields", F.from_json("value", "map<string,string>"))
+    parsed = with_parsed(messages, "_fields", json_fields("value"))
     return (
         parsed.select(
             *keep, "_fields", unique.alias("_unique"), F.struct(*order).alias("position")
@@ -80,7 +85,7 @@ def upsert_latest(
     message counts for a field only if it carries it.
     """
     fields, position = F.col("_fields"), F.struct(*order)
-    parsed = with_parsed(messages, "_fields", F.from_json("value", "map<string,string>"))
+    parsed = with_parsed(messages, "_fields", json_fields("value"))
     latest = [
         F.max_by(fields[name], F.when(F.map_contains_key(fields, name), position)).alias(name)
         for name in names

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway import constants as K
 from headway.functions.bands import fare
-from headway.functions.texts import composite_id
+from headway.functions.texts import composite_id, iso_text
 from headway.operators.expand import repeat_rows
 from headway.operators.keyed import first_per_key
 
@@ -23,7 +23,7 @@ def first_predictions(predictions: DataFrame, order: Sequence[str]) -> DataFrame
 def _numbered(predictions: DataFrame, count: str, name: str) -> DataFrame:
     """A row per passenger with an id. All of the id but the position is put together
     once per prediction."""
-    prefix = composite_id("stop_id", "route", "timestamp", "prediction_id")
+    prefix = composite_id("stop_id", "route", iso_text(F.col("timestamp")), "prediction_id")
     copies = repeat_rows(predictions.withColumn("_prefix", prefix), F.col(count), "position")
     return copies.withColumn(name, composite_id("_prefix", "position"))
 

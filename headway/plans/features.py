@@ -136,7 +136,7 @@ def trip_traffic(days: DataFrame, trips: DataFrame, traffic: DataFrame, needed)
         F.col("shape_id").alias("_shape"),
         F.struct("timestamp", "measurement_id", *TRAFFIC_VALUES).alias("_traffic"),
     )
-    listed = trips.filter(F.col("route_id").isNotNull() & F.col("trip_id").isNotNull())
+    listed = trips.filter(F.col("trip_id").isNotNull())
     by_trip = (
         listed.select(F.col("trip_id").alias("_trip"), "shape_id")
         .join(at_shape, F.col("shape_id").eqNullSafe(F.col("_shape")), "left")

@@ -46,9 +46,8 @@ def train_boosted(
     """M2: boosted trees. Rounds stop early on a part of the training rows of its own, so that the
     test rows stay unseen."""
     held_out = F.col("share") >= TRAIN_PERCENT - VALIDATION_PERCENT
-    table = training_rows(model_table(features)).withColumn("held_out", held_out)
     return _fit(
-        table,
+        model_table(features).withColumn("held_out", held_out),
         GBTRegressor(
             maxIter=rounds,
             maxDepth=depth,
@@ -62,20 +61,25 @@ def train_boosted(
     )
 
 
-def train_tree(features: DataFrame) -> PipelineModel:
-    """M3: a single decision tree with default settings."""
-    return _fit(training_rows(model_table(features)), DecisionTreeRegressor(seed=SEED))
+def train_tree(features: DataFrame, depth: int = 30, bins: int = 256) -> PipelineModel:
+    """M3: a single decision tree that grows out: 30 levels are the most MLlib allows."""
+    learner = DecisionTreeRegressor(maxDepth=depth, maxBins=bins, minInstancesPerNode=1, seed=SEED)
+    return _fit(model_table(features), learner)
 
 
 def _fit(table: DataFrame, learner) -> PipelineModel:
-    """Every round reads the rows again, so they are kept for the time of the fit."""
+    """inputs are the columns without a gap in the whole table, test rows included; then the
+    training rows are fitted. Every round reads them again, so they are kept for that time.
+
+    A gap in a row that is scored later counts as NaN, which every split sends to the right.
+    """
     table = table.persist()
     try:
         complete = complete_columns(table)
         names = [name for name in K.MODEL_INPUTS if name in complete]
-        assembler = VectorAssembler(inputCols=names, outputCol="inputs")
+        assembler = VectorAssembler(inputCols=names, outputCol="inputs", handleInvalid="keep")
         learner = learner.setFeaturesCol("inputs").setLabelCol(K.MODEL_LABEL)
-        return PipelineModel([assembler, learner.fit(assembler.transform(table))])
+        return PipelineModel([assembler, learner.fit(assembler.transform(training_rows(table)))])
     finally:
         table.unpersist()
 
@@ -93,6 +97,34 @@ def feature_importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return table.orderBy(F.col("importance").desc(), "feature")
 
 
+def split_statistics(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """M4: per model input the number of splits on it (``weight``), their mean and total gain and
+    their mean and total number of rows (``cover``). Read off the model's nodes on the driver,
+    where the model is anyway."""
+    names, learned = model.stages[0].getInputCols(), model.stages[1]
+    found = {name: [0, 0.0, 0.0] for name in names}
+    trees = getattr(learned, "trees", None)
+    roots = [t._call_java("rootNode") for t in trees] if trees else [learned._call_java("rootNode")]
+    while roots:
+        node = roots.pop()
+        if node.subtreeDepth() == 0:
+            continue
+        total = found[names[node.split().featureIndex()]]
+        total[0] += 1
+        total[1] += node.gain()
+        total[2] += node.impurityStats().count()
+        roots += [node.leftChild(), node.rightChild()]
+    lines = [
+        (name, n, gain / n if n else 0.0, float(cover) / n if n else 0.0, gain, float(cover))
+        for name, (n, gain, cover) in found.items()
+    ]
+    return rows.sparkSession.createDataFrame(
+        lines,
+        "feature string, weight long, gain double, cover double, total_gain double, "
+        "total_cover double",
+    )
+
+
 def rmse(rows: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
     """Root mean squared error, optionally per key."""
     error = F.col(label) - F.col(prediction)

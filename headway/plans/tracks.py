@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway import constants as K
 from headway.functions.geometry import manhattan_km
-from headway.functions.texts import composite_id
+from headway.functions.texts import composite_id, iso_text
 from headway.operators.filters import has_text
 from headway.operators.keyed import first_per_key
 
@@ -110,7 +110,7 @@ def gps_track(
         .withColumnRenamed("sequence", "position")
         .join(firsts, "shape_id")
         .select(
-            composite_id("stop_id", "route", "timestamp", position).alias("measurement_id"),
+            composite_id("stop_id", "route", iso_text(F.col("timestamp")), position).alias("measurement_id"),
             F.timestamp_add("MICROSECOND", F.col("elapsed"), F.col("timestamp")).alias("timestamp"),
             "stop_id",
             "route",

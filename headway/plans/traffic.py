@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.bands import delay_percent, traffic_level
-from headway.functions.texts import composite_id
+from headway.functions.texts import composite_id, iso_text
 from headway.operators.expand import with_parsed
 from headway.operators.keyed import first_per_key
 from headway.schemas import TRAVEL_TIME_REPLY
@@ -44,7 +44,7 @@ def stated_traffic(predictions: DataFrame, order: Sequence[str]) -> DataFrame:
     included, with the level the message states and no travel times."""
     firsts = first_per_key(predictions, ["shape_id"], order)
     return firsts.select(
-        composite_id("stop_id", "route", "timestamp", "prediction_id").alias("measurement_id"),
+        composite_id("stop_id", "route", iso_text(F.col("timestamp")), "prediction_id").alias("measurement_id"),
         *_CARRIED,
         F.col("traffic").alias("traffic_level"),
         F.lit(None).cast("int").alias("normal"),

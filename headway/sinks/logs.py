@@ -7,13 +7,18 @@ removed whenever storage calls for it.
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from headway.schemas import TYPES
-from headway.sinks.tables import BATCH, VERSION, read_parts, write_part, write_version
+from headway.sinks.tables import (
+    BATCH,
+    VERSION,
+    newest_version,
+    read_parts,
+    write_part,
+    write_version,
+)
 
 
 def add_to_log(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
@@ -23,20 +28,15 @@ def add_to_log(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
 def read_log(
     spark: SparkSession, path: str, schema: StructType, before: int | None = None
 ) -> DataFrame:
-    """Rows of the newest base and of the parts after it; with ``before``, of earlier batches only."""
-    columns = schema.names
-    parts = read_parts(spark, f"{path}/parts", _with(schema, BATCH))
-    if before is not None:
-        parts = parts.filter(F.col(BATCH) < before)
-    try:
-        bases = spark.read.schema(_with(schema, VERSION)).parquet(f"{path}/base")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return parts.select(*columns)
-    newest = bases.agg(F.max(VERSION)).scalar()
-    base = bases.filter(F.col(VERSION) == newest)
-    return base.select(*columns).union(parts.filter(F.col(BATCH) > newest).select(*columns))
+    """Rows of the newest base and of the parts after it; with ``before``, of earlier batches only.
+    Nothing else is opened, however old the log is."""
+    base = newest_version(spark, f"{path}/base", before)
+    parts = read_parts(spark, f"{path}/parts", _with(schema, BATCH), base, before)
+    rows = parts.select(*schema.names)
+    if base is None:
+        return rows
+    folded = spark.read.schema(schema).parquet(f"{path}/base/{VERSION}={base}")
+    return folded.select(*schema.names).union(rows)
 
 
 def fold_log(
@@ -49,9 +49,16 @@ def fold_log(
 ) -> None:
     """Make the rows up to a finished batch the new base. ``fold`` must be associative: reducing
     its result with later rows has to give what reducing all rows gives."""
+    if newest_version(spark, f"{path}/base", upto + 1) == upto:
+        return  # folded before, in an earlier try of the same batch
     rows = read_log(spark, path, schema, before=upto + 1)
     write_version(fold(rows).select(*schema.names), f"{path}/base", upto, *by)
 
 
+def fold_now(batch_id: int, every: int) -> bool:
+    """Whether a stream folds after this batch; it then folds the batches before it."""
+    return batch_id > 0 and batch_id % every == 0
+
+
 def _with(schema: StructType, partition: str) -> StructType:
     return StructType([*schema.fields, StructField(partition, TYPES["int"])])

@@ -6,13 +6,12 @@ was, names its part after the batch and overwrites that part, so a repeat change
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.constants import FEATURE_KEY
-from headway.functions.times import moment
+from headway.operators.filters import within_range_of
 from headway.operators.keyed import new_rows
 from headway.operators.merge import insert_if_absent
 from headway.schemas import PREDICTION_LOG
@@ -27,14 +26,40 @@ def write_part(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def read_parts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All parts; an empty table while nothing is written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the ``name=number`` folders below a path, in order; one listing of names."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(root)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write of a folder has ended: its marker is written last."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def read_parts(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    after: int | None = None,
+    before: int | None = None,
+) -> DataFrame:
+    """The parts of batches after and before the given ones, opened by name; an empty table while
+    there are none. A part that is still being written is left out."""
+    paths = [
+        f"{path}/{BATCH}={n}"
+        for n in numbered_folders(spark, path, BATCH)
+        if (after is None or n > after) and (before is None or n < before)
+    ]
+    paths = [p for p in paths if is_committed(spark, p)]
+    if not paths:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
 def write_version(df: DataFrame, path: str, version: int, *by: str) -> None:
@@ -43,16 +68,24 @@ def write_version(df: DataFrame, path: str, version: int, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{VERSION}={version}")
 
 
-def read_version(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a replaced table; files of older versions are not opened."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max(VERSION)).scalar()
-    return versions.filter(F.col(VERSION) == newest).drop(VERSION)
+def newest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """Number of the newest version whose write has ended, of those before ``before`` if given."""
+    for n in reversed(numbered_folders(spark, path, VERSION)):
+        if (before is None or n < before) and is_committed(spark, f"{path}/{VERSION}={n}"):
+            return n
+    return None
+
+
+def read_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest finished version of a replaced table; no file of another version is opened."""
+    return spark.read.parquet(f"{path}/{VERSION}={newest_version(spark, path, before)}")
 
 
 def append_new_features(features: DataFrame, existing: DataFrame) -> DataFrame:
-    """K6: the feature rows whose (trip, timestamp) the table does not hold yet."""
-    return new_rows(features, existing, FEATURE_KEY)
+    """K6: the feature rows whose (trip, timestamp) the table does not hold yet. The key carries
+    its time, so only rows of the table within the time span of the new ones are read."""
+    within = within_range_of(existing, features, FEATURE_KEY[1])
+    return new_rows(features, within, FEATURE_KEY)
 
 
 def prediction_log(predictions: DataFrame) -> DataFrame:
@@ -70,7 +103,6 @@ def to_messages(df: DataFrame, topic: str, columns: Sequence[str] | None = None)
     return df.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*(columns or "*"))).alias("value"))
 
 
-
 def send_messages(messages: DataFrame, servers: str) -> None:
     """K9: messages to a broker (the connector must be on the class path)."""
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
@@ -81,16 +113,10 @@ def append_to_database(df: DataFrame, url: str, table: str, **properties: str) -
     df.write.format("jdbc").mode("append").options(url=url, dbtable=table, **properties).save()
 
 
-def missing_rows(
-    df: DataFrame, existing: DataFrame, key: str, order: Sequence[str], time: str = "timestamp"
-) -> DataFrame:
-    """K1, K2: the rows to append so that every key is in the table once.
+def missing_rows(df: DataFrame, existing: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """K1, K2: the rows to append so that every key is in the table once, whatever its time.
 
-    The existing table is read only over the time span of the new rows (their keys carry their
-    time), so a repeated batch finds what an earlier try has already committed.
+    Only the key column of the table is read, and a repeated batch finds what an earlier try has
+    already committed.
     """
-    span = df.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
-    if span["low"] is not None:
-        same_time = F.col(time).between(moment(span["low"]), moment(span["high"]))
-        existing = existing.filter(same_time | F.col(time).isNull())
     return insert_if_absent(df, existing, key, order)

@@ -16,7 +16,10 @@ from headway.functions.times import parse_timestamp
 from headway.operators.expand import with_parsed
 from headway.schemas import schema
 
-MESSAGE_SCHEMA = schema("topic string, partition int, offset long, value string")
+MESSAGE_SCHEMA = schema("topic string, partition int, offset long, sent_at timestamp, value string")
+# Offsets count per partition, so the broker's time comes first in the order of arrival.
+ARRIVAL = ("sent_at", "partition", "offset")
+_PLACE = ["topic", "partition"]
 _DATA, _BROKEN = "_data", "_broken"
 
 
@@ -39,7 +42,11 @@ def broker_stream(spark: SparkSession, servers: str, topics: Sequence[str], **op
         **(broker_options(servers, topics) | {k: str(v) for k, v in options.items()})
     )
     return reader.load().select(
-        "topic", "partition", "offset", F.col("value").cast("string").alias("value")
+        "topic",
+        "partition",
+        "offset",
+        F.col("timestamp").alias("sent_at"),
+        F.col("value").cast("string").alias("value"),
     )
 
 
@@ -110,32 +117,41 @@ def route_topics(messages: DataFrame) -> DataFrame:
 
 
 def recent_messages(
-    messages: DataFrame, order: Sequence[str] = ("offset",), limit: int = K.RECENT_MESSAGES
+    messages: DataFrame, order: Sequence[str] = ARRIVAL, limit: int = K.RECENT_MESSAGES
 ) -> DataFrame:
     """L1: the last messages in arrival order (each task keeps its own top rows first)."""
     newest = messages.orderBy(*[F.col(name).desc() for name in order]).limit(limit)
     return newest.orderBy(*order)
 
 
-def latest_message(messages: DataFrame, order: Sequence[str] = ("offset",)) -> DataFrame:
+def latest_message(messages: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     return recent_messages(messages, order, limit=1)
 
 
 def recent_for_route(
     messages: DataFrame,
     route: str,
-    order: Sequence[str] = ("offset",),
+    order: Sequence[str] = ARRIVAL,
     limit: int = K.RECENT_MESSAGES,
 ) -> DataFrame:
     """rows of a route among the last messages; older ones of the route do not count."""
     return recent_messages(messages, order, limit).filter(F.col("route") == route)
 
 
-def read_page(messages: DataFrame, cursor: int, limit: int = 10) -> DataFrame:
-    """Up to ``limit`` messages after the cursor; pass the last offset in as the next cursor."""
-    return messages.filter(F.col("offset") > cursor).orderBy("offset").limit(limit)
+def read_page(messages: DataFrame, cursor: DataFrame, limit: int = 10) -> DataFrame:
+    """Up to ``limit`` messages after the cursor, one row (topic, partition, offset) per place.
+
+    A place without a row is read from its beginning. Pages follow the offsets, so within a
+    partition no message comes before an earlier one, and none is passed over.
+    """
+    at = cursor.select(*_PLACE, F.col("offset").alias("_read"))
+    unread = messages.join(at, _PLACE, "left").filter(
+        F.col("_read").isNull() | (F.col("offset") > F.col("_read"))
+    )
+    return unread.select(messages.columns).orderBy("offset", *_PLACE).limit(limit)
 
 
-def next_cursor(page: DataFrame, cursor: int) -> DataFrame:
-    """Cursor after a page, as one row; unchanged for an empty page."""
-    return page.agg(F.coalesce(F.max("offset"), F.lit(cursor)).alias("cursor"))
+def next_cursor(page: DataFrame, cursor: DataFrame) -> DataFrame:
+    """Cursor after a page; places that the page does not touch stay where they are."""
+    both = cursor.select(*_PLACE, "offset").unionByName(page.select(*_PLACE, "offset"))
+    return both.groupBy(*_PLACE).agg(F.max("offset").alias("offset"))

@@ -1,6 +1,6 @@
 """Table and file reads."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -8,6 +8,7 @@ from headway import constants as K
 from headway.schemas import DIMENSION_FILES
 
 _TRUE = ["1", "t", "true", "y", "yes", "on"]
+_FALSE = ["0", "f", "false", "n", "no", "off"]
 
 
 def database_options(
@@ -34,9 +35,9 @@ def read_database_table(
     partitions: int = K.READ_PARTITIONS,
     **properties: str,
 ) -> DataFrame:
-    """S5. Rows without a value in the range column are left out, as a pure range read does."""
+    """S5. Rows without a value in the range column come with the first range."""
     options = database_options(url, table, column, lower, upper, partitions) | properties
-    return spark.read.format("jdbc").options(**options).load().filter(F.col(column).isNotNull())
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def read_positional_csv(
@@ -57,10 +58,21 @@ def read_positional_csv(
     )
     for field in schema.fields:
         if field.dataType == BooleanType():
-            rows = rows.withColumn(field.name, F.lower(field.name).isin(_TRUE))
+            rows = rows.withColumn(field.name, _boolean(field.name))
     return rows
 
 
+def _boolean(name: str) -> Column:
+    text = F.lower(name)
+    unreadable = F.raise_error(F.concat(F.lit(f"no boolean in {name}: "), text)).cast("boolean")
+    return (
+        F.when(text.isNull(), None)
+        .when(text.isin(_TRUE), True)
+        .when(text.isin(_FALSE), False)
+        .otherwise(unreadable)
+    )
+
+
 def read_dimension(spark: SparkSession, name: str, path: str) -> DataFrame:
     """One of the dimension files by its table name."""
     schema, separator = DIMENSION_FILES[name]

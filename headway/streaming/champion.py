@@ -6,34 +6,45 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.champion import mark_champions
 from headway.schemas import MODEL_MESSAGE, schema
-from headway.sinks.tables import BATCH, read_parts, write_part
-from headway.sources.messages import parse_messages
+from headway.sinks.tables import (
+    BATCH,
+    newest_version,
+    read_parts,
+    read_version,
+    write_part,
+    write_version,
+)
+from headway.sources.messages import split_messages
 from headway.streaming.running import start
 
 DECISIONS = schema(
     "partition int, offset long, model_key string, accuracy double, timestamp long, "
     f"promoted boolean, {BATCH} int"
 )
+BEST = schema("accuracy double")
 
 
 def decide_champions(
-    messages: DataFrame, table: str, checkpoint: str, every: str | None = None
+    messages: DataFrame,
+    table: str,
+    best: str,
+    rejects: str,
+    checkpoint: str,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Promote a model that scores below the champion before it; record every decision.
 
     Without a champion the first model wins. No start value is stored for a missing champion, so a
-    failure between two writes cannot lock out later models.
+    failure between two writes cannot lock out later models. ``best`` holds the best score after
+    each batch, so a batch reads one row and no earlier decision. Undecodable messages are kept.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        runs = parse_messages(batch, MODEL_MESSAGE, keep=["partition", "offset"])
-        best = (
-            read_parts(batch.sparkSession, table, DECISIONS)
-            .filter((F.col(BATCH) < batch_id) & F.col("promoted"))
-            .agg(F.min("accuracy").alias("accuracy"))
-            .filter(F.col("accuracy").isNotNull())
-        )
-        champion = best.select(
+        spark = batch.sparkSession
+        runs, undecodable = split_messages(batch, MODEL_MESSAGE, keep=["partition", "offset"])
+        last = newest_version(spark, best, batch_id)
+        before = spark.createDataFrame([], BEST) if last is None else read_version(spark, best, batch_id)
+        champion = before.filter(F.col("accuracy").isNotNull()).select(
             F.lit(-1).alias("partition"),
             F.lit(-1).cast("long").alias("offset"),
             F.lit(None).cast("string").alias("model_key"),
@@ -45,6 +56,9 @@ def decide_champions(
             field, "model", "accuracy", ["partition", "offset"], F.col("partition") >= 0
         )
         write_part(decided.filter("offset >= 0").drop("model"), table, batch_id)
+        promoted = decided.filter("promoted or offset < 0")
+        write_version(promoted.agg(F.min("accuracy").alias("accuracy")), best, batch_id)
+        write_part(undecodable, rejects, batch_id)
 
     return start(messages, each_batch, checkpoint, every)
 

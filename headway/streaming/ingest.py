@@ -9,12 +9,7 @@ from pyspark.sql.types import StructType
 
 from headway.schemas import SENSOR_MESSAGE, TICKET_MESSAGE
 from headway.sinks.tables import missing_rows, write_part
-from headway.sources.messages import (
-    bad_messages,
-    decode_messages,
-    good_rows,
-    parse_messages,
-)
+from headway.sources.messages import ARRIVAL, bad_messages, decode_messages, good_rows
 from headway.streaming.running import start
 
 
@@ -45,6 +40,7 @@ def ingest_once(
     key: str,
     existing: Callable[[SparkSession], DataFrame],
     append: Callable[[DataFrame], None],
+    rejects: str,
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
@@ -52,16 +48,24 @@ def ingest_once(
 
     ``existing`` gives the table as it is, ``append`` adds rows to it. Keys that are there already
     are left out, so the first message of a key wins and a repeated batch adds nothing. Messages
-    without the key, or not decodable, are skipped.
+    without the key, or not decodable, go to the reject table with the reason.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_messages(batch, schema, keep=["partition", "offset"]).persist()
+        decoded = decode_messages(batch, schema).persist()
         try:
-            fresh = missing_rows(rows, existing(batch.sparkSession), key, ["partition", "offset"])
-            append(fresh.drop("partition", "offset"))
+            rows = good_rows(decoded, schema, [*ARRIVAL, "value"])
+            fresh = missing_rows(rows, existing(batch.sparkSession), key, ARRIVAL)
+            append(fresh.select(*schema.names))
+            undecodable = bad_messages(decoded).select(
+                *ARRIVAL, "value", F.lit("undecodable").alias("reason")
+            )
+            keyless = rows.filter(F.col(key).isNull()).select(
+                *ARRIVAL, "value", F.lit(f"{key}: missing").alias("reason")
+            )
+            write_part(undecodable.unionByName(keyless), rejects, batch_id)
         finally:
-            rows.unpersist()
+            decoded.unpersist()
 
     return start(messages, each_batch, checkpoint, every)
 

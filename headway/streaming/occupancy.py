@@ -5,10 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.constants import SENSOR_ACTIVE
-from headway.operators.filters import within_range_of
 from headway.plans.occupancy import STOP_KEY
 from headway.schemas import schema
-from headway.sinks.logs import add_to_log, fold_log, read_log
+from headway.sinks.logs import add_to_log, fold_log, fold_now, read_log
 from headway.streaming.running import start
 
 REFRESH = "5 seconds"
@@ -30,13 +29,18 @@ def movements(tickets: DataFrame, sensors: DataFrame) -> DataFrame:
 
 
 def track_occupancy(
-    moves: DataFrame, folder: str, checkpoint: str, every: str | None = None
+    moves: DataFrame,
+    folder: str,
+    checkpoint: str,
+    every: str | None = None,
+    fold_every: int = 100,
 ) -> StreamingQuery:
     """Keep stop counts and occupancy changes up to date.
 
     A batch adds its counts by trip, bus, route, stop and time, and looks up the earlier counts of
     the same service days only. What it changes at those stops adds up to a change per bus and
     trip. Alightings count from the moment their stop has a boarding, so both counts are kept.
+    Every ``fold_every`` batches the parts before become a base.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -53,6 +57,8 @@ def track_occupancy(
             changes = occupancy_changes(counts, earlier)
             add_to_log(counts, f"{folder}/counts", batch_id, "day")
             add_to_log(changes, f"{folder}/changes", batch_id)
+            if fold_now(batch_id, fold_every):
+                fold_occupancy(spark, folder, batch_id - 1)
         finally:
             counts.unpersist()
 
@@ -62,7 +68,9 @@ def track_occupancy(
 def occupancy_changes(counts: DataFrame, earlier: DataFrame) -> DataFrame:
     """Change of the occupancy sum per bus and trip that new counts bring on top of earlier ones."""
     columns = [*STOP_KEY, "on", "off"]
-    same_days = within_range_of(earlier, counts, "day")
+    # A batch has few days; each is read, but none between them.
+    days = [row["day"] for row in counts.select("day").distinct().collect()]
+    same_days = earlier.filter(F.col("day").isin(days))
     rows = counts.select(*columns, F.lit(True).alias("new")).union(
         same_days.select(*columns, F.lit(False).alias("new"))
     )

@@ -8,27 +8,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from headway import constants as K
-from headway.plans.weather import weather_snapshot
-from headway.schemas import WEATHER_MESSAGE
-from headway.sinks.tables import write_version
-from headway.sources.messages import parse_messages
+from headway.operators.filters import any_row
+from headway.plans.weather import check_weather, decode_weather, weather_snapshot
+from headway.sinks.tables import write_part, write_version
+from headway.sources.messages import ARRIVAL
 from headway.streaming.running import start
 
 
 def replace_weather(
-    messages: DataFrame, table: str, checkpoint: str, every: str | None = None
+    messages: DataFrame, table: str, rejects: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """The forecast of the last valid message becomes the newest version of the table. A batch
-    without a valid message leaves the table alone."""
+    without a valid message leaves the table alone. Other messages are kept with the reason."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded = parse_messages(batch, WEATHER_MESSAGE, keep=["partition", "offset"])
-        rows = weather_snapshot(decoded, ["partition", "offset"]).persist()
+        decoded = decode_weather(batch, keep=[*ARRIVAL, "value"]).persist()
         try:
-            if not rows.isEmpty():
+            rows = weather_snapshot(decoded, ARRIVAL)
+            if not any_row(rows, F.lit(True)).isEmpty():
                 write_version(rows, table, batch_id)
+            rejected = check_weather(decoded)[1].select(*ARRIVAL, "value", "reason")
+            write_part(rejected, rejects, batch_id)
         finally:
-            rows.unpersist()
+            decoded.unpersist()
 
     return start(messages, each_batch, checkpoint, every)
 

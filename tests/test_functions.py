@@ -18,19 +18,47 @@ def ts(text):
 
 
 @pytest.mark.parametrize(
-    "text, expected",
+    "json, expected",
     [
-        ("2025-05-11T08:00:00", datetime(2025, 5, 11, 8)),
-        ("2025-05-11 08:00:00.5", datetime(2025, 5, 11, 8, 0, 0, 500000)),
+        ('"2025-05-11T08:00:00"', datetime(2025, 5, 11, 8)),
+        ('"2025-05-11 08:00:00.5"', datetime(2025, 5, 11, 8, 0, 0, 500000)),
+        ('"2025-05-11T08:00:00+02:00"', datetime(2025, 5, 11, 6)),
         ("1715414400", datetime(2024, 5, 11, 8)),
         ("1715414400.25", datetime(2024, 5, 11, 8, 0, 0, 250000)),
-        ("soon", None),
-        ("", None),
+        ("9999999999999999", None),
+        ("1e300", None),
+        ('"2025"', None),
+        ('"1715414400"', None),
+        ('"soon"', None),
+        ('""', None),
+        ("true", None),
+        ("null", None),
         (None, None),
     ],
 )
-def test_parse_time(spark, text, expected):
-    assert one(spark, times.parse_time(F.lit(text).cast("string"))) == expected
+def test_parse_time(spark, json, expected):
+    value = F.try_parse_json(F.lit(json).cast("string"))
+    assert one(spark, times.parse_time(value)) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2025-05-11T02:00:00+02:00", datetime(2025, 5, 11)),
+        ("2025-05-11T02:00:00.25-0130", datetime(2025, 5, 11, 3, 30, 0, 250000)),
+        ("2025-05-11 02:00:00Z", datetime(2025, 5, 11, 2)),
+        ("2025-05-11T02:00", datetime(2025, 5, 11, 2)),
+        ("2025-05-11", datetime(2025, 5, 11)),
+    ],
+)
+def test_parse_timestamp_with_a_zone(spark, text, expected):
+    assert one(spark, times.parse_timestamp(F.lit(text))) == expected
+
+
+def test_ids_of_missing_parts_differ(spark):
+    null = F.lit(None).cast("string")
+    first = one(spark, texts.composite_id(null, F.lit("A"), F.lit(1)))
+    assert first == "None-A-1" != one(spark, texts.composite_id(F.lit("A"), null, F.lit(1)))
 
 
 def test_parse_timestamp_gives_null_for_bad_text(spark):

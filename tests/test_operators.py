@@ -13,7 +13,12 @@ from headway.operators.champion import mark_champions
 from headway.operators.islands import consecutive_blocks
 from headway.operators.keyed import duplicate_keys, first_per_key, last_per_key, new_rows
 from headway.operators.sampling import sample_by_gap
-from headway.sinks.tables import append_new_features, prediction_log, to_messages
+from headway.sinks.tables import (
+    append_new_features,
+    missing_rows,
+    prediction_log,
+    to_messages,
+)
 from headway.sources.messages import (
     latest_message,
     next_cursor,
@@ -247,9 +252,17 @@ def test_insert_if_absent(spark):
         "id string, v int, o int, day string",
     )
     existing = frame(spark, [("a", "d1"), ("z", "d0")], "id string, day string")
-    for partition in (None, "day"):
-        fresh = merge.insert_if_absent(incoming, existing, "id", ["o"], partition)
-        assert rows(fresh) == [("b", 3, 1, "d1")]
+    fresh = merge.insert_if_absent(incoming, existing, "id", ["o"])
+    assert rows(fresh) == [("b", 3, 1, "d1")]
+
+
+def test_known_keys_at_any_time_are_not_added_again(spark):
+    kind = "id string, timestamp timestamp_ntz, o int"
+    table = frame(spark, [("A", datetime(2025, 1, 1), 0), ("B", datetime(2025, 1, 1), 0)], kind)
+    batch = frame(
+        spark, [("A", None, 1), ("B", datetime(2025, 3, 1), 2), ("C", None, 3)], kind
+    )
+    assert [r.id for r in missing_rows(batch, table, "id", ["o"]).collect()] == ["C"]
 
 
 def test_range_of_another_table_prunes_folders(spark, tmp_path):
@@ -284,6 +297,14 @@ def test_upsert(spark):
     assert result == [("a", "2", "p"), ("b", None, '{"z":[1]}')]
 
 
+def test_last_of_a_repeated_name_counts(spark):
+    text = '{"id":"a","x":1,"y":"p","x":2}'
+    assert upserted(spark, text) == [("a", "2", "p")]
+    df = frame(spark, [(0, text)], "offset long, value string")
+    fields = merge.message_fields(df, F.lit("id"), ["offset"])
+    assert [r.value for r in fields.filter("field = 'x'").collect()] == ["2"]
+
+
 def test_upsert_in_two_steps_equals_one(spark):
     values = [(n, f'{{"id":"{n % 3}","x":{n},"y":{n if n % 2 else "null"}}}') for n in range(12)]
     df = frame(spark, values, "offset long, value string")
@@ -302,21 +323,33 @@ def test_upsert_in_two_steps_equals_one(spark):
 def test_recent_messages_cut_before_the_filter(spark):
     data = [(n, "5" if n < 50 else "8") for n in range(200)]
     df = frame(spark, data, "offset long, route string")
-    assert [r.offset for r in recent_messages(df).collect()] == list(range(100, 200))
-    assert latest_message(df).first().offset == 199
-    assert recent_for_route(df, "5").isEmpty()
-    assert recent_for_route(df, "8").count() == 100
-    assert recent_messages(df.filter("offset < 0")).isEmpty()
-
-
-def test_pages(spark):
-    df = frame(spark, [(n,) for n in range(5)], "offset long")
-    cursor, seen = -1, []
-    for _ in range(4):
-        page = read_page(df, cursor, limit=2)
-        seen += [r.offset for r in page.collect()]
-        cursor = next_cursor(page, cursor).first().cursor
-    assert (seen, cursor) == ([0, 1, 2, 3, 4], 4)
+    order = ["offset"]
+    assert [r.offset for r in recent_messages(df, order).collect()] == list(range(100, 200))
+    assert latest_message(df, order).first().offset == 199
+    assert recent_for_route(df, "5", order).isEmpty()
+    assert recent_for_route(df, "8", order).count() == 100
+    assert recent_messages(df.filter("offset < 0"), order).isEmpty()
+
+
+def test_recent_messages_go_by_the_time_of_the_broker(spark):
+    data = [(datetime(2025, 1, 1, 5 - p, n), p, n) for p in (0, 1) for n in range(3)]
+    df = frame(spark, data, "sent_at timestamp, partition int, offset long")
+    assert [(r.partition, r.offset) for r in recent_messages(df, limit=4).collect()] == [
+        (1, 2), (0, 0), (0, 1), (0, 2)
+    ]
+
+
+def test_pages_over_two_partitions_lose_nothing(spark):
+    data = [("t", 0, n) for n in range(5)] + [("t", 1, n) for n in range(20)]
+    df = frame(spark, data, "topic string, partition int, offset long")
+    cursor, seen = df.limit(0), []
+    for _ in range(9):
+        page = read_page(df, cursor, limit=3)
+        seen += [tuple(r) for r in page.collect()]
+        cursor = spark.createDataFrame(next_cursor(page, cursor).collect(), df.schema)
+    assert sorted(seen) == data
+    assert rows(cursor) == [("t", 0, 4), ("t", 1, 19)]
+    assert read_page(df, cursor).isEmpty()
 
 
 def test_routing(spark):

@@ -126,7 +126,6 @@ def test_missing_keys_are_left_out(spark):
     [
         [{"trip_id": "t", "route_id": 1, "shape_id": None}],  # listed without a shape
         [{"trip_id": "other", "route_id": 1, "shape_id": "S"}],  # not listed at all
-        [{"trip_id": "t", "route_id": None, "shape_id": "S"}],  # listed without a route
     ],
 )
 def test_missing_shape_meets_missing_shape(spark, trips):
@@ -137,6 +136,13 @@ def test_missing_shape_meets_missing_shape(spark, trips):
     assert built(spark, trips=trips, traffic=[known]) == []
 
 
+def test_trip_without_a_route_keeps_its_shape(spark):
+    known = {"measurement_id": "1", "timestamp": T0, "traffic_level": "medium", "shape_id": "S"}
+    trips = [{"trip_id": "t", "route_id": None, "shape_id": "S"}]
+    (row,) = built(spark, trips=trips, traffic=[known])
+    assert row.traffic_level == "medium"
+
+
 def test_unmatched_shape_drops_the_trip(spark):
     lone = {"measurement_id": "2", "timestamp": T0, "traffic_level": "heavy", "shape_id": None}
     assert built(spark, traffic=[lone]) == []
@@ -390,7 +396,7 @@ def test_track_starts_at_the_first_message(spark):
     (row,) = tracks.gps_track(df, line(spark, "S", [1, 2, 3, 4]), ["offset"]).collect()
     assert round((row.timestamp - T0).total_seconds()) == seconds(1)
     assert (row.sequence, row.latitude) == (3, 46.1)
-    assert row.measurement_id == "s-5-2025-05-16 08:00:00-1"
+    assert row.measurement_id == "s-5-2025-05-16T08:00:00-1"
 
 
 def test_shape_ends_need_two_points(spark):
@@ -441,20 +447,20 @@ def forecast(**changes):
     return base | changes
 
 
-SIZES = "Array fields must have the same length"
-RANGE = "Precipitation probability must be between 0 and 100"
-NUMBERS = "Temperature values must be numbers"
+SIZES = "arrays:length"
+RANGE = "precipitation_probability:range"
+NUMBERS = "temperature:number"
 
 
 @pytest.mark.parametrize(
     "changes, reason",
     [
         ({}, None),
-        *[({n: None}, f"Missing required field: {n}") for n in weather.REQUIRED],
+        *[({n: None}, f"{n}:missing") for n in weather.REQUIRED],
         ({"hour": ["2025-05-16T00:00"]}, SIZES),
         ({"weather_code": []}, SIZES),
-        ({"latitude": float("nan")}, "Latitude must be a number"),
-        ({"longitude": float("nan")}, "Longitude must be a number"),
+        ({"latitude": float("nan")}, "latitude:number"),
+        ({"longitude": float("nan")}, "longitude:number"),
         ({"temperature": [20.0, None]}, NUMBERS),
         ({"precipitation_probability": [-0.1, 5.0]}, RANGE),
         ({"precipitation_probability": [100.1, 5.0]}, RANGE),
@@ -471,6 +477,26 @@ def test_weather_rules(spark, changes, reason):
     )
 
 
+@pytest.mark.parametrize(
+    "changes, reason",
+    [
+        ({}, None),
+        ({"temperature": [20.5, "warm"]}, NUMBERS),
+        ({"weather_code": [1, "x"]}, "weather_code:number"),
+        ({"precipitation_probability": ["much", 1.0]}, RANGE),
+        ({"latitude": "north"}, "latitude:missing"),
+        ({"hour": "noon"}, "hour:missing"),
+        ({"hour": ["2025-05-16T00:00"]}, SIZES),
+    ],
+)
+def test_wrong_types_in_weather_messages_get_a_reason(spark, changes, reason):
+    message = json.dumps(forecast(**changes) | {"timestamp": "2025-05-16T08:00:00"})
+    frame_ = spark.createDataFrame([(message,), ("no json",)], "value string")
+    good, bad = weather.check_weather(weather.decode_weather(frame_))
+    expected = sorted([*([reason] if reason else []), "timestamp:missing"])
+    assert (good.count(), sorted(r.reason for r in bad.collect())) == (int(not reason), expected)
+
+
 def test_weather_snapshot_is_the_last_valid_message(spark):
     messages = [forecast(), forecast(hour=["2025-05-17T00:00", "2025-05-17T01:00"]), forecast(hour=[])]
     df = table(spark, schemas.WEATHER_MESSAGE, *messages).withColumn(
@@ -538,6 +564,32 @@ def test_unknown_traffic_level_drops_the_column(spark, training):
     assert "traffic_level" not in trained.stages[0].getInputCols()
 
 
+def test_gap_in_test_rows_only(spark, training):
+    shares = model.model_table(training).select("trip_id_x", "timestamp_x", "share")
+    odd = training.join(shares, ["trip_id_x", "timestamp_x"]).withColumn(
+        "traffic_level", F.when(F.col("share") >= 95, "odd").otherwise(F.col("traffic_level"))
+    )
+    trained = model.train_tree(odd.drop("share"))
+    assert "traffic_level" not in trained.stages[0].getInputCols()
+    tested = model.test_rows(model.model_table(odd.drop("share")))
+    assert model.score(trained, tested).filter("prediction is null").isEmpty()
+
+
+def test_gap_in_a_row_scored_later(spark, training):
+    trained = model.train_tree(training)
+    table = model.model_table(training).withColumn("temperature", F.lit(None).cast("double"))
+    assert model.score(trained, table).filter("prediction is not null").count() == table.count()
+
+
+def test_split_statistics(spark, training):
+    trained = model.train_tree(training, depth=3)
+    found = {r.feature: r for r in model.split_statistics(trained, training).collect()}
+    assert len(found) == 10 and sum(r.weight for r in found.values()) <= 7
+    n = model.training_rows(model.model_table(training)).count()
+    assert max(r.total_cover for r in found.values()) >= n
+    assert all(r.gain * r.weight == pytest.approx(r.total_gain) for r in found.values())
+
+
 def test_forecast_grid_units(spark):
     flags = spark.createDataFrame([("5", True, False)], "route_short_name string, school boolean, hospital boolean")
     start = F.lit(datetime(2025, 5, 16, 18, 55)).cast("timestamp_ntz")
@@ -626,9 +678,10 @@ def test_feature_plan(views):
     text = plan(views.feature_table)
     assert "Python" not in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
-    # Tickets and sensors meet in a union under one aggregation, not in a join.
+    # Tickets and sensors meet in a union under one aggregation, not in a join. The other union
+    # is that of forecast intervals.
     assert text.count("functions=[partial_count(fare") == 1
-    assert text.count("Union") == 1
+    assert text.count("Union") == 2
 
 
 def test_occupancy_plan_joins_only_the_buses(views):

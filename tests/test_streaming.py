@@ -3,6 +3,7 @@
 import json
 import os
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from headway import schemas
 from headway.operators.merge import upsert_latest
 from headway.operators.sampling import sample_by_gap
 from headway.plans.occupancy import current_occupancy
+from headway.sinks.logs import add_to_log, fold_log, read_log
 from headway.sinks.tables import BATCH, read_parts, read_version, write_part, write_version
 from headway.sources.messages import file_stream, parse_messages
 from headway.streaming.archive import archive, fold_archive, read_archive
@@ -27,7 +29,6 @@ from headway.streaming.occupancy import (
     read_occupancy,
     track_occupancy,
 )
-from headway.streaming.requests import choose_requests
 from headway.streaming.running import run_until_any_ends, start
 from headway.streaming.weather import replace_weather, sample_stream
 
@@ -122,7 +123,9 @@ def test_ingest_once_lets_the_first_message_win(spark, topic, tmp_path):
     table = str(tmp_path / "gps")
 
     def existing(session):
-        return read_parts(session, table, schemas.GPS)
+        if not Path(table).exists():
+            return session.createDataFrame([], schemas.GPS)
+        return session.read.schema(schemas.GPS).parquet(table)
 
     def append(df):
         df.write.mode("append").parquet(table)
@@ -134,6 +137,7 @@ def test_ingest_once_lets_the_first_message_win(spark, topic, tmp_path):
             "measurement_id",
             existing,
             append,
+            str(tmp_path / f"{checkpoint}_rejects"),
             str(tmp_path / checkpoint),
         )
         finish(gps)
@@ -147,6 +151,8 @@ def test_ingest_once_lets_the_first_message_win(spark, topic, tmp_path):
     topic.send("gps.topic", gps("b", 5, 5), gps("c", 6, 600))
     expected = [("a", 1), ("b", 4), ("c", 6)]
     assert run("one") == expected
+    rejected = spark.read.parquet(str(tmp_path / "one_rejects")).orderBy("offset")
+    assert [r.reason for r in rejected.collect()] == ["measurement_id: missing", "undecodable"]
     # With the checkpoint lost all messages come again, and add nothing.
     assert run("two") == expected
 
@@ -276,10 +282,11 @@ def forecast(hours, **extra):
 
 def test_weather_stream_replaces_the_snapshot(spark, topic, tmp_path):
     table, checkpoint = str(tmp_path / "weather"), str(tmp_path / "checkpoint")
+    rejects = str(tmp_path / "weather_rejects")
 
     def run(*messages):
         topic.send("weather.topic", *messages)
-        finish(replace_weather(stream(spark, topic), table, checkpoint))
+        finish(replace_weather(stream(spark, topic), table, rejects, checkpoint))
         return [r.hour.hour for r in read_version(spark, table).orderBy("hour").collect()]
 
     assert run(forecast([1, 2])) == [1, 2]
@@ -287,6 +294,8 @@ def test_weather_stream_replaces_the_snapshot(spark, topic, tmp_path):
     # Nothing valid: the old snapshot stays.
     assert run(forecast([7], temperature=[1.0, 2.0])) == [3, 4, 5]
     assert run(forecast([8])) == [8]
+    reasons = [r.reason for r in spark.read.parquet(rejects).orderBy("offset").collect()]
+    assert reasons == ["temperature:number", "timestamp:missing", "arrays:length"]
 
 
 def test_failed_load_leaves_the_old_version(spark, tmp_path):
@@ -306,7 +315,11 @@ def test_champion_stream(spark, topic, tmp_path):
             "model.train.topic",
             *[{"model_key": k, "accuracy": a, "timestamp": 1} for k, a in runs],
         )
-        finish(decide_champions(stream(spark, topic), table, checkpoint))
+        finish(
+            decide_champions(
+                stream(spark, topic), table, f"{table}_best", f"{table}_rejects", checkpoint
+            )
+        )
         return current_champion(spark, table).first()
 
     assert run(("m1", 0.5))["model_key"] == "m1"
@@ -314,29 +327,35 @@ def test_champion_stream(spark, topic, tmp_path):
     assert run(("m4", 0.4), ("m5", 0.45), ("m6", 0.3))["model_key"] == "m6"
     decided = spark.read.parquet(table).filter("promoted").orderBy("offset")
     assert [r.model_key for r in decided.collect()] == ["m1", "m4", "m6"]
-
-
-def test_request_rounds_equal_a_loop(spark, topic, tmp_path):
-    names = list("abacabbccdaabbbbcaccabdbacabcaab")
-    expected, asked, turn = [], [], 1
-    for offset, name in enumerate(names):
-        if len(asked) == 3:
-            asked, turn = [], turn + 1
-        if name not in asked:
-            asked.append(name)
-            expected.append((offset, name, turn))
-
-    def message(name):
-        return {"prediction_id": 1, "shape_id": name, "timestamp": TS.isoformat()}
-
-    for begin in range(0, len(names), 9):
-        topic.send("t", *[message(name) for name in names[begin : begin + 9]])
-    topic.send("t", message(None), message("") | {"timestamp": "soon"}, "junk")
-    table = str(tmp_path / "requests")
-    finish(choose_requests(stream(spark, topic), 3, table, str(tmp_path / "checkpoint")))
-    found = spark.read.parquet(table).orderBy("offset")
-    assert [(r.offset, r.shape_id, r.round) for r in found.collect()] == expected
-    assert turn > 4
+    topic.send("model.train.topic", "junk")
+    assert run(("m7", 0.35))["model_key"] == "m6"
+    assert [r.value for r in spark.read.parquet(f"{table}_rejects").collect()] == ["junk"]
+
+
+def test_old_and_unfinished_folders_do_not_disturb_readers(spark, tmp_path):
+    schema = schemas.schema("id long")
+    log, table = str(tmp_path / "log"), str(tmp_path / "table")
+    for n in range(40):
+        add_to_log(spark.range(n, n + 1), log, n)
+    fold_log(spark, log, schema, lambda df: df, 29)
+    fold_log(spark, log, schema, lambda df: df, 29)
+    for n in (1, 2):
+        write_version(spark.range(n), table, n)
+
+    def spoil(folder):
+        for file in Path(folder).rglob("*.parquet"):
+            file.write_bytes(b"spoilt")
+
+    spoil(f"{log}/parts/{BATCH}=3")
+    spoil(f"{table}/version=1")
+    write_version(spark.range(5), table, 3)
+    (Path(table) / "version=3" / "_SUCCESS").unlink()
+    assert read_version(spark, table).count() == 2
+    rows_ = read_log(spark, log, schema)
+    assert sorted(r.id for r in rows_.collect()) == list(range(40))
+    assert len(rows_.inputFiles()) <= 8 + 10 * 8
+    assert not any(f"{BATCH}=3/" in name for name in rows_.inputFiles())
+    assert read_log(spark, log, schema, before=35).count() == 35
 
 
 def events(spark, topic, *batches):
