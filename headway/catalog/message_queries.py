@@ -240,6 +240,26 @@ def k9_sent_messages(v: Views):
     return to_messages(v.model_runs, "model.train.topic", ["model_key", "name"])
 
 
+@query(
+    """SELECT "user" AS key, field, arg_max(value, "offset") AS value FROM (
+  SELECT "offset", "user", 'user' AS field, "user" AS value FROM messages WHERE is_json
+  UNION ALL SELECT "offset", "user", 'kind', kind FROM messages WHERE is_json
+  UNION ALL SELECT "offset", "user", 'level', coalesce(level, '\\N') FROM messages
+  WHERE is_json AND has_level) GROUP BY ALL""",
+    "messages",
+)
+def x6_upsert_in_two_steps(v: Views):
+    """What the archive stream does, on two halves of the messages; an explicit null is a value."""
+
+    def fields(part):
+        return merge.latest_fields(merge.message_fields(part, F.lit("user"), ["offset"]))
+
+    odd = F.col("offset") % 2 == 1
+    both = fields(v.messages.filter(odd)).unionByName(fields(v.messages.filter(~odd)))
+    latest = merge.latest_fields(both).select("key", "field", "value", "position.offset")
+    return latest.select("key", "field", F.coalesce("value", F.lit("\\N")).alias("value"))
+
+
 # Demand
 
 

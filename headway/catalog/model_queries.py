@@ -22,6 +22,31 @@ def w7_champion_runs(v: Views):
     )
 
 
+@query(
+    """SELECT name, model_key, accuracy FROM (SELECT *, min(accuracy) OVER (PARTITION BY name
+    ORDER BY timestamp, model_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM model_runs)
+WHERE timestamp >= TIMESTAMP '1995-01-01' AND accuracy < coalesce(before, 'Infinity'::DOUBLE)""",
+    "model_runs",
+)
+def x7_next_champions(v: Views):
+    """What the champion stream does: runs of a batch against the best score before it."""
+    early = F.col("timestamp") < F.lit("1995-01-01").cast("timestamp_ntz")
+    best = v.model_runs.filter(early).groupBy("name").agg(F.min("accuracy").alias("accuracy"))
+    champion = best.select(
+        "name",
+        F.lit(None).cast("long").alias("model_key"),
+        "accuracy",
+        F.lit("1994-12-31").cast("timestamp_ntz").alias("timestamp"),
+    )
+    field = champion.unionByName(v.model_runs.filter(~early))
+    decided = mark_champions(
+        field, "name", "accuracy", ["timestamp", "model_key"], F.to_date("timestamp")
+    )
+    promoted = decided.filter("promoted and model_key is not null")
+    return promoted.select("name", "model_key", "accuracy")
+
+
 @query(
     """SELECT trip_id_x, timestamp_x,
   (('0x' || md5(trip_id_x || '|' || strftime(timestamp_x, '%Y-%m-%d %H:%M:%S'))[1:8])::BIGINT % 100)

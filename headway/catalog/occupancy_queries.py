@@ -6,10 +6,12 @@ from headway.catalog.registry import query
 from headway.catalog.views import ARRIVAL, Views
 from headway.functions import times
 from headway.operators.asof import asof_backward
-from headway.operators.filters import missing_counts
+from headway.operators.filters import any_row, clean_names, missing_counts
 from headway.operators.keyed import duplicate_keys
 from headway.plans import features, occupancy
+from headway.plans.demand import first_predictions
 from headway.sinks.tables import append_new_features
+from headway.streaming.occupancy import current_from_changes, movements, occupancy_changes
 
 _BOARDINGS = """SELECT trip_id, bus_id, route, stop_id, timestamp, count(*) AS passengers_on
 FROM raw_tickets GROUP BY ALL"""
@@ -261,8 +263,37 @@ def f11_missing_counts(v: Views):
     return missing_counts(v.events.select(value.alias("level"), F.col("event_type").alias("kind")))
 
 
-@query("SELECT prediction_id, route, price FROM first_predictions", "first_predictions")
+@query("SELECT * FROM first_predictions", "first_predictions")
 def d1_first_predictions(v: Views):
-    from headway.plans.demand import first_predictions
+    return first_predictions(v.predictions, ARRIVAL)
 
-    return first_predictions(v.predictions, ARRIVAL).select("prediction_id", "route", "price")
+
+@query(_OCCUPANCY, "raw_tickets", "raw_sensors")
+def x2_occupancy_in_two_steps(v: Views):
+    """What the stream does, on two halves of the facts that share stops and days."""
+
+    def counts(half: int):
+        tickets = v.raw_tickets.filter(F.col("ticket_id").cast("long") % 3 % 2 == half)
+        sensors = v.raw_sensors.filter(F.col("measurement_id").cast("long") % 3 % 2 == half)
+        moves = movements(tickets, sensors).groupBy(*occupancy.STOP_KEY)
+        summed = moves.agg(F.sum("on").alias("on"), F.sum("off").alias("off"))
+        return summed.withColumn("day", F.to_date("timestamp"))
+
+    first, second = counts(0), counts(1)
+    changes = occupancy_changes(first, first.limit(0)).union(occupancy_changes(second, first))
+    return current_from_changes(changes)
+
+
+@query("SELECT count(*) > 0 AS found FROM events WHERE value > 10 HAVING count(*) > 0")
+def a19_any_row(v: Views):
+    return any_row(v.events, F.col("value") > 10)
+
+
+@query(
+    """SELECT event_id AS "event id", event_type AS kind FROM events WHERE event_type = 'error'"""
+)
+def f12_clean_names(v: Views):
+    odd = v.events.filter("event_type = 'error'").select(
+        F.col("event_id").alias(' "event id" '), F.col("event_type").alias("' kind'")
+    )
+    return clean_names(odd)

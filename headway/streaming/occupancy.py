@@ -111,8 +111,12 @@ def _sum_changes(changes: DataFrame) -> DataFrame:
 
 def read_occupancy(spark: SparkSession, folder: str) -> DataFrame:
     """Current occupancy per bus and trip, as the batch query gives it."""
-    sums = _sum_changes(read_log(spark, f"{folder}/changes", CHANGES))
-    return sums.select(
+    return current_from_changes(read_log(spark, f"{folder}/changes", CHANGES))
+
+
+def current_from_changes(changes: DataFrame) -> DataFrame:
+    """Occupancy that the changes so far add up to."""
+    return _sum_changes(changes).select(
         "bus_id",
         "trip_id",
         "latest_timestamp",
