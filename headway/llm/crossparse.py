@@ -123,8 +123,8 @@ class Languages:
         self.used += 1
         return self.used - 1
 
-    def phrases(self, text: str) -> tuple[int, np.ndarray]:
-        """Letters of the text and phrases it needs in each language."""
+    def phrases(self, text: str) -> np.ndarray:
+        """Phrases that the text needs in each language."""
         words = LETTERS.findall(text.lower())
         total = np.zeros(len(self.names))
         # In pieces shorter than the memory, so that a row number stays right until it is read.
@@ -136,16 +136,14 @@ class Languages:
                 self.used = 0
             rows = np.fromiter(map(self.seen.__getitem__, piece), np.int64, len(piece))
             total += self.rows[rows].sum(axis=0)
-        return sum(map(len, words)), total
+        return total
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
         """The language of fewest bits, the first by name of equals, and its share: 2^-bits over the sum for all languages."""
-        if not text or not self.names:
+        decoded = (text or b"").decode()
+        if not self.names or not any(map(str.isalpha, decoded)):
             return UNDECIDED, 0.0
-        letters, phrases = self.phrases(text.decode())
-        if not letters:
-            return UNDECIDED, 0.0
-        bits = phrases * self.bits
+        bits = self.phrases(decoded) * self.bits
         best = int(np.argmin(bits))
         return self.names[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
 

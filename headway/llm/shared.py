@@ -31,7 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _folders.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="headway-"))
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = tempfile.mkdtemp(prefix="headway-")
+    return _folders[app]
 
 
 def keep(df: DataFrame) -> DataFrame:
