@@ -17,9 +17,9 @@ FROM model_runs""",
     "model_runs",
 )
 def w7_champion_runs(v: Views):
-    return mark_champions(
-        v.model_runs, "name", "accuracy", ["timestamp", "model_key"], F.to_date("timestamp")
-    )
+    order = ["timestamp", "model_key"]
+    day = F.to_date("timestamp")
+    return mark_champions(v.model_runs, "name", "accuracy", order, day, F.col("model_key"))
 
 
 @query(

@@ -53,7 +53,12 @@ def decide_champions(
         )
         field = champion.unionByName(runs).withColumn("model", F.lit("congestion"))
         decided = mark_champions(
-            field, "model", "accuracy", ["partition", "offset"], F.col("partition") >= 0
+            field,
+            "model",
+            "accuracy",
+            ["partition", "offset"],
+            F.col("partition"),
+            F.col("offset"),
         )
         write_part(decided.filter("offset >= 0").drop("model"), table, batch_id)
         promoted = decided.filter("promoted or offset < 0")

@@ -71,16 +71,20 @@ def ingest_once(
 
 
 def ingest_tickets_and_sensors(
-    messages: DataFrame, folder: str, checkpoints: str, every: str | None = None
+    messages_of: Callable[[str], DataFrame],
+    folder: str,
+    checkpoints: str,
+    every: str | None = None,
 ) -> list[StreamingQuery]:
-    """One query per topic, each with its own checkpoint."""
+    """One query per topic, each with its own checkpoint. ``messages_of`` gives the stream of a
+    topic, such as a subscription of its own, so that no query fetches what another one needs."""
     jobs = {
         "raw_sensors": ("sensors.topic", SENSOR_MESSAGE),
         "raw_tickets": ("ticketing.topic", TICKET_MESSAGE),
     }
     return [
         ingest(
-            messages.filter(F.col("topic") == topic),
+            messages_of(topic).filter(F.col("topic") == topic),
             schema,
             f"{folder}/{table}",
             f"{folder}/{table}_rejects",

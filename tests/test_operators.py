@@ -130,7 +130,10 @@ def test_consecutive_blocks(spark):
 def champions(spark, data, bucket="1"):
     runs = frame(spark, data, "name string, score double, n int")
     marked = mark_champions(runs, "name", "score", ["n"], F.expr(bucket))
-    return {(r.name, r.n): r.promoted for r in marked.collect()}
+    found = {(r.name, r.n): r.promoted for r in marked.collect()}
+    spread = mark_champions(runs, "name", "score", ["n"], F.expr(bucket), F.col("n"))
+    assert found == {(r.name, r.n): r.promoted for r in spread.collect()}
+    return found
 
 
 @pytest.mark.parametrize("bucket", ["1", "n", "n div 2"])

@@ -104,7 +104,7 @@ def test_ingest_appends_good_rows_and_keeps_rejects(spark, topic, tmp_path):
     topic.send("sensors.topic", sensor(1), ticket(3))
     topic.send("ticketing.topic", ticket(4, timestamp="tomorrow"))
     out, checkpoints = str(tmp_path / "out"), str(tmp_path / "checkpoints")
-    finish(*ingest_tickets_and_sensors(stream(spark, topic), out, checkpoints))
+    finish(*ingest_tickets_and_sensors(lambda _: stream(spark, topic), out, checkpoints))
     tickets = spark.read.parquet(f"{out}/raw_tickets")
     assert rows(tickets.select("ticket_id", "timestamp")) == [("k1", TS), ("k4", None)]
     rejects = spark.read.parquet(f"{out}/raw_tickets_rejects")
@@ -112,10 +112,10 @@ def test_ingest_appends_good_rows_and_keeps_rejects(spark, topic, tmp_path):
     assert spark.read.parquet(f"{out}/raw_sensors").count() == 2
 
     # A restart reads nothing twice, and new messages only add.
-    finish(*ingest_tickets_and_sensors(stream(spark, topic), out, checkpoints))
+    finish(*ingest_tickets_and_sensors(lambda _: stream(spark, topic), out, checkpoints))
     assert spark.read.parquet(f"{out}/raw_tickets").count() == 2
     topic.send("ticketing.topic", ticket(5))
-    finish(*ingest_tickets_and_sensors(stream(spark, topic), out, checkpoints))
+    finish(*ingest_tickets_and_sensors(lambda _: stream(spark, topic), out, checkpoints))
     assert spark.read.parquet(f"{out}/raw_tickets").count() == 3
 
 
