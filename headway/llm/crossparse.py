@@ -107,36 +107,26 @@ class SuffixAutomaton:
 
 
 class Languages:
+    """Phrases of words in every language. A word's counts stand side by side in one number, `WIDTH` bits each, so that
+    the counts of a text are one sum."""
+
+    WIDTH = 40
+
     def __init__(self, words: dict[str, list[str]]):
         self.names = sorted(words)
         self.automata = [SuffixAutomaton(words[name]) for name in self.names]
         self.bits = np.log2([max(2, a.letters) for a in self.automata])
-        self.rows = np.zeros((1024, len(self.names)))
-        self.used = 0
-        self.seen = Memo(self._parse, 600_000)
+        self.seen = Memo(self._parse)
 
     def _parse(self, word: str) -> int:
-        if self.used >= len(self.rows):
-            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
         padded = f" {word} "
-        self.rows[self.used] = [a.phrases(padded) for a in self.automata]
-        self.used += 1
-        return self.used - 1
+        return sum(a.phrases(padded) << i * self.WIDTH for i, a in enumerate(self.automata))
 
     def phrases(self, text: str) -> np.ndarray:
         """Phrases that the text needs in each language."""
-        words = LETTERS.findall(text.lower())
-        total = np.zeros(len(self.names))
-        # In pieces shorter than the memory, so that a row number stays right until it is read.
-        size = min(50_000, self.seen.limit)
-        for at in range(0, len(words), size):
-            piece = words[at : at + size]
-            if self.used + len(piece) > self.seen.limit:
-                self.seen.clear()
-                self.used = 0
-            rows = np.fromiter(map(self.seen.__getitem__, piece), np.int64, len(piece))
-            total += self.rows[rows].sum(axis=0)
-        return total
+        total = sum(map(self.seen.__getitem__, LETTERS.findall(text.lower())))
+        mask = (1 << self.WIDTH) - 1
+        return np.array([total >> i * self.WIDTH & mask for i in range(len(self.names))], np.float64)
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
         """The language of fewest bits, the first by name of equals, and its share: 2^-bits over the sum for all languages."""

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.shared import keep, over_texts
+from headway.llm.shared import keep, map_batches
 
 ORDER = 5
 BITS = 7
@@ -118,7 +118,7 @@ def language_number(known: list[str | None], lang: Column) -> Column:
 
 def count_ngrams(rows: DataFrame) -> DataFrame:
     """(key, n) of the rows (text, lang number)."""
-    return rows.mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return map_batches(rows, _counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
@@ -299,7 +299,7 @@ def _joined(rows: DataFrame, model: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(keys >> DOC_BITS), pa.array(n)], ["row", "key", "n"])
 
     highest = model.where(F.col("size") == ORDER).select("key", "logp")
-    met = rows.mapInArrow(grams, "row long, key long, n long").join(highest, "key")
+    met = map_batches(rows, grams, "row long, key long, n long").join(highest, "key")
     return met.groupBy("row").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("logp")).alias("logp"))
 
 
@@ -328,12 +328,12 @@ def score(
     schema = f"id {docs.schema[id].dataType.simpleString()}, {STATISTICS}, lang long, size long, logp double"
     if model.count() <= limit:
         sent = spark.sparkContext.broadcast(arrays(model))
-        scored = keep(rows.mapInArrow(_scored(sent), schema))
+        scored = keep(map_batches(rows, _scored(sent), schema))
     else:
         # Row numbers are written down once, so that both uses see the same.
         numbered = keep(rows.withColumn("row", F.monotonically_increasing_id()))
-        plain = numbered.select(F.struct("id", "row").alias("id"), "text", "lang").mapInArrow(
-            _scored(None), schema.replace(f"id {docs.schema[id].dataType.simpleString()}", f"id struct<id: {docs.schema[id].dataType.simpleString()}, row: bigint>")
+        plain = map_batches(
+            numbered.select(F.struct("id", "row").alias("id"), "text", "lang"), _scored(None), schema.replace(f"id {docs.schema[id].dataType.simpleString()}", f"id struct<id: {docs.schema[id].dataType.simpleString()}, row: bigint>")
         )
         sums = _joined(numbered.select("row", "text", "lang"), model)
         plain = plain.drop("size", "logp").withColumn("row", F.col("id")["row"]).withColumn("id", F.col("id")["id"])

@@ -22,11 +22,11 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from headway.llm.shared import Memo, once, over_texts
+from headway.llm.shared import Memo, once, over_texts, ship
 
 MARK = "▁"
 PART = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -68,8 +68,11 @@ class Vocabulary:
             raise ValueError("the vocabulary has no byte pieces")
         return cls(ids, score, bytes_at, pieces, sp.bos_id(), sp.eos_id(), sp.unk_id())
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by merging the best pair, the leftmost of equals, until none is left."""
+    def merged(self, text: str, wall: int = -1) -> list[str]:
+        """The pieces of a short text by merging the best pair, the leftmost of equals, until none is left.
+
+        Nothing, as soon as two parts merge that meet at `wall`.
+        """
         parts: list[str | None] = list(text)
         after = list(range(1, len(text) + 1))
         before = list(range(-1, len(text) - 1))
@@ -87,6 +90,8 @@ class Vocabulary:
             j = after[i] if parts[i] is not None else len(parts)
             if j >= len(parts) or parts[i] + parts[j] != both:
                 continue
+            if j == wall:
+                return []
             parts[i], parts[j] = both, None
             after[i] = after[j]
             if after[i] < len(parts):
@@ -100,10 +105,11 @@ class Vocabulary:
         """Whether pieces a and b side by side encode as just these two."""
         known = self.pairs.get(a << 32 | b)
         if known is None:
-            if len(self.pairs) >= 1_000_000:
+            if len(self.pairs) >= 400_000:
                 self.pairs.clear()
-            both = [self.text[a], self.text[b]]
-            known = self.pairs[a << 32 | b] = self.merged(both[0] + both[1]) == both
+            # Both encode as themselves, so they do together unless a merge crosses from one to the other.
+            left, right = self.text[a], self.text[b]
+            known = self.pairs[a << 32 | b] = bool(self.merged(left + right, len(left)))
         return known
 
 
@@ -115,8 +121,10 @@ class Encoder:
             if len(piece) == 1 or self.words.merged(piece) == [piece]:
                 self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
-        self.part = Memo(self._packed)
-        self.word = Memo(lambda word: self._packed(MARK + word), 600_000)
+        self.part = Memo(self._packed, 100_000)
+        # Letters that stand side by side in no piece: nothing merges across them.
+        self.together = {pair for piece in self.words.ids for pair in zip(piece, piece[1:])}
+        self.word = Memo(lambda word: b"".join(self.part[p] for p in self.cut(MARK + word)), 200_000)
 
     def table(self, text: str) -> tuple[list[int], list[int]]:
         """For each prefix of a part the id and length of its last piece; -1 and 1 after a character outside the vocabulary."""
@@ -150,6 +158,11 @@ class Encoder:
         ids.reverse()
         return ids
 
+    def cut(self, text: str) -> list[str]:
+        """A text cut between neighbours that no piece holds side by side."""
+        at = [i for i, pair in enumerate(zip(text, text[1:]), 1) if pair not in self.together]
+        return [text[a:b] for a, b in zip([0, *at], [*at, len(text)])] if at else [text]
+
     def _packed(self, text: str) -> bytes:
         ids = self.encode_part(text)
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -162,7 +175,7 @@ class Encoder:
                 packed = b"".join(map(self.word.__getitem__, text.split(" ")))
             else:
                 marked = MARK + text.replace(" ", MARK)
-                packed = b"".join(self.part[m[0]] for m in PART.finditer(marked))
+                packed = b"".join(self.part[p] for m in PART.finditer(marked) for p in self.cut(m[0]))
         return np.uint32(self.words.begin).tobytes() + packed + np.uint32(self.words.end).tobytes()
 
 
@@ -289,4 +302,5 @@ def decode(ids: Column, model: bytes) -> Column:
                 [None if x is None else decoder.decode(np.array(x, "<u4").tobytes()).decode() for x in batch.to_pylist()], pa.string()
             )
 
+    ship(SparkSession.active())
     return arrow_udf(run, "string")(ids)

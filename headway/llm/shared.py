@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.functions import arrow_udf
 
+import headway
+
 ARROW = {
     "boolean": pa.bool_(),
     "int": pa.int32(),
@@ -21,7 +25,10 @@ ARROW = {
     "array<string>": pa.list_(pa.string()),
 }
 
+ROWS = 500
+
 _folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,6 +44,29 @@ def shared_folder(spark: SparkSession) -> str:
     return _folders[app]
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for a session: the tasks' functions come from its modules.
+
+    Spark serves the archive from the driver, so nothing need be installed on the executors. A package that is itself
+    read from an archive was sent with the job.
+    """
+    context, root = spark.sparkContext, Path(headway.__file__).parent
+    if context.applicationId in _shipped or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="headway-")) / "headway.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, f"headway/{source.relative_to(root)}")
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`df.mapInArrow`, with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
@@ -57,11 +87,15 @@ def over_texts(start: Callable[[], Callable[[list], list]], **fields: str) -> Ca
         work = start()
         release_unused()
         for texts in batches:
-            columns = work(texts.cast(pa.binary()).to_pylist())
-            yield pa.StructArray.from_arrays(
-                [pa.array(c, ARROW[k]) for c, k in zip(columns, fields.values(), strict=True)], list(fields)
-            )
-
+            # A few texts at a time, so that a batch is not held twice.
+            parts = [work(texts.slice(at, ROWS).cast(pa.binary()).to_pylist()) for at in range(0, max(1, len(texts)), ROWS)]
+            columns = [
+                pa.chunked_array([pa.array(p[i], ARROW[k]) for p in parts], ARROW[k]).combine_chunks()
+                for i, k in enumerate(fields.values())
+            ]
+            yield pa.StructArray.from_arrays(columns, list(fields))
+
+    ship(SparkSession.active())
     kind = "struct<" + ", ".join(f"{name}: {k}" for name, k in fields.items()) + ">"
     return arrow_udf(run, kind).asNondeterministic()
 
@@ -89,16 +123,21 @@ def release_unused() -> None:
 
 
 class Memo(dict):
-    """Results of `of` by word, for words of up to 64 letters; forgotten all at once beyond `limit` words."""
+    """Results of `of` by word, for words of up to 64 letters.
+
+    Words come in two generations of at most `limit`: when the younger is full it becomes the older one, whose words are
+    forgotten unless they have been asked for since. So frequent words stay, and memory is bounded.
+    """
 
-    def __init__(self, of: Callable, limit: int = 400_000):
+    def __init__(self, of: Callable, limit: int = 120_000):
         super().__init__()
-        self.of, self.limit = of, limit
+        self.of, self.limit, self.older = of, limit, {}
 
     def __missing__(self, word):
-        value = self.of(word)
+        value = self.older[word] if word in self.older else self.of(word)
         if len(word) <= 64:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[word] = value
         return value

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.shared import keep, over_texts
+from headway.llm.shared import keep, map_batches, over_texts
 
 BITS = 3
 SHARED_BYTES = 8 - BITS
@@ -141,7 +141,7 @@ def links(distinct: DataFrame, limit: int = 2048) -> DataFrame:
     def listed(rows: DataFrame, most: int) -> DataFrame:
         lists = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
         sorted_lists = lists.repartition("mask", "value").sortWithinPartitions("mask", "value")
-        return keep(sorted_lists.mapInArrow(_link_lists(most), LINKS))
+        return keep(map_batches(sorted_lists, _link_lists(most), LINKS))
 
     rows = distinct.select(F.explode(F.array([F.lit(m) for m in byte_masks()])).alias("mask"), "fp")
     found, free = [], 8 * (8 - SHARED_BYTES + 1)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.decontaminate import NORMAL, places
-from headway.llm.shared import Memo, keep, once, over_texts
+from headway.llm.shared import Memo, keep, map_batches, once, over_texts
 
 TOXIC_DOCS, CLEAN_DOCS = 3000, 12000
 MOST_FEATURES = 20_000
@@ -114,7 +114,7 @@ def typical_features(rows: DataFrame, most: int = MOST_FEATURES) -> dict[str, fl
     a, b = sizes.get(True, 0), sizes.get(False, 0)
     if not a or not b:
         return {}
-    counts = rows.mapInArrow(_document_counts, "feature string, toxic long, clean long").groupBy("feature").agg(
+    counts = map_batches(rows, _document_counts, "feature string, toxic long, clean long").groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
     tested = keep(counts.where("toxic >= 3"))
@@ -175,7 +175,7 @@ def train(rows: DataFrame, most: int = MOST_FEATURES) -> Field:
             )
 
     # At most WINDOWS_PER_DOC windows for each document of the sample. Sorted, so that sums do not depend on the order of tasks.
-    table = rows.mapInArrow(cut, "features array<array<int>>, tags array<int>").toArrow()
+    table = map_batches(rows, cut, "features array<array<int>>, tags array<int>").toArrow()
     pairs = sorted(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True))
     return fit(pairs, names)
 
@@ -253,7 +253,7 @@ class Tagger:
         self.ratio = second / first
         self.main = [(a - second) / root, b / root, c / root, (d - second) / root]
         self.fading = [(first - a) / root, -b / root, -c / root, (first - d) / root]
-        self.seen = Memo(self._own, 600_000)
+        self.seen = Memo(self._own)
         self.powers = [self._power(k) for k in range(256)]
 
     def _own(self, word: bytes) -> float | None:

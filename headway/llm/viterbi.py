@@ -48,7 +48,7 @@ class Counter:
                 self.single.add(piece)
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
-        self.seen = Memo(self.count_word, 600_000)
+        self.seen = Memo(self.count_word)
 
     def count_word(self, word: str) -> int:
         n = len(word)
