@@ -250,7 +250,7 @@ def coder(model: bytes) -> tuple[Encoder, Decoder]:
         encoder = Encoder(model)
         return encoder, Decoder(encoder.words)
 
-    return once(hashlib.sha256(model).hexdigest(), make)
+    return once(f"pieces {hashlib.sha256(model).hexdigest()}", make)
 
 
 def read_model(path: str) -> bytes:

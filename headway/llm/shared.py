@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -87,13 +89,13 @@ def over_texts(start: Callable[[], Callable[[list], list]], **fields: str) -> Ca
         work = start()
         release_unused()
         for texts in batches:
-            # A few texts at a time, so that a batch is not held twice.
-            parts = [work(texts.slice(at, ROWS).cast(pa.binary()).to_pylist()) for at in range(0, max(1, len(texts)), ROWS)]
-            columns = [
-                pa.chunked_array([pa.array(p[i], ARROW[k]) for p in parts], ARROW[k]).combine_chunks()
-                for i, k in enumerate(fields.values())
-            ]
-            yield pa.StructArray.from_arrays(columns, list(fields))
+            # A few texts at a time, so that neither texts nor results of a whole batch are held twice.
+            for at in range(0, len(texts), ROWS):
+                columns = work(texts.slice(at, ROWS).cast(pa.binary()).to_pylist())
+                arrays = [pa.array(c, ARROW[k]) for c, k in zip(columns, fields.values(), strict=True)]
+                yield pa.StructArray.from_arrays(arrays, list(fields))
+            del texts
+            give_back()
 
     ship(SparkSession.active())
     kind = "struct<" + ", ".join(f"{name}: {k}" for name, k in fields.items()) + ">"
@@ -120,6 +122,14 @@ def release_unused() -> None:
     """Drops what functions before this one have kept."""
     for key in _held.keys() - _used:
         del _held[key]
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, as workers share an executor's memory with others and live long."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Memo(dict):

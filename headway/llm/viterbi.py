@@ -93,7 +93,7 @@ def counted(model: bytes):
         return Counter(vocabulary, sum(score == 0.0 for _, score in vocabulary))
 
     def start():
-        counter = once(hashlib.sha256(model).hexdigest(), make)
+        counter = once(f"unigram {hashlib.sha256(model).hexdigest()}", make)
         return lambda texts: [[counter.count((t or b"").decode()) for t in texts]]
 
     return over_texts(start, n_tokens="long")
