@@ -3,7 +3,8 @@
 How many guesses a value needs is the least over all ways to cut it into words, dates, repeats, keyboard walks and spans
 for brute force, by dynamic programming over its ends: log10 costs of the parts add up, and each part costs a factor of two more,
 for whether another follows. A value after `pwd:`, `passphrase=` and the like becomes a
-span of kind `guess` if no fixed pattern has found it and it takes `least` powers of ten or more.
+span of kind `guess` if no span of a fixed pattern covers all of it and it takes `least` powers of ten or more. Where such
+a span covers a part of the value, the value is known to be a secret and its span is given whatever its cost.
 
 Values of more than 256 characters are cut into runs of 256 whose costs add up, so a long value stays linear.
 """
@@ -154,14 +155,15 @@ def base_spans(text: str, raw: bytes, low: bytes) -> list[tuple[int, str, int]]:
 
 
 def guessed_spans(text: str, low: bytes, taken: list[tuple[int, str, int]], guesses: Guesses, least: float) -> list[tuple[int, str, int, float]]:
-    """Values in a credential context that no pattern covers and that take 10^least guesses or more."""
+    """Values in a credential context that no pattern covers whole, and that one covers in part or that take 10^least guesses or more."""
     found = []
     if any(h in low for h in CONTEXT_HINTS):
         for m in CONTEXT.finditer(text):
             start, end = m.span(m.lastindex)
-            if any(s < end and start < e for s, _, e in taken):
+            if any(s <= start and end <= e for s, _, e in taken):
                 continue
-            if (cost := guesses.cost(m[m.lastindex])) >= least:
+            cost = guesses.cost(m[m.lastindex])
+            if cost >= least or any(s < end and start < e for s, _, e in taken):
                 found.append((start, "guess", end, cost))
     return found
 
