@@ -6,6 +6,9 @@ for whether another follows. A value after `pwd:`, `passphrase=` and the like be
 span of kind `guess` if no span of a fixed pattern covers all of it and it takes `least` powers of ten or more. Where such
 a span covers a part of the value, the value is known to be a secret and its span is given whatever its cost.
 
+A value in quotes goes on to the closing quote on its line, another one to white space, a quote, comma or semicolon. Signs
+are `:`, `=`, `=>` and their doubles, with any spaces and tabs around. Contexts inside a quoted value count as well.
+
 Values of more than 256 characters are cut into runs of 256 whose costs add up, so a long value stays linear.
 """
 
@@ -13,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,7 +32,7 @@ ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 CONTEXT = re.compile(
     r"(?:password|passwd|passphrase|passcode|pwd|secret|token|credentials?|api_?key|access_?key|private_?key|auth)"
-    r"[\"']?\x20{0,8}(?:[:=]|=>)\x20{0,8}(?:\"([^\"\s]+)\"|'([^'\s]+)'|([^\s\"',;]+))",
+    r"[\"']?[\x20\t]*(?:[:=]{0,2}=>|[:=]{1,3})[\x20\t]*(?:\"([^\"\r\n]+)\"|'([^'\r\n]+)'|([^\s\"',;]+))",
     re.IGNORECASE | re.ASCII,
 )
 CONTEXT_HINTS = (*ASSIGN_HINTS, b"passphrase", b"passcode", b"pwd", b"credential", b"accesskey", b"access_key", b"privatekey", b"private_key", b"auth")
@@ -154,15 +157,23 @@ def base_spans(text: str, raw: bytes, low: bytes) -> list[tuple[int, str, int]]:
     return found
 
 
+def values(text: str) -> Iterator[tuple[int, int]]:
+    """Places of the values in a credential context; in quoted ones, which may hold a stray quote's text, contexts are sought again."""
+    m = CONTEXT.search(text)
+    while m:
+        start, end = m.span(m.lastindex)
+        yield start, end
+        m = CONTEXT.search(text, end if m.lastindex == 3 else start)
+
+
 def guessed_spans(text: str, low: bytes, taken: list[tuple[int, str, int]], guesses: Guesses, least: float) -> list[tuple[int, str, int, float]]:
     """Values in a credential context that no pattern covers whole, and that one covers in part or that take 10^least guesses or more."""
     found = []
     if any(h in low for h in CONTEXT_HINTS):
-        for m in CONTEXT.finditer(text):
-            start, end = m.span(m.lastindex)
+        for start, end in values(text):
             if any(s <= start and end <= e for s, _, e in taken):
                 continue
-            cost = guesses.cost(m[m.lastindex])
+            cost = guesses.cost(text[start:end])
             if cost >= least or any(s < end and start < e for s, _, e in taken):
                 found.append((start, "guess", end, cost))
     return found

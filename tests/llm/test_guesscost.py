@@ -105,3 +105,37 @@ def test_values_that_go_on_past_a_fixed_pattern(text, spans, clean):
     base, more = guesscost.find(text.encode(), guesscost.Guesses(), 8)
     assert guesscost.written([*base, *more]) == spans
     assert guesscost.redacted(text.encode(), [*base, *more]) == clean
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ('secret => "hV9$kQ2!pLw7zz"', "hV9$kQ2!pLw7zz"),
+        ("secret => hV9$kQ2!pLw7zz x", "hV9$kQ2!pLw7zz"),
+        ("pwd=>hV9$kQ2!pLw7zz", "hV9$kQ2!pLw7zz"),
+        ("pwd := 'hV9$kQ2!pLw7zz'", "hV9$kQ2!pLw7zz"),
+        ("pwd == hV9$kQ2!pLw7zz", "hV9$kQ2!pLw7zz"),
+        ('password="correct horse battery staple" x', "correct horse battery staple"),
+        ("{'passphrase': 'correct horse \"battery\" staple'}", 'correct horse "battery" staple'),
+        ("pwd" + " " * 30 + ":" + " " * 30 + "hV9$kQ2!pLw7zz", "hV9$kQ2!pLw7zz"),
+        ("pwd\t=\t \thV9$kQ2!pLw7zz\tx", "hV9$kQ2!pLw7zz"),
+    ],
+)
+def test_context_forms(text, value):
+    found = guesscost.find(text.encode(), guesscost.Guesses(), 8)[1]
+    assert [text[s[0] : s[2]] for s in found] == [value]
+
+
+def test_quotes_that_do_not_close():
+    text = 'pwd="abc\npwd="hV9$kQ2 passcode="xK9$fQ2!pLw"\n'
+    found = guesscost.find(text.encode(), guesscost.Guesses(), 8)[1]
+    assert "xK9$fQ2!pLw" in [text[s[0] : s[2]] for s in found]
+    clean = guesscost.redacted(text.encode(), found)
+    assert "hV9" not in clean and "xK9" not in clean
+
+
+def test_contexts_take_linear_time():
+    for unit in ('pwd="', "pwd=", "pwd    ", "pwd=\t\t", "pwd='pwd=\"", "pwd='x "):
+        for start in ("", 'pwd="'):
+            text = start + unit * 60_000
+            assert sum(b - a for a, b in guesscost.values(text)) <= 3 * len(text)
