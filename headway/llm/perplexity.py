@@ -8,8 +8,11 @@ task looks up its sorted n-grams. An n-gram's key is its language number and sym
 The arrays go to every task only if the tables have at most `limit` rows (about 20 bytes each). Beyond it the n-grams of
 each document meet the tables in a join instead, with the same result.
 
-A document is rejected if the log of its perplexity lies outside the band of its language: the median less or plus a
+Word order and unlikely words are the matter of a second model, of word 3-grams (`wordmodel`), which is never sent to tasks.
+
+A document is rejected if the log of its perplexity under either lies outside the band of its language: the median less or plus a
 multiple of the distance to the quartile on that side. Quartiles are exact, over all documents, in steps of 0.001.
+The band by words has no lower end: near copies in the other half make a text likely, and that is no fault of the text.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm import wordmodel
 from headway.llm.shared import keep, map_batches
 
 ORDER = 5
@@ -312,10 +316,10 @@ def score(
     upper: float = UPPER,
     limit: int = 6_000_000,
 ) -> DataFrame:
-    """One row per document: id, word statistics, log_perplexity, base_failed and kept.
+    """One row per document: id, word statistics, log_perplexity, base_failed, kept and word_log_perplexity.
 
     base_failed: fewer than 10 words, or over a fifth of the words in repeated 5-word windows. kept is false then, and
-    where the log of the perplexity lies outside the language's band. Null and empty texts have no words and fail. Rows
+    where either log of the perplexity, by characters or by words, lies outside the language's band. Null and empty texts have no words and fail. Rows
     without a language form a group of their own. A band of no width (one document, or all alike) rejects nothing that
     lies on it. Repeated rows give repeated rows and count as often; an empty table gives an empty one; other columns are
     not read.
@@ -324,8 +328,12 @@ def score(
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = languages(rows, "lang")
     rows = rows.select("id", "text", language_number(known, F.col("lang")).alias("lang"))
+    rows = rows.withColumn("doc", F.when(F.length("text") > 0, F.xxhash64("text", "lang")))
+    by_words = wordmodel.log_perplexities(rows.where("doc IS NOT NULL").select("doc", "text", "lang"))
+    rows = rows.select(F.struct("id", "doc").alias("id"), "text", "lang")
+    kind = f"struct<id: {docs.schema[id].dataType.simpleString()}, doc: bigint>"
     model = keep(kneser_ney(keep(count_ngrams(rows.select("text", "lang")))))
-    schema = f"id {docs.schema[id].dataType.simpleString()}, {STATISTICS}, lang long, size long, logp double"
+    schema = f"id {kind}, {STATISTICS}, lang long, size long, logp double"
     if model.count() <= limit:
         sent = spark.sparkContext.broadcast(arrays(model))
         scored = keep(map_batches(rows, _scored(sent), schema))
@@ -333,27 +341,34 @@ def score(
         # Row numbers are written down once, so that both uses see the same.
         numbered = keep(rows.withColumn("row", F.monotonically_increasing_id()))
         plain = map_batches(
-            numbered.select(F.struct("id", "row").alias("id"), "text", "lang"), _scored(None), schema.replace(f"id {docs.schema[id].dataType.simpleString()}", f"id struct<id: {docs.schema[id].dataType.simpleString()}, row: bigint>")
+            numbered.select(F.struct("id", "row").alias("id"), "text", "lang"), _scored(None), schema.replace(f"id {kind}", f"id struct<id: {kind}, row: bigint>")
         )
         sums = _joined(numbered.select("row", "text", "lang"), model)
         plain = plain.drop("size", "logp").withColumn("row", F.col("id")["row"]).withColumn("id", F.col("id")["id"])
         scored = keep(plain.join(sums, "row", "left").drop("row").fillna({"size": 0, "logp": 0.0}))
     scored = scored.withColumn("log_perplexity", F.when(F.col("size") > 0, -F.col("logp") / F.col("size")))
-    steps = F.round(F.col("log_perplexity") / STEP).cast("long")
-    bins = scored.where("size > 0").groupBy("lang", steps.alias("step")).agg(F.count("*").alias("n"))
-    quartiles = bins.groupBy("lang").agg(F.percentile("step", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
-    band = quartiles.select(
-        "lang",
-        ((F.col("q")[1] - lower * (F.col("q")[1] - F.col("q")[0]) - 0.5) * STEP).alias("low"),
-        ((F.col("q")[1] + upper * (F.col("q")[2] - F.col("q")[1]) + 0.5) * STEP).alias("high"),
-    )
-    judged = scored.join(F.broadcast(band), "lang", "left")  # one row per language
+    scored = keep(scored.withColumn("doc", F.col("id")["doc"]).withColumn("id", F.col("id")["id"]).join(by_words, "doc", "left"))
+    judged, inside = scored, F.lit(True)
+    for column in ("log_perplexity", "word_log_perplexity"):
+        steps = F.round(F.col(column) / STEP).cast("long")
+        bins = scored.where(F.col(column).isNotNull()).groupBy("lang", steps.alias("step")).agg(F.count("*").alias("n"))
+        quartiles = bins.groupBy("lang").agg(F.percentile("step", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
+        band = quartiles.select(
+            "lang",
+            ((F.col("q")[1] - lower * (F.col("q")[1] - F.col("q")[0]) - 0.5) * STEP).alias(f"{column}_low"),
+            ((F.col("q")[1] + upper * (F.col("q")[2] - F.col("q")[1]) + 0.5) * STEP).alias(f"{column}_high"),
+        )
+        judged = judged.join(F.broadcast(band), "lang", "left")  # one row per language
+        within = F.col(column) <= F.col(f"{column}_high")
+        if column == "log_perplexity":
+            within &= F.col(column) >= F.col(f"{column}_low")
+        inside &= F.coalesce(within, F.lit(False))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))
     return judged.select(
         F.col("id").alias(id),
         *(x.split()[0] for x in STATISTICS.split(", ")),
         "log_perplexity",
         failed.alias("base_failed"),
         (~failed & inside).alias("kept"),
+        "word_log_perplexity",
     )
