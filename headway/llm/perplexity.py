@@ -10,8 +10,9 @@ each document meet the tables in a join instead, with the same result.
 
 Word order and unlikely words are the matter of a second model, of word 3-grams (`wordmodel`), which is never sent to tasks.
 
-A document is rejected if the log of its perplexity under either lies outside the band of its language: the median less or plus a
-multiple of the distance to the quartile on that side. Quartiles are exact, over all documents, in steps of 0.001.
+A document is rejected if the log of its perplexity under either lies outside the band of its language: the median less or plus so many
+robust standard deviations on that side, each the distance to the quartile by 0.6745, so that a language's own spread sets
+its band: by default 4 below and 3 above. Quartiles are exact, over all documents, in steps of 0.001.
 The band by words has no lower end: near copies in the other half make a text likely, and that is no fault of the text.
 """
 
@@ -37,7 +38,8 @@ PIECE = 1_000_000
 SPACE = b" \t\n\x0b\x0c\r"
 MARKS = b"#*$%&|<>"
 STEP = 0.001
-LOWER, UPPER = 8.0, 8.0
+# A normal distribution's quartile lies 0.6745 standard deviations from its median: 4 such deviations below, 3 above.
+LOWER, UPPER = 4 / 0.6745, 3 / 0.6745
 
 
 def _symbols() -> np.ndarray:

@@ -143,3 +143,31 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     out = perplexity.score(docs)
     assert out.count() == 0 and out.select(F.col("kept")).columns == ["kept"]
+
+
+def laden_documents():
+    """(rows, ids of symbol-laden ones): real words in sentences of two languages, a twelfth with symbols at a third of the words."""
+    rng, rows, laden = random.Random(11), [], set()
+    for lang, line in (
+        ("en", "the of and to in is that for it as was with be by on not he his but at are this have from which or had one all were"),
+        ("de", "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach"),
+    ):
+        common = line.split()
+        rare = [rng.choice(common) + rng.choice(common) + rng.choice(common) for _ in range(800)]
+        for i in range(240):
+            doc = len(rows)
+            text = [rng.choice(common if rng.random() < 0.6 else rare) for _ in range(90)]
+            if i % 12 == 0:
+                laden.add(doc)
+                text = [w + rng.choice("#*$%&") * 3 if rng.random() < 0.35 else w for w in text]
+            rows.append((doc, " ".join(text), lang))
+    return rows, laden
+
+
+def test_bands_reject_symbol_laden_sentences(spark):
+    rows, laden = laden_documents()
+    out = {r.doc_id: r for r in perplexity.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for lang in ("en", "de"):
+        own = [(i in laden, out[i].kept) for i, _, x in rows if x == lang]
+        assert sum(k for junk, k in own if junk) <= 2  # of 20
+        assert sum(k for junk, k in own if not junk) >= 0.97 * sum(not junk for junk, _ in own)
