@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import chatgrammar, crossparse, decontaminate, guesscost, perplexity, piecetable, simhash, toxiccrf, urltrees, viterbi
+from headway.llm import (
+    bytebpe,
+    chatgrammar,
+    crossparse,
+    decontaminate,
+    guesscost,
+    perplexity,
+    piecetable,
+    simhash,
+    toxiccrf,
+    urltrees,
+    viterbi,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -191,3 +203,13 @@ def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(learned, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@query()
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes they decode to, as digests."""
+    lines = bytebpe.read_ranks(public_tokenizers.path(RANKS))
+    return bytebpe.encode(table(spark, folder, "documents"), lines, public_tokenizers.PATTERN, with_ids=False)
