@@ -2,9 +2,9 @@
 
 A text falls into the matches of the vocabulary's pattern, each encoded alone. Merging the pair of lowest rank until none is
 left gives every prefix of a match one encoding. It is found without merging: an automaton over the vocabulary, its bytes as
-Latin-1 letters, names the tokens that begin at a position. The longest that fits the token before it is taken; fitting means
-that the two, side by side, encode as these two, which is remembered by pair. Where none fits, the position is dead and the
-token before it gives way to the next shorter one. A position is left dead once, as only one token can lead to it, so the
+Latin-1 letters, names the longest token that begins at a position; a table names the next shorter one that it begins with.
+The longest that fits the token before it is taken; fitting means that the two, side by side, encode as these two, which is
+remembered by pair. Where none fits, the position is dead and the token before it gives way to the next shorter one. A position is left dead once, as only one token can lead to it, so the
 time is linear in the bytes.
 
 A match that is a token as a whole is that token, whatever merging would make of it.
@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +33,7 @@ from headway.llm.shared import Memo, once, over_texts, ship
 
 BLOCK = 65_536
 LONG_TEXT = 1 << 20
-WORDS, PAIRS = 60_000, 200_000
+WORDS, PAIRS = 100_000, 200_000
 LETTER_THEN_SPACE = regex.compile(r"\S\s")
 
 
@@ -54,8 +55,13 @@ class Merger:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
 
-    def merged(self, piece: bytes, wall: int = -1) -> list[int] | None:
-        """Ids of a short piece, merging the pair of lowest rank, the leftmost of equals; None once a merge spans `wall`."""
+    def merged(self, piece: bytes) -> list[int]:
+        """Ids of a short piece, merging the pair of lowest rank, the leftmost of equals, until none is left."""
+        return self.run(piece)[0]
+
+    def run(self, piece: bytes) -> tuple[list[int], int]:
+        """The ids by merging, and the place where the last two parts met."""
+        last = 0
         ends = list(range(1, len(piece) + 1))  # end of the part that begins here, 0 for none
         before = list(range(-1, len(piece) - 1))
         heap = []
@@ -71,8 +77,7 @@ class Merger:
             middle = ends[at]
             if not middle or middle >= len(piece) or ends[middle] != end:
                 continue  # one of the two has merged since
-            if middle == wall:
-                return None
+            last = middle
             ends[middle], ends[at] = 0, end
             if end < len(piece):
                 before[end] = at
@@ -83,7 +88,7 @@ class Merger:
         while at < len(piece):
             out.append(self.ranks[piece[at : ends[at]]])
             at = ends[at]
-        return out
+        return out, last
 
 
 class Encoder:
@@ -93,58 +98,95 @@ class Encoder:
         self.token = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.automaton = ahocorasick.Automaton()
+        # The two tokens that a token was last merged of, and whether they always came before it.
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.in_order = True
         for token, rank in ranks.items():
-            if len(token) == 1 or self.merger.merged(token) == [rank]:
-                self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            ids, middle = self.merger.run(token)
+            if ids != [rank]:
+                continue  # merging never makes it
+            self.automaton.add_word(token.decode("latin-1"), rank)
+            if middle:
+                self.halves[rank] = ranks[token[:middle]], ranks[token[middle:]]
+                self.in_order &= all(h < rank for h in self.halves[rank] if len(self.token[h]) > 1)
         self.automaton.make_automaton()
+        self.length = {rank: len(token) for rank, token in self.token.items()}
+        # For each token the next shorter one that it begins with, -1 for none.
+        self.shorter = dict.fromkeys(self.token, -1)
+        for rank in self.automaton.values():
+            begun = [r for end, r in self.automaton.iter(self.token[rank][:-1].decode("latin-1")) if end + 1 == self.length[r]]
+            if begun:
+                self.shorter[rank] = begun[-1]
         self.fits = lru_cache(PAIRS)(self._fits)
         self.word = Memo(self._packed, WORDS)
 
     def _fits(self, a: int, b: int) -> bool:
-        """Whether a and b side by side encode as just these two: each does alone, so no merge may span the seam."""
-        left, right = self.token[a], self.token[b]
-        return self.merger.merged(left + right, len(left)) is not None
+        """Whether a and b side by side encode as just these two.
+
+        Each does alone, so they do unless a merge across the seam comes first. The merges along the seam are taken back, the
+        latest first: a merge of what then stands on both sides would have come before the one taken back, if its rank is
+        lower, or the same one and it stands left of it.
+        """
+        token, rank, halves = self.token, self.merger.ranks, self.halves
+        if not self.in_order:
+            return self.merger.merged(token[a] + token[b]) == [a, b]
+        limit = float("inf")
+        while True:
+            across = rank.get(token[a] + token[b])
+            if across is not None and across < limit:
+                return False
+            left, right = (a if a in halves else -1), (b if b in halves else -1)
+            if left > right:
+                limit, a = left, halves[a][1]
+            elif right >= 0:
+                limit, b = right + 1, halves[b][0]
+            else:
+                return True
 
-    def _starting(self, letters: str, block: int) -> list[list[tuple[int, int]]]:
-        """For each position of a block the (length, id) of the tokens that begin there, shortest first."""
-        low = block * BLOCK
+    def _longest(self, letters: str, block: int) -> list[int]:
+        """For each position of a block the longest token that begins there."""
+        low, length = block * BLOCK, self.length
         size = min(BLOCK, len(letters) - low)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for end, (n, rank) in self.automaton.iter(letters, low, min(len(letters), low + size + self.longest - 1)):
-            if end + 1 - n - low < size:
-                found[end + 1 - n - low].append((n, rank))
+        # Matches come by their ends, so of those that begin at one place the longest comes last. The places past the
+        # block are of matches that begin after it.
+        found = [-1] * (size + self.longest)
+        for end, rank in self.automaton.iter(letters, low, min(len(letters), low + size + self.longest - 1)):
+            found[end + 1 - length[rank] - low] = rank
         return found
 
-    def encode_piece(self, piece: bytes) -> array:
+    def encode_piece(self, piece: bytes) -> list[int] | array:
         """Ids of one match of the pattern, by backtracking."""
         whole = self.merger.ranks.get(piece)
         if whole is not None:
-            return array("I", [whole])
-        letters, fits = piece.decode("latin-1"), self.fits
-        blocks = {0: self._starting(letters, 0)}
+            return [whole]
+        letters, fits, length, shorter = piece.decode("latin-1"), self.fits, self.length, self.shorter
+        blocks = {0: self._longest(letters, 0)}
         dead = bytearray(len(letters) + 1)
-        ids, sizes = array("I"), array("I")
-        at, longest = 0, self.longest + 1
-        while at < len(letters):
-            if at // BLOCK not in blocks:
-                if len(blocks) > 1:
-                    blocks.clear()
-                blocks[at // BLOCK] = self._starting(letters, at // BLOCK)
-            for n, rank in reversed(blocks[at // BLOCK][at % BLOCK]):
-                if n < longest and not dead[at + n] and (not ids or fits(ids[-1], rank)):
-                    ids.append(rank)
-                    sizes.append(n)
-                    at, longest = at + n, self.longest + 1
-                    break
-            else:
+        ids, at, size = [] if len(letters) < BLOCK else array("I"), 0, len(letters)
+        token = blocks[0][0] if size else -1
+        while at < size:
+            while token >= 0 and (dead[at + length[token]] or ids and not fits(ids[-1], token)):
+                token = shorter[token]
+            if token < 0:  # nothing fits here: the token before gives way
                 dead[at] = 1
-                ids.pop()
-                longest = sizes.pop()
-                at -= longest
+                token = ids.pop()
+                at -= length[token]
+                token = shorter[token]
+                continue
+            ids.append(token)
+            at += length[token]
+            if at < size:
+                block, place = divmod(at, BLOCK)
+                if block not in blocks:
+                    if len(blocks) > 1:
+                        blocks.clear()
+                    blocks[block] = self._longest(letters, block)
+                token = blocks[block][place]
         return ids
 
     def _packed(self, word: str) -> bytes:
-        return _little(self.encode_piece(word.encode()))
+        ids = self.encode_piece(word.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit numbers, in runs for the stretches of a long text."""
@@ -152,10 +194,6 @@ class Encoder:
             yield b"".join(map(self.word.__getitem__, self.pattern.findall(stretch)))
 
 
-def _little(ids: array) -> bytes:
-    return np.frombuffer(ids, np.uintc).astype("<u4").tobytes() if ids else b""
-
-
 def stretches(text: str, size: int = LONG_TEXT) -> Iterator[str]:
     """A text cut before white space that follows another character, once it is longer than `size`.
 
