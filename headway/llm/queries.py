@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from headway.llm import (
     bytebpe,
     chatgrammar,
+    collocations,
     crossparse,
     decontaminate,
     guesscost,
@@ -213,3 +214,38 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of every document and the bytes they decode to, as digests."""
     lines = bytebpe.read_ranks(public_tokenizers.path(RANKS))
     return bytebpe.encode(table(spark, folder, "documents"), lines, public_tokenizers.PATTERN, with_ids=False)
+
+
+@query(
+    r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+ws AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM ws, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, k, f AS a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS tail
+  FROM c, (SELECT unnest([1, 2, 3]) AS j) WHERE j < k),
+s AS (
+  SELECT cuts.*, h.f AS l, t.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (h.f + t.f) AS BIGINT) AS score
+  FROM cuts JOIN counts h ON cuts.lang = h.lang AND cuts.head = h.phrase JOIN counts t ON cuts.lang = t.lang AND cuts.tail = t.phrase),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+dropped AS (
+  SELECT DISTINCT low.lang, low.phrase FROM low JOIN c ON low.lang = c.lang AND c.k > low.k
+    AND contains(' ' || c.phrase || ' ', ' ' || low.phrase || ' ') AND 100 * c.f >= 80 * low.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM low ANTI JOIN dropped USING (lang, phrase))
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON ranked.lang = totals.lang WHERE rank <= 2000
+"""
+)
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 phrases of every language whose words stand together most."""
+    return collocations.mine(table(spark, folder, "documents"))
