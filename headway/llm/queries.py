@@ -15,6 +15,7 @@ from headway.llm import (
     crossparse,
     decontaminate,
     guesscost,
+    lexsearch,
     perplexity,
     piecetable,
     simhash,
@@ -249,3 +250,29 @@ SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals ON r
 def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """The 2000 phrases of every language whose words stand together most."""
     return collocations.mine(table(spark, folder, "documents"))
+
+
+@query(
+    r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+size AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS wt
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), size),
+sizes AS (SELECT doc_id, 100 - 90 + (90 * len(w) * docs) // words AS m FROM d, size WHERE len(w) > 0),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexsearch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
