@@ -110,7 +110,7 @@ def m8_forecast_grid(v: Views):
 
 
 @query(
-    """SELECT route_short_name, round(avg(congestion_rate), 6) AS mean_prediction,
+    """SELECT route_short_name, floor(avg(congestion_rate) * 1e6 + 0.5000001) / 1e6 AS mean_prediction,
   CASE WHEN avg(congestion_rate) >= 8e-1 THEN 'High' WHEN avg(congestion_rate) >= 3e-1
     THEN 'Moderate' ELSE 'Low' END AS status FROM congestion GROUP BY route_short_name""",
     "congestion",
@@ -118,7 +118,9 @@ def m8_forecast_grid(v: Views):
 def a16_congestion_status(v: Views):
     rates = dashboards.congestion_by_route(v.feature_table, v.trips, v.routes)
     status = model.forecast_status(rates.withColumnRenamed("congestion_rate", "prediction"))
-    return status.withColumn("mean_prediction", F.round("mean_prediction", 6))
+    # Means of 400ths often lie halfway between two millionths, where the order of a sum decides.
+    halves_up = F.floor(F.col("mean_prediction") * 1e6 + 0.5000001) / 1e6
+    return status.withColumn("mean_prediction", halves_up)
 
 
 @query(

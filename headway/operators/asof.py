@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.operators.keyed import last_per_key
+from headway.operators.ranges import RANGES, sample_bounds, with_range
+
+SALTS = 8
 
 
 def asof_backward(
@@ -15,52 +18,52 @@ def asof_backward(
     right_on: str,
     values: Sequence[str],
     tie: Sequence[str] = (),
+    ranges: int = RANGES,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Add to every left row the values of the right row with the latest time not after its own.
 
-    The right side becomes intervals [time, next time), cut up by calendar day, so that the join is
-    an equi-join on the day plus a range test. Spark then broadcasts the right side where it is
-    small and sorts or splits by day where it is not. A left row meets the intervals of its own day
-    only, as many as the day has right times, and exactly one of them matches. Left rows before the
-    first right row get NULLs; of equal right times the last in ``tie`` order counts.
+    A merge by time: both sides are dealt out by ranges of the time that hold about as many right
+    rows each, and every range is read once, in order, the last right row going along. The bounds
+    are right times themselves, so every range but the first begins with a right row, and none
+    needs to know what came before it. A left row is tested against no right row at all, however
+    many a day has. A range that holds much of the left side is spread over ``salts`` tasks, for
+    which its right rows are repeated. Left rows without a time or before the first right row get
+    NULLs; of equal right times the last in ``tie`` order counts.
     """
-    timed = (
-        right.filter(F.col(right_on).isNotNull())
-        .select(F.col(right_on).alias("_start"), *values, *[n for n in tie if n not in values])
-        .withColumn("_day", F.to_date("_start"))
+    timed = right.filter(F.col(right_on).isNotNull()).select(
+        F.col(right_on).alias("_time"), *values, *[n for n in tie if n not in values]
+    )
+    steps = last_per_key(timed, ["_time"], list(tie) or list(values)).select(
+        "_time", F.struct(*values).alias("_held")
+    )
+    bounds = sample_bounds(right.select(F.col(right_on).alias("_time")).distinct(), F.col("_time"), [F.col("_time")], ranges)
+    nothing = F.lit(None)
+    whole = left.select(F.struct(*left.columns).alias("_row")).schema["_row"].dataType
+    rights = steps.select(
+        "_time",
+        "_held",
+        nothing.cast(whole).alias("_row"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
     )
-    # One shuffle by day serves the rows within a day, the last row of each day and the last of
-    # all: the three select the same columns of it, so it is computed once.
-    day = Window.partitionBy("_day")
-    stepped = (
-        last_per_key(timed, ["_start", "_day"], list(tie) or list(values))
-        .select("_day", "_start", *values)
-        .withColumn("_end", F.lead("_start").over(day.orderBy("_start")))
-        .withColumn("_day_start", F.min("_start").over(day))
+    hashed = [f.name for f in whole if "map<" not in f.dataType.simpleString()]
+    kinds = steps.schema
+    lefts = left.select(
+        F.col(left_on).cast(kinds["_time"].dataType).alias("_time"),
+        nothing.cast(kinds["_held"].dataType).alias("_held"),
+        F.struct(*left.columns).alias("_row"),
+        F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int").alias("_salt"),
     )
-    within = stepped.filter(F.col("_end").isNotNull())
-    # One row per calendar day that has right rows: this window stays small at any data size.
-    calendar = Window.orderBy("_day")
-    ends = stepped.filter(F.col("_end").isNull())
-    following = ends.withColumns(
-        {
-            "_end": F.lead("_day_start").over(calendar),
-            "_next_day": F.lead("_day").over(calendar),
-        }
+    both = with_range(lefts.union(rights), F.col("_time"), bounds, ranges=ranges)
+    # Right rows come before left rows of the same time.
+    in_order = (
+        Window.partitionBy("_range", "_salt")
+        .orderBy("_time", F.col("_row").isNotNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # The last interval of a day reaches to the next day that has rows, over any gap between.
-    reach = F.when(
-        F.col("_next_day").isNotNull(), F.sequence(F.col("_day"), F.col("_next_day"))
-    ).otherwise(F.array("_day"))
-    columns = ["_start", "_end", *values]
-    over_days = following.select(F.explode(reach).alias("_reached"), *columns)
-    intervals = within.select(F.col("_day").alias("_reached"), *columns).union(over_days)
-    newest = ends.agg(F.max_by(F.struct("_day", "_day_start", *columns), "_day").alias("last"))
-    last_day = newest.select("last._day").scalar()
-    placed = left.withColumn("_left_day", F.least(F.to_date(left_on), last_day))
-    matches = (
-        (F.col("_left_day") == F.col("_reached"))
-        & (F.col(left_on) >= F.col("_start"))
-        & (F.col("_end").isNull() | (F.col(left_on) < F.col("_end")))
+    merged = both.withColumn("_held", F.last("_held", ignorenulls=True).over(in_order))
+    found = merged.filter(F.col("_row").isNotNull())
+    return found.select(
+        *[F.col("_row").getField(f.name).alias(f.name) for f in whole],
+        *[F.col("_held").getField(v).alias(v) for v in values],
     )
-    return placed.join(intervals, matches, "left").select(*left.columns, *values)

@@ -5,8 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.operators.ranges import sample_bounds, with_range
+
 SALTS = 1024
-RANGES = 64
 
 
 def mark_champions(
@@ -19,18 +20,18 @@ def mark_champions(
 ) -> DataFrame:
     """Add ``promoted``: whether a run scores strictly below every earlier run of its model name.
 
-    ``bucket`` must grow with ``order`` (for instance its day). The best score before each bucket
-    comes from one aggregate row per bucket. A run that does not beat it is rejected without
-    looking further; only the others are sorted within their bucket. So a model name with very many
-    runs is spread over its buckets, and the rejected runs are spread by salt. ``spread``, a number
-    that grows with ``order`` within a bucket, cuts each bucket into ranges of equal width between
-    its least and greatest, for a bucket that holds much of a name. Runs without a score are
-    dropped; NaN and infinity never win.
+    A prefix minimum in three steps. ``bucket`` (for instance the day), and within it ``spread``,
+    must grow with ``order``; over both together the runs are dealt out by ranges that hold about as
+    many runs each, however they crowd. The best score of every range, then the best of all ranges
+    before it: one row per name and range. Within a range only the runs that beat that are sorted
+    and compared with each other; the others are rejected without looking further, and spread by
+    salt. Runs without a score are dropped; NaN and infinity never win.
     """
     value = F.when(F.isnan(score), F.lit(None)).otherwise(F.col(score))
-    scored = runs.filter(F.col(score).isNotNull()).withColumn("_bucket", bucket)
-    if spread is not None:
-        scored = _in_ranges(scored, name, spread)
+    scored = runs.filter(F.col(score).isNotNull())
+    place = F.struct(bucket) if spread is None else F.struct(bucket, spread)
+    bounds = sample_bounds(scored, place, [F.col(c) for c in (name, *order)])
+    scored = with_range(scored, place, bounds, "_bucket")
     earlier = Window.partitionBy(name).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -43,8 +44,8 @@ def mark_champions(
             F.min("_best").over(earlier).alias("_best_before"),
         )
     )
-    same_bucket = F.col(name).eqNullSafe(F.col("_name")) & F.col("_bucket").eqNullSafe(
-        F.col("_best_bucket")
+    same_bucket = F.col(name).eqNullSafe(F.col("_name")) & (
+        F.col("_bucket") == F.col("_best_bucket")
     )
     contender = value < F.coalesce("_best_before", F.lit(float("inf")))
     salt = F.when(F.col("_contender"), F.lit(-1)).otherwise(
@@ -66,17 +67,3 @@ def mark_champions(
         )
         .select(*runs.columns, "promoted")
     )
-
-
-def _in_ranges(scored: DataFrame, name: str, spread: Column) -> DataFrame:
-    """Rows with the bucket made finer. The bounds are exact, so rows fall into the same ranges
-    wherever they are computed."""
-    rows = scored.withColumn("_spread", spread.cast("double"))
-    bounds = rows.groupBy(F.col(name).alias("_of"), F.col("_bucket").alias("_in")).agg(
-        F.min("_spread").alias("_low"), F.max("_spread").alias("_high")
-    )
-    same = F.col(name).eqNullSafe(F.col("_of")) & F.col("_bucket").eqNullSafe(F.col("_in"))
-    width = F.greatest((F.col("_high") - F.col("_low")) / RANGES, F.lit(1e-9))
-    place = F.coalesce(F.floor((F.col("_spread") - F.col("_low")) / width), F.lit(-1))
-    finer = F.struct("_bucket", F.least(place, F.lit(RANGES)).alias("_range"))
-    return rows.join(bounds, same).withColumn("_bucket", finer).select(scored.columns)

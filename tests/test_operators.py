@@ -12,6 +12,7 @@ from headway.operators.asof import asof_backward
 from headway.operators.champion import mark_champions
 from headway.operators.islands import consecutive_blocks
 from headway.operators.keyed import duplicate_keys, first_per_key, last_per_key, new_rows
+from headway.operators.ranges import sample_bounds, with_range
 from headway.operators.sampling import sample_by_gap
 from headway.sinks.tables import (
     append_new_features,
@@ -117,6 +118,49 @@ def test_asof_equals_search(spark, left, right):
     assert rows(asof(spark, [at(h) for h in left], rights)) == expected
 
 
+def test_asof_with_many_right_rows_on_one_day(spark):
+    """Every second of a day twice on the right, the left side crowded into one minute and salted."""
+    day = F.lit("2025-05-16").cast("timestamp_ntz")
+    right = spark.range(100_000).select(
+        (day + F.expr("make_dt_interval(0, 0, 0, id div 2 * 1.5)")).alias("hour"),
+        F.col("id").cast("int").alias("n"),
+        F.when(F.col("id") % 10 != 1, F.col("id")).alias("v"),
+    )
+    left = spark.range(20_000).select(
+        "id", (day + F.expr("make_dt_interval(0, 12, 0, (id % 600) / 10.0)")).alias("ts")
+    )
+    joined = asof_backward(left, right, "ts", "hour", ["v"], tie=["n"])
+    step = F.floor((F.lit(43200) + (F.col("id") % 600) / 10) / 1.5)
+    last = step * 2 + 1
+    expected = left.select("id", "ts", F.when(last % 10 != 1, last).alias("v"))
+    assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
+    plan = joined._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+    assert "Join" not in plan
+    assert "SinglePartition" not in plan.split("Subqueries")[0].split("Subquery ")[0]
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 5])
+def test_asof_over_few_ranges(spark, ranges):
+    lefts = frame(spark, [(at(h / 3),) for h in range(100)] + [(None,)], "ts timestamp_ntz")
+    rights = frame(spark, [(at(h), h, str(h)) for h in range(3, 30, 4)], "hour timestamp_ntz, id int, v string")
+    found = asof_backward(lefts, rights, "ts", "hour", ["v"], ["id"], ranges=ranges, salts=2)
+    best = [max((x for x in range(3, 30, 4) if x <= h / 3), default=None) for h in range(100)]
+    expected = [(at(h / 3), None if b is None else str(b)) for h, b in enumerate(best)]
+    assert rows(found) == sorted([*expected, (None, None)], key=repr)
+
+
+def test_ranges_hold_equal_shares(spark):
+    """Also of values that crowd together; equal values share a range."""
+    df = spark.range(20_000).select((F.col("id") * F.col("id") * F.col("id")).alias("n"))
+    placed = with_range(df, F.col("n"), sample_bounds(df, F.col("n"), [F.col("n")], 16), ranges=16)
+    sizes = [r["count"] for r in placed.groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 20_000 / 4
+    ordered = placed.groupBy("_range").agg(F.min("n").alias("a"), F.max("n").alias("b")).orderBy("_range").collect()
+    assert all(x.b < y.a for x, y in zip(ordered, ordered[1:]))
+
+
 # Blocks, champions, sampling
 
 

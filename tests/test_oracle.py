@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).parent.parent))
 import __spark_entry__ as entry_points  # noqa: E402
 
 FOLDER = Path("/root/testdata/sf0.001")
+LARGER = Path("/root/testdata/sf0.01")
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no sample tables")
@@ -30,6 +31,13 @@ def test_query_equals_sql(spark, duck, name):
     assert rows
 
 
+@pytest.mark.skipif(not LARGER.exists(), reason="no larger sample")
+@pytest.mark.parametrize("name", ["a16_congestion_status", "j7_weather_asof", "w7_champion_runs", "w8_sampled_moments"])
+def test_query_equals_sql_on_the_larger_sample(spark, name):
+    _, rows = spark_rows(QUERIES[name](spark, str(LARGER)))
+    assert rows == duckdb_rows(connect(str(LARGER)), SQL[name])[1]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES.keys() - SQL.keys()))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, str(FOLDER)).count() > 0
