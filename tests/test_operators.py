@@ -1,5 +1,6 @@
 """Operators: the cases a plain version gets wrong, with rows written out by hand."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -229,6 +230,30 @@ def test_sampling_equals_loop(spark, minutes):
     assert [round(h * 60) for h in sampled(spark, [m / 60 for m in minutes])] == kept
 
 
+@pytest.mark.parametrize("chunk_slots, per_group, seed", [(2, 2, 0), (3, 4, 1), (16, 64, 2)])
+def test_sampling_of_timelines_without_silence(spark, chunk_slots, per_group, seed):
+    """One key that is busy over many chunks and groups of them, beside others with silences."""
+    rng = random.Random(seed)
+    second, moments = timedelta(seconds=1), {}
+    for key, mean in (("busy", 40), ("even", 60), ("calm", 500)):
+        now, moments[key] = T0 + timedelta(minutes=7), []
+        while now < T0 + timedelta(hours=12):
+            moments[key].append(now)
+            now += second * (60 if key == "even" else rng.expovariate(1 / mean))
+    df = frame(spark, [(k, m) for k, times in moments.items() for m in times], "key string, ts timestamp_ntz")
+    kept = sample_by_gap(df, "key", "ts", T0.isoformat(sep=" "), 240, chunk_slots, per_group)
+    expected = []
+    for key, times in moments.items():
+        last = T0
+        for m in times:
+            if m > last + 240 * second:
+                last = m
+                expected.append((key, m))
+    assert rows(kept) == rows(frame(spark, expected, "key string, ts timestamp_ntz"))
+    with pytest.raises(ValueError):
+        sample_by_gap(df, "key", "ts", chunk_slots=1)
+
+
 # Expansion
 
 
