@@ -36,25 +36,56 @@ def replace_weather(
 
 
 def _gap_sampler(key_name: str, ts: str, start: str, gap_seconds: int) -> StatefulProcessor:
-    """A processor that remembers the last kept moment of a key, and nothing else. Defined in here
-    so that it travels with the query and workers need no copy of the package."""
+    """A processor that holds the moments of a key until the watermark has passed them, and the last
+    kept one. Defined in here so that it travels with the query and workers need no copy of the
+    package."""
 
     class GapSampler(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
             self.last = handle.getValueState("last", "micros long")
+            self.waiting = handle.getMapState("waiting", "micros long", "seen boolean")
+            self.timer = handle.getValueState("timer", "millis long")
 
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-            last, gap = pd.Timestamp(start), pd.Timedelta(seconds=gap_seconds)
-            if self.last.exists():
-                last = pd.Timestamp(self.last.get()[0], unit="us")
+        def wake_at(self, micros: int) -> None:
+            """One timer per key, at its earliest waiting moment."""
+            millis = -(-micros // 1000)
+            if self.timer.exists():
+                before = self.timer.get()[0]
+                if before <= millis:
+                    return
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(millis)
+            self.timer.update((millis,))
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            moments = set().union(*[batch[ts].dropna() for batch in rows])
+            micros = [pd.Timestamp(m).value // 1000 for m in moments]
+            for m in micros:
+                self.waiting.updateValue((m,), (True,))
+            if micros:
+                self.wake_at(min(micros))
+            yield from ()
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            passed = timerValues.getCurrentWatermarkInMs() * 1000
+            last = self.last.get()[0] if self.last.exists() else pd.Timestamp(start).value // 1000
+            waiting = sorted(m for (m,) in self.waiting.keys())
             kept = []
-            for moment in sorted(set().union(*[batch[ts].dropna() for batch in rows])):
-                if moment > last + gap:
-                    last = moment
-                    kept.append(moment)
+            for m in waiting:
+                if m > passed:
+                    break
+                if m > last + gap_seconds * 1_000_000:
+                    last = m
+                    kept.append(m)
+                self.waiting.removeKey((m,))
+            self.timer.clear()
+            later = [m for m in waiting if m > passed]
+            if later:
+                self.wake_at(later[0])
             if kept:
-                self.last.update((last.value // 1000,))
-                yield pd.DataFrame({key_name: [key[0]] * len(kept), ts: kept})
+                self.last.update((last,))
+                yield pd.DataFrame({key_name: [key[0]] * len(kept), ts: pd.to_datetime(kept, unit="us")})
 
         def close(self) -> None:
             pass
@@ -68,13 +99,21 @@ def sample_stream(
     ts: str,
     start: str = K.SAMPLING_START,
     gap_seconds: int = K.SAMPLING_GAP_SECONDS,
+    delay: str = "1 hour",
 ) -> DataFrame:
-    """Moments more than the gap after the last kept one of their key. Rows that come late, in
-    a later batch than rows after them, are not kept. Needs the RocksDB state store."""
+    """Moments more than the gap after the last kept one of their key.
+
+    A moment waits until the watermark, ``delay`` behind the latest moment of the stream, has passed
+    it; only then is it decided. So rows may come in any order and in any batch within the delay,
+    and the result is that of the batch operator over them. Rows that come later than that are left
+    out. State per key is the last kept moment and the distinct moments of one delay. Needs the
+    RocksDB state store. Times are read in the session's zone, which must have no clock changes.
+    """
     moments = stream.filter(F.col(key).isNotNull()).select(key, ts)
-    return moments.groupBy(key).transformWithStateInPandas(
+    timed = moments.withColumn("_event", F.col(ts).cast("timestamp")).withWatermark("_event", delay)
+    return timed.groupBy(key).transformWithStateInPandas(
         statefulProcessor=_gap_sampler(key, ts, start, gap_seconds),
         outputStructType=moments.schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )

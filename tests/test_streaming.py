@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -378,21 +379,36 @@ def collect_stream(df, tmp_path, name):
 
 
 def test_sampled_stream_equals_batch(spark, topic, tmp_path):
-    hours = [0, 6, 6.001, 7, 12.001, 12.002, 13, 40, 45, 46.001, 46.002]
+    """Moments in any order and any batch within the delay; a last row lets the watermark pass."""
+    rng = random.Random(3)
+    hours = [0, 6, 6.001, 7, 12.001, 12.002, 13, 40, 45, 46.001, 46.002, 46.002]
     moments = [("a", TS + timedelta(hours=h)) for h in hours]
     moments += [("b", TS + timedelta(hours=h)) for h in (6, 12.5)]
+    moments += [("c", TS + timedelta(minutes=rng.randint(0, 4000))) for _ in range(60)]
     moments.sort(key=lambda m: m[1])
     start = TS.isoformat(sep=" ")
-    streamed = collect_stream(
-        sample_stream(events(spark, topic, moments[:6], moments[6:]), "key", "timestamp", start),
-        tmp_path,
-        "sampled",
-    )
     batch = spark.createDataFrame(moments, "key string, timestamp timestamp_ntz")
     expected = rows(sample_by_gap(batch, "key", "timestamp", start))
-    assert rows(streamed) == expected
     assert [t for k, t in expected if k == "b"] == [TS + timedelta(hours=12.5)]
 
+    # Rows of up to eight hours around come in any order, so in the batch before or after.
+    near = sorted(moments, key=lambda m: m[1] + timedelta(hours=rng.uniform(0, 8)))
+    cuts = [near[:20], near[20:45], near[45:], [("z", TS + timedelta(days=30))]]
+    stream_of = events(spark, topic, *cuts)
+    streamed = collect_stream(
+        sample_stream(stream_of, "key", "timestamp", start, delay="8 hours"), tmp_path, "sampled"
+    )
+    assert rows(streamed) == expected
+
+
+def test_sampled_stream_leaves_out_what_comes_after_the_delay(spark, topic, tmp_path):
+    """In the batch after, 6.5 hours is still undecided and counts; two batches later it is not."""
+    hours = [(7, 30), (6.5,), (30,), (6.4,), (999,)]
+    batches = [[("a", TS + timedelta(hours=h)) for h in hs] for hs in hours]
+    df = sample_stream(events(spark, topic, *batches), "key", "timestamp", TS.isoformat(sep=" "))
+    kept = [t for _, t in rows(collect_stream(df, tmp_path, "late"))]
+    assert kept == [TS + timedelta(hours=h) for h in (6.5, 30)]
+
 
 def test_first_seen_stream(spark, topic, tmp_path):
     batches = [[("a", TS), ("b", TS), ("a", TS)], [("a", TS + timedelta(minutes=1))]]
