@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from headway.schemas import SENSOR_MESSAGE, TICKET_MESSAGE
+from headway.sinks.keyindex import add_keys, first_ever, fold_keys
+from headway.sinks.logs import fold_now
 from headway.sinks.tables import missing_rows, write_part
 from headway.sources.messages import ARRIVAL, bad_messages, decode_messages, good_rows
 from headway.streaming.running import start
@@ -95,9 +97,36 @@ def ingest_tickets_and_sensors(
     ]
 
 
+def ingest_first_ever(
+    stream: DataFrame,
+    key: str,
+    order: Sequence[str],
+    table: str,
+    index: str,
+    checkpoint: str,
+    fold_every: int = 32,
+    every: str | None = None,
+) -> StreamingQuery:
+    """The first row of every key, for ever. A batch reads of the keys before it only the
+    buckets that its own keys may be in (``headway.sinks.keyindex``); streaming state holds none."""
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        fresh = first_ever(batch, key, list(order), index, batch_id).persist()
+        try:
+            write_part(fresh, table, batch_id)
+            add_keys(fresh.select(key), key, index, batch_id)
+        finally:
+            fresh.unpersist()
+        if fold_now(batch_id, fold_every):
+            fold_keys(batch.sparkSession, index, batch_id - 1)
+
+    return start(stream, each_batch, checkpoint, every)
+
+
 def first_seen(stream: DataFrame, keys: Sequence[str], delay: str) -> DataFrame:
     """The first row per key. A key is forgotten once ``timestamp`` has moved on by the
-    delay, so state stays bounded; copies further apart than that both pass."""
+    delay, so state stays bounded; copies further apart than that both pass (``ingest_first_ever``
+    forgets none)."""
     timed = stream.withColumn("event_time", F.col("timestamp").cast("timestamp"))
     firsts = timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
     return firsts.drop("event_time")

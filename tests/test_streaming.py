@@ -13,6 +13,7 @@ from headway import schemas
 from headway.operators.merge import upsert_latest
 from headway.operators.sampling import sample_by_gap
 from headway.plans.occupancy import current_occupancy
+from headway.sinks.keyindex import add_keys, first_ever, fold_keys, known_keys
 from headway.sinks.logs import add_to_log, fold_log, read_log
 from headway.sinks.tables import BATCH, read_parts, read_version, write_part, write_version
 from headway.sources.messages import file_stream, parse_messages
@@ -21,6 +22,7 @@ from headway.streaming.champion import current_champion, decide_champions
 from headway.streaming.ingest import (
     first_of_shape,
     first_seen,
+    ingest_first_ever,
     ingest_once,
     ingest_tickets_and_sensors,
 )
@@ -416,6 +418,52 @@ def test_first_seen_stream(spark, topic, tmp_path):
     assert rows(collect_stream(df, tmp_path, "first").select("key")) == [("a",), ("b",)]
 
 
+def test_first_ever_stream_forgets_no_key(spark, topic, tmp_path):
+    """A key of the first batch is still known in the last one, after folding and months later."""
+    batches = [[(f"k{n}", TS + timedelta(days=9 * b, minutes=n)) for n in range(b, 40, 7)] for b in range(8)]
+    batches[7] += [("k0", TS + timedelta(days=400)), ("new", TS), ("new", TS), (None, TS)]
+    table, index = str(tmp_path / "table"), str(tmp_path / "index")
+    seen = ["key", "timestamp"]
+    finish(ingest_first_ever(events(spark, topic, *batches), "key", ["timestamp"], table, index, str(tmp_path / "cp"), 3))
+    first = {}
+    for key, moment in [row for batch in batches for row in batch]:
+        if key is not None:
+            first.setdefault(key, moment)
+    found = read_parts(spark, table, schemas.schema(f"key string, timestamp timestamp_ntz, {BATCH} int"))
+    assert rows(found.select(seen)) == sorted(first.items(), key=repr)
+
+
+def test_key_index_opens_only_buckets_that_may_hold_a_key(spark, tmp_path):
+    path = str(tmp_path / "index")
+    for n in range(3):
+        keys = spark.range(n * 1000, n * 1000 + 1000).withColumn("id", F.col("id").cast("string"))
+        add_keys(keys, "id", path, n, buckets=64)
+    asked = spark.createDataFrame([("5",), ("2999",), ("77777",)], "id string")
+    known = known_keys(asked, "id", path, 3, buckets=64)
+    assert rows(known) == [("2999",), ("5",)]
+    # 192 folders are there; a key that is nowhere opens one now and then.
+    assert 2 <= len({f.rsplit("/", 1)[0] for f in known.inputFiles()}) <= 4
+    assert rows(known_keys(asked, "id", path, 2, buckets=64)) == [("5",)]
+    fold_keys(spark, path, 1)
+    again = known_keys(asked, "id", path, 3, buckets=64)
+    assert rows(again) == [("2999",), ("5",)]
+    assert {"base" in f for f in again.inputFiles()} == {True, False}
+    # A filter that is full opens every bucket, and the answer is the same.
+    add_keys(spark.range(3000, 9000).select(F.col("id").cast("string").alias("id")), "id", f"{path}2", 0, 4, 1)
+    assert rows(known_keys(asked.unionByName(spark.createDataFrame([("3001",)], "id string")), "id", f"{path}2", 1, 4, 1)) == [("3001",)]
+    assert known_keys(asked, "id", str(tmp_path / "none"), 1).isEmpty()
+
+
+def test_a_repeated_batch_finds_the_same_rows(spark, tmp_path):
+    path = str(tmp_path / "index")
+    batch = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), (None, 1)], "id string, n int")
+    for _ in range(2):
+        fresh = first_ever(batch, "id", ["n"], path, 4)
+        assert rows(fresh) == [("a", 1), ("b", 1)]
+        add_keys(fresh, "id", path, 4)
+    assert first_ever(batch, "id", ["n"], path, 5).isEmpty()
+
+
 def test_first_of_shape_stream(spark, topic, tmp_path):
     batches = [[("s1", TS)], [("s1", TS + timedelta(days=9)), ("s2", TS)]]
     df = first_of_shape(events(spark, topic, *batches).withColumnRenamed("key", "shape_id"))
