@@ -16,9 +16,19 @@ from headway.operators.sampling import sample_by_gap
 from headway.plans import demand, tracks, weather
 from headway.plans import traffic as traffic_plan
 from headway.schemas import TICKET_MESSAGE, schema
-from headway.sinks.tables import missing_rows, prediction_log, to_messages
+from headway.sinks.keyindex import add_keys, first_ever, fold_keys, scratch_folder
+from headway.sinks.tables import (
+    BATCH,
+    missing_rows,
+    prediction_log,
+    read_parts,
+    to_messages,
+    write_part,
+)
 from headway.sources import messages as m
 
+FIRSTS = schema(f"trip_id string, prediction_id long, {BATCH} int")
+
 # Messages
 
 
@@ -183,6 +193,29 @@ def k2_known_at_other_times(v: Views):
     return missing_rows(later, v.predictions.filter("traffic = 'R'"), "prediction_id", ARRIVAL)
 
 
+@query(
+    """SELECT trip_id, prediction_id FROM predictions QUALIFY row_number() OVER (PARTITION BY trip_id
+  ORDER BY timestamp, part, supplier, quantity, price) = 1""",
+    "predictions",
+)
+def x4_first_ever_in_steps(v: Views):
+    """What the stream does: the first prediction of every trip, in three batches that meet trips of
+    earlier ones again, against the index of the trips seen before; the first two are folded."""
+    folder = scratch_folder(v.spark)
+    order = ["timestamp", "part", "supplier", "quantity", "price"]
+    ends = [F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (1994, 1996, 2100)]
+    for n, end in enumerate(ends):
+        batch = v.predictions.filter(F.col("timestamp") < end)
+        batch = batch if n == 0 else batch.filter(F.col("timestamp") >= ends[n - 1])
+        fresh = first_ever(batch, "trip_id", order, f"{folder}/trips", n)
+        write_part(fresh.select("trip_id", "prediction_id"), f"{folder}/table", n)
+        found = read_parts(v.spark, f"{folder}/table", FIRSTS)
+        add_keys(found.filter(F.col(BATCH) == n), "trip_id", f"{folder}/trips", n)
+        if n == 1:
+            fold_keys(v.spark, f"{folder}/trips", 1)
+    return found.select("trip_id", "prediction_id")
+
+
 @query(
     """SELECT "user", arg_max(kind, "offset") AS kind,
   (max({'o': "offset", 'l': level}) FILTER (has_level)).l AS level

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.constants import SENSOR_ACTIVE
+from headway.operators.filters import within_range_of
 from headway.plans.occupancy import STOP_KEY
 from headway.schemas import schema
 from headway.sinks.logs import add_to_log, fold_log, fold_now, read_log
@@ -68,9 +69,9 @@ def track_occupancy(
 def occupancy_changes(counts: DataFrame, earlier: DataFrame) -> DataFrame:
     """Change of the occupancy sum per bus and trip that new counts bring on top of earlier ones."""
     columns = [*STOP_KEY, "on", "off"]
-    # A batch has few days; each is read, but none between them.
-    days = [row["day"] for row in counts.select("day").distinct().collect()]
-    same_days = earlier.filter(F.col("day").isin(days))
+    # The range of the days prunes folders before the scan, the join picks the days within it.
+    days = counts.select("day").distinct()
+    same_days = within_range_of(earlier, counts, "day").join(days, "day", "left_semi")
     rows = counts.select(*columns, F.lit(True).alias("new")).union(
         same_days.select(*columns, F.lit(False).alias("new"))
     )
