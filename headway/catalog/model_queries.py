@@ -69,14 +69,8 @@ def a18_rmse(v: Views):
 
 def _grid(v: Views):
     """Two hours in steps of five minutes from the last feature row of every route."""
-    flags = dashboards.location_features(v.routes, v.trips, v.feature_table)
-    last = (
-        dashboards.congestion_by_route(v.feature_table, v.trips, v.routes)
-        .groupBy("route_short_name")
-        .agg(F.max("timestamp_x").alias("last"))
-    )
     return model.forecast_grid(
-        flags.join(last, "route_short_name"),
+        dashboards.forecast_starts(v.routes, v.trips, v.feature_table),
         F.col("last"),
         window_minutes=120,
         interval_minutes=5,

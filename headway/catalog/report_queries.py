@@ -86,9 +86,8 @@ def w1_latest_congestion(v: Views):
 
 
 def route_points(v: Views, route=None):
-    return d.route_map(
-        v.routes, v.trips, v.shapes, v.stop_times, v.stops, v.feature_table, route
-    )
+    features = v.features_of(d.map_trips(v.trips, v.routes, route))
+    return d.route_map(v.routes, v.trips, v.shapes, v.stop_times, v.stops, features, route)
 
 
 _POINTS = """SELECT route_short_name, round(lat, 6) AS lat, round(lon, 6) AS lon, sequence, stop_id,

@@ -301,6 +301,10 @@ class Views:
 
     @cached_property
     def feature_table(self) -> DataFrame:
+        return self.features_of(None)
+
+    def features_of(self, only_trips: DataFrame | None) -> DataFrame:
+        """The feature table, or its part for some trips."""
         return build_features(
             self.raw_tickets,
             self.raw_sensors,
@@ -308,4 +312,5 @@ class Views:
             self.traffic,
             self.weather,
             self.city_events,
+            only_trips=only_trips,
         )

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from datetime import date, time
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway import constants as K
@@ -308,7 +308,8 @@ def traffic_alerts(
 
 
 def route_options(routes: DataFrame, trips: DataFrame, features: DataFrame) -> DataFrame:
-    """Routes with feature rows; all routes with trips where no route has any."""
+    """Routes with feature rows; all routes with trips where no route has any. Whether any has
+    is found in the same pass, over one row per route."""
     used = features.select(F.col("trip_id_x").alias("trip_id")).distinct()
     options = (
         trip_routes(trips, routes)
@@ -316,24 +317,48 @@ def route_options(routes: DataFrame, trips: DataFrame, features: DataFrame) -> D
         .groupBy("route_short_name", "route_long_name")
         .agg(F.coalesce(F.bool_or("used"), F.lit(False)).alias("used"))
     )
-    any_used = options.agg(F.coalesce(F.bool_or("used"), F.lit(False))).scalar()
-    return options.filter(F.col("used") | ~any_used).select(
-        "route_short_name",
-        route_label(F.col("route_short_name"), F.col("route_long_name")).alias("label"),
+    gathered = options.agg(
+        F.collect_list(F.struct("*")).alias("options"), F.bool_or("used").alias("any_used")
+    )
+    each = gathered.select("any_used", F.explode("options").alias("option"))
+    return each.filter(F.col("option.used") | ~F.col("any_used")).select(
+        "option.route_short_name",
+        route_label(F.col("option.route_short_name"), F.col("option.route_long_name")).alias("label"),
     )
 
 
 def location_features(routes: DataFrame, trips: DataFrame, features: DataFrame) -> DataFrame:
     """School and hospital flag of every route; of several pairs the greatest, else false."""
-    pairs = (
-        _with_route(features.select("trip_id_x", "school", "hospital"), trips, routes)
-        .groupBy("route_short_name")
-        .agg(F.max(F.struct("school", "hospital")).alias("pair"))
-    )
-    flag = lambda name: F.coalesce(F.col(f"pair.{name}").cast("boolean"), F.lit(False)).alias(name)
+    pairs = _route_ends(features, trips, routes)
     return (
         routes.select("route_short_name")
         .distinct()
         .join(pairs, "route_short_name", "left")
-        .select("route_short_name", flag("school"), flag("hospital"))
+        .select("route_short_name", _flag("school"), _flag("hospital"))
+    )
+
+
+def forecast_starts(routes: DataFrame, trips: DataFrame, features: DataFrame) -> DataFrame:
+    """The flags and the last complete moment of every route that has one, in one pass over
+    the feature table."""
+    ends = _route_ends(features, trips, routes).filter(F.col("last").isNotNull())
+    named = ends.filter(F.col("route_short_name").isNotNull())
+    return named.select("route_short_name", _flag("school"), _flag("hospital"), "last")
+
+
+def _flag(name: str) -> Column:
+    return F.coalesce(F.col(f"pair.{name}").cast("boolean"), F.lit(False)).alias(name)
+
+
+def _route_ends(features: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
+    """The greatest pair of flags and the last complete moment of every route."""
+    complete = F.col("congestion_rate").isNotNull() & F.col("traffic_level").isNotNull()
+    read = ["trip_id_x", "timestamp_x", "school", "hospital", "congestion_rate", "traffic_level"]
+    return (
+        _with_route(features.select(*read), trips, routes)
+        .groupBy("route_short_name")
+        .agg(
+            F.max(F.struct("school", "hospital")).alias("pair"),
+            F.max(F.when(complete, F.col("timestamp_x"))).alias("last"),
+        )
     )

@@ -165,8 +165,18 @@ def build_features(
     weather: DataFrame,
     city_events: DataFrame,
     columns: Sequence[str] = tuple(K.FEATURE_COLUMNS),
+    only_trips: DataFrame | None = None,
 ) -> DataFrame:
-    """Q3: the selected feature columns of every trip-day that has a value in all of them."""
+    """Q3: the selected feature columns of every trip-day that has a value in all of them.
+
+    With ``only_trips``, a table with a ``trip_id``, those of its trips alone. Nothing goes from
+    one trip to another, so the facts of other trips are left out before they are counted.
+    """
+    if only_trips is not None:
+        asked = only_trips.select("trip_id")
+        tickets, sensors, trips = (
+            df.join(asked, "trip_id", "left_semi") for df in (tickets, sensors, trips)
+        )
     needed = [name for name in TRAFFIC_VALUES if name in columns]
     days = trip_traffic(trip_days(tickets, sensors), trips, traffic, needed)
     with_weather = asof_backward(

@@ -111,6 +111,18 @@ def test_feature_row(spark):
     assert row.sine_time == pytest.approx(0.8660254)
 
 
+def test_features_of_some_trips(spark):
+    """The same rows as picked from the whole table, with each trip's own first peak flag."""
+    facts = [{"trip_id": t, "timestamp": T0 + timedelta(days=d), "peak_hour": p} for t, d, p in (("t", 0, 1), ("t", 1, 0), ("u", 0, 0), (None, 0, 0))]
+    listed = [{"trip_id": t, "route_id": 1, "shape_id": "S"} for t in "tuw"]
+    parts = feature_inputs(spark, tickets=facts, sensors=facts, trips=listed)
+    asked = spark.createDataFrame([("t",), ("t",), ("w",), (None,)], "trip_id string")
+    whole = features.build_features(*parts)
+    some = features.build_features(*parts, only_trips=asked)
+    assert rows(some) == rows(whole.filter("trip_id_x = 't'")) != rows(whole)
+    assert len(rows(some)) == 2
+
+
 def test_last_times_must_agree(spark):
     later = {"timestamp": T0 + timedelta(seconds=1)}
     assert built(spark, sensors=[later]) == []
@@ -287,6 +299,14 @@ def test_route_options_fall_back(spark):
         assert dashboards.route_options(routes, trips, none).count() == 2
 
 
+def test_forecast_starts_take_complete_moments(spark):
+    routes = spark.createDataFrame([(1, "1"), (2, "2"), (3, None)], "route_id int, route_short_name string").withColumn("route_long_name", F.lit("x"))
+    trips = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "trip_id string, route_id int").withColumn("shape_id", F.lit("S"))
+    found = [("a", T0, 0, 1, 0.1, "low"), ("a", T0 + timedelta(days=2), 1, 0, None, "low"), ("b", T0, 1, 1, 0.1, None), ("c", T0, 1, 1, 0.1, "low")]
+    features_ = spark.createDataFrame(found, "trip_id_x string, timestamp_x timestamp_ntz, school int, hospital int, congestion_rate double, traffic_level string")
+    assert rows(dashboards.forecast_starts(routes, trips, features_)) == [("1", True, False, T0)]
+
+
 def test_location_features_default_to_false(spark):
     routes, trips = network(spark)
     pairs = feature_rows(
