@@ -10,7 +10,9 @@ from headway.operators.filters import any_row, clean_names, missing_counts
 from headway.operators.keyed import duplicate_keys
 from headway.plans import features, occupancy
 from headway.plans.demand import first_predictions
+from headway.sinks.keyindex import scratch_folder
 from headway.sinks.tables import append_new_features
+from headway.streaming.features import fold_features, read_features, update_features
 from headway.streaming.occupancy import current_from_changes, movements, occupancy_changes
 
 _BOARDINGS = """SELECT trip_id, bus_id, route, stop_id, timestamp, count(*) AS passengers_on
@@ -218,6 +220,22 @@ def k6_new_features(v: Views):
     return append_new_features(table, table.filter("school = 1"))
 
 
+@query(_ROUNDED, "feature_table")
+def k6_features_in_steps(v: Views):
+    """What the stream does: three batches of facts that share trips and days, in no order of time,
+    the first two folded; the same rows as from all facts at once."""
+    folder = scratch_folder(v.spark)
+    for n in range(3):
+        tickets = v.raw_tickets.filter(F.col("ticket_id").cast("long") % 3 == n)
+        sensors = v.raw_sensors.filter(F.col("measurement_id").cast("long") % 5 % 3 == n)
+        others = (v.trips, v.traffic, v.weather, v.city_events)
+        update_features(v.spark, folder, n, tickets, sensors, *others)
+        if n == 1:
+            fold_features(v.spark, folder, 1)
+    found = read_features(v.spark, folder)
+    return found.withColumns({c: F.round(c, 6) for c in ("sine_time", "congestion_rate")})
+
+
 @query(
     """SELECT prediction_id, count(*) AS copies FROM predictions GROUP BY prediction_id
 HAVING count(*) > 1""",

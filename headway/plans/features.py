@@ -58,12 +58,10 @@ def _dated(facts: DataFrame) -> DataFrame:
     )
 
 
-def trip_days(tickets: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Ticket and sensor features of the trip-days whose last ticket and last reading
-    carry the same time, with the trip's first peak flag.
+def trip_day_counts(tickets: DataFrame, sensors: DataFrame) -> DataFrame:
+    """What trip-days need of their tickets and readings; ``merged_counts`` adds such rows up.
 
-    Both fact tables go through one aggregation by trip and day. What leaves it is small, so
-    gathering a trip's days for its first peak flag and all later steps move few rows.
+    Both fact tables go through one aggregation by trip and day.
     """
     ticket_rows = _dated(tickets).select(
         "trip_id",
@@ -85,34 +83,59 @@ def trip_days(tickets: DataFrame, sensors: DataFrame) -> DataFrame:
         "status",
         F.col("timestamp").alias("reading"),
     )
-    days = ticket_rows.unionByName(sensor_rows).groupBy("trip_id", "day").agg(
+    return ticket_rows.unionByName(sensor_rows).groupBy("trip_id", "day").agg(
         F.count("fare").alias("passengers_in"),
         F.max("school").alias("school"),
         F.max("hospital").alias("hospital"),
         F.max("timestamp").alias("timestamp"),
         F.count("status").alias("passengers_out"),
         F.max("reading").alias("reading"),
-        _first_time(0).alias("_off"),
-        _first_time(1).alias("_on"),
+        _first_time(0).alias("first_off"),
+        _first_time(1).alias("first_on"),
     )
-    trip = Window.partitionBy("trip_id")
-    return (
-        days.withColumn("_off", F.min("_off").over(trip))
-        .withColumn("_on", F.min("_on").over(trip))
-        .filter(F.col("timestamp") == F.col("reading"))
-        .select(
-            "trip_id",
-            "day",
-            "timestamp",
-            "passengers_in",
-            "passengers_out",
-            "school",
-            "hospital",
-            _first_flag("_off", "_on").alias("peak_hour"),
-        )
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Counts of several lots of facts as those of all of them."""
+    return counts.groupBy("trip_id", "day").agg(
+        *[F.sum(n).alias(n) for n in ("passengers_in", "passengers_out")],
+        *[F.max(n).alias(n) for n in ("school", "hospital", "timestamp", "reading")],
+        *[F.min(n).alias(n) for n in ("first_off", "first_on")],
     )
 
 
+def days_of_counts(counts: DataFrame) -> DataFrame:
+    """J4 and A8, from counts whose ``first_off`` and ``first_on`` are those of the whole trip: the
+    days whose last ticket and last reading carry the same time."""
+    return counts.filter(F.col("timestamp") == F.col("reading")).select(
+        "trip_id",
+        "day",
+        "timestamp",
+        "passengers_in",
+        "passengers_out",
+        "school",
+        "hospital",
+        first_flag().alias("peak_hour"),
+    )
+
+
+def first_flag():
+    """The peak flag of the earlier of two first times."""
+    return _first_flag("first_off", "first_on")
+
+
+def trip_days(tickets: DataFrame, sensors: DataFrame) -> DataFrame:
+    """Ticket and sensor features of the trip-days whose last ticket and last reading
+    carry the same time, with the trip's first peak flag.
+
+    What leaves the counts is small, so gathering a trip's days for its first peak flag and all
+    later steps move few rows.
+    """
+    trip = Window.partitionBy("trip_id")
+    firsts = {n: F.min(n).over(trip) for n in ("first_off", "first_on")}
+    return days_of_counts(trip_day_counts(tickets, sensors).withColumns(firsts))
+
+
 def first_traffic(traffic: DataFrame, needed: Sequence[str] = ("traffic_level",)) -> DataFrame:
     """Earliest traffic row of every shape that has all the needed values (ties: by id)."""
     usable = traffic.dropna(subset=["timestamp", *needed])
@@ -177,8 +200,21 @@ def build_features(
         tickets, sensors, trips = (
             df.join(asked, "trip_id", "left_semi") for df in (tickets, sensors, trips)
         )
+    days = trip_days(tickets, sensors)
+    return features_of_days(days, trips, traffic, weather, city_events, columns)
+
+
+def features_of_days(
+    trip_days: DataFrame,
+    trips: DataFrame,
+    traffic: DataFrame,
+    weather: DataFrame,
+    city_events: DataFrame,
+    columns: Sequence[str] = tuple(K.FEATURE_COLUMNS),
+) -> DataFrame:
+    """Q3, from the trip-days on."""
     needed = [name for name in TRAFFIC_VALUES if name in columns]
-    days = trip_traffic(trip_days(tickets, sensors), trips, traffic, needed)
+    days = trip_traffic(trip_days, trips, traffic, needed)
     with_weather = asof_backward(
         days.withColumnsRenamed({"trip_id": "trip_id_x", "timestamp": "timestamp_x"}),
         weather,

@@ -19,6 +19,13 @@ from headway.sinks.tables import BATCH, read_parts, read_version, write_part, wr
 from headway.sources.messages import file_stream, parse_messages
 from headway.streaming.archive import archive, fold_archive, read_archive
 from headway.streaming.champion import current_champion, decide_champions
+from headway.plans.features import build_features
+from headway.streaming.features import (
+    fold_features,
+    maintain_features,
+    read_features,
+    update_features,
+)
 from headway.streaming.ingest import (
     first_of_shape,
     first_seen,
@@ -418,6 +425,91 @@ def test_first_seen_stream(spark, topic, tmp_path):
     assert rows(collect_stream(df, tmp_path, "first").select("key")) == [("a",), ("b",)]
 
 
+def other_tables(spark):
+    """Trips, traffic, weather and city events for the feature table."""
+    day = timedelta(days=1)
+    trips = [("t1", 1, "S"), ("t2", 1, "S"), ("t3", 2, None), ("t4", 2, "U")]
+    traffic = [("1", TS, "S", 1, 2, "low"), ("2", TS, None, 1, 2, "medium"), ("3", TS, "U", 1, 2, "high")]
+    weather = [(n, TS - 30 * day + n * timedelta(hours=7), 20.0 + n, 5.0, n) for n in range(150)]
+
+    def table(rows_, names, kind):
+        data = [dict(zip(names, row)) for row in rows_]
+        return spark.createDataFrame([[d.get(n) for n in kind.names] for d in data], kind)
+
+    return (
+        table(trips, ["trip_id", "route_id", "shape_id"], schemas.TRIPS),
+        table(traffic, ["measurement_id", "timestamp", "shape_id", "normal", "traffic", "traffic_level"], schemas.TRAFFIC),
+        table(weather, ["measurement_id", "hour", "temperature", "precipitation_probability", "weather_code"], schemas.WEATHER),
+        table([((TS + 2 * day).date(),)], ["day_event"], schemas.CITY_EVENTS),
+    )
+
+
+def random_facts(rng, n):
+    """Tickets and readings of few trips, days and times, so that days come back and last times of
+    both sides often agree."""
+    out = []
+    for k in range(n):
+        minutes = rng.randint(-3, 3) * 1440 + rng.choice([0, 5, 9])
+        common = dict(trip=rng.choice(["t1", "t2", "t3", "t4", None]), minutes=minutes, peak_hour=rng.choice([0, 1, None]))
+        common["school"] = rng.randint(0, 1)
+        out.append((ticket if rng.random() < 0.5 else sensor)(rng.randint(0, 10**9), **common))
+    return out
+
+
+def test_maintained_features_equal_a_rebuild(spark, topic, tmp_path):
+    rng = random.Random(11)
+    others, folder = other_tables(spark), str(tmp_path / "features")
+    told = []
+    for n in range(3):
+        facts = random_facts(rng, 25)
+        told += facts
+        topic.send("ticketing.topic", *[f for f in facts if "ticket_id" in f], "not json")
+        topic.send("sensors.topic", *[f for f in facts if "ticket_id" not in f])
+        query = maintain_features(stream(spark, topic), lambda _: others, folder, str(tmp_path / "cp"), fold_every=2)
+        finish(query)
+        kinds = (schemas.TICKET_MESSAGE, "ticket_id"), (schemas.SENSOR_MESSAGE, "measurement_id")
+        facts = [
+            parse_messages(spark.createDataFrame([(json.dumps(f),) for f in told if name in f], "value string"), kind)
+            for kind, name in kinds
+        ]
+        expected = rows(build_features(*facts, *others))
+        found = read_features(spark, folder)
+        assert found.columns == build_features(*facts, *others).columns
+        assert rows(found) == expected and expected
+
+
+def test_late_facts_undo_what_they_change(spark, tmp_path):
+    """A late first peak flag turns all days of its trip, a later ticket takes a day away, a reading
+    brings it back; days of other trips are neither read nor written."""
+    others, folder = other_tables(spark), str(tmp_path / "features")
+    day = 1440
+
+    def step(n, tickets, sensors):
+        made = [
+            parse_messages(spark.createDataFrame([(json.dumps(r),) for r in some], "value string"), kind)
+            for some, kind in ((tickets, schemas.TICKET_MESSAGE), (sensors, schemas.SENSOR_MESSAGE))
+        ]
+        for _ in range(2):  # a repeated batch changes nothing
+            update_features(spark, folder, n, *made, *others)
+        found = read_features(spark, folder)
+        return sorted((r.trip_id_x, (r.timestamp_x - TS) / timedelta(days=1), r.peak_hour, r.congestion_rate * 400) for r in found.collect())
+
+    both = [dict(trip=t, minutes=d * day) for t, d in (("t1", 1), ("t1", 2), ("t2", 1))]
+    first = step(0, [ticket(n, **b) for n, b in enumerate(both)], [sensor(n, **b) for n, b in enumerate(both)])
+    assert first == [("t1", 1, 1, 0), ("t1", 2, 1, 0), ("t2", 1, 1, 0)]
+    late = step(1, [ticket(9, trip="t1", minutes=0, peak_hour=0)], [])
+    assert late == [("t1", 1, 0, 0), ("t1", 2, 0, 0), ("t2", 1, 1, 0)]
+    parts = spark.read.parquet(f"{folder}/features/parts/{BATCH}=1")
+    assert {(r.trip_id_x, r.live) for r in parts.collect()} == {("t1", True), ("t1", False)}
+    taken = step(2, [ticket(10, trip="t1", minutes=2 * day + 3)], [])
+    assert taken == [("t1", 1, 0, 0), ("t2", 1, 1, 0)]
+    assert spark.read.parquet(f"{folder}/features/parts/{BATCH}=2").count() == 1
+    fold_features(spark, folder, 2)
+    back = step(3, [ticket(11, trip="t1", minutes=2 * day + 3, fare=None)], [sensor(11, trip="t1", minutes=2 * day + 3)])
+    assert [b[:3] for b in back] == [("t1", 1, 0), ("t1", pytest.approx(2 + 3 / day), 0), ("t2", 1, 1)]
+    assert [b[3] for b in back] == pytest.approx([0, 0, 0])
+
+
 def test_first_ever_stream_forgets_no_key(spark, topic, tmp_path):
     """A key of the first batch is still known in the last one, after folding and months later."""
     batches = [[(f"k{n}", TS + timedelta(days=9 * b, minutes=n)) for n in range(b, 40, 7)] for b in range(8)]
