@@ -129,11 +129,15 @@ def mark(
 
     A document word is hit if it lies inside an occurrence of a window of an item. `places` are (start, end) pairs in code
     points, end exclusive, of runs of hit words. Null texts have no words; items without words or without an id match
-    nothing; items that repeat an id count once. Empty tables are fine on both sides. All columns of `docs` stay.
+    nothing; items that repeat an id count once. Empty tables are fine on both sides. A column of `docs` that is called like
+    `into` is replaced, all others stay.
     """
     names = []
     for k, block in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
-        names.append(f"{into}_{k}")
+        name = f"{into}_{k}"
+        while name in docs.columns:
+            name += "_"
+        names.append(name)
         docs = docs.withColumn(names[-1], _scanned(block, window)(F.col(text)))
     runs = F.flatten(F.array(*(F.col(n)["runs"] for n in names)))
     if len(names) == 1:

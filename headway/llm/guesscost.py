@@ -232,7 +232,7 @@ def scan(docs: DataFrame, text: str = "text", into: str = "secrets", **options)
     """`docs` with the struct `into`: n_assign, n_access, n_hex, n_guess, base and spans (kind:start:end), most_guesses.
 
     Places are code points, end exclusive. Null and empty texts have no spans; repeated rows give repeated rows, an empty
-    table an empty one; other columns stay.
+    table an empty one; a column called like `into` is replaced, others stay.
     """
     return docs.withColumn(into, scanned(**options)(F.col(text)))
 

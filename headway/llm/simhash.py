@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.shared import keep, map_batches, over_texts
@@ -200,29 +200,49 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     like any other. Repeated rows give repeated rows; a group without any id has component_id null. An empty table gives
     an empty one. Other columns are not read.
     """
+    found = _grouped(docs, id, text, shingle, limit)
+    return found.select(F.col("id").alias(id), F.col("fp").alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, id: str, text: str, shingle: int, limit: int) -> DataFrame:
+    """(id, fp, component_id, root): as above, with the smallest fingerprint of the group, which names it."""
     prints = keep(
         add_fingerprints(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), "text", "fp", shingle).select("id", "fp")
     )
     own = keep(prints.groupBy("fp").agg(F.min("id").alias("first")))
     groups = components(links(own.select("fp"), limit)).withColumnRenamed("node", "fp")
     firsts = groups.join(own, "fp").groupBy("root").agg(F.min("first").alias("component"))
-    linked = groups.join(firsts, "root").select("fp", "component")
-    table = own.join(linked, "fp", "left").select("fp", F.coalesce("component", "first").alias("component_id"))
-    return prints.join(table, "fp").select(F.col("id").alias(id), F.col("fp").alias("fingerprint"), "component_id")
+    linked = groups.join(firsts, "root").select("fp", "component", "root")
+    table = own.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
+    return prints.join(table, "fp").select("id", "fp", "component_id", "root")
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    while name in columns:
+        name += "_"
+    return name
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 3, limit: int = 2048) -> DataFrame:
     """`docs` with the row of smallest `id` of each group of near duplicates, all columns kept.
 
-    Of rows that repeat an id one stays; rows without an id cannot be told apart and stay.
+    Rows are decided one by one, not by id: of rows that repeat an id, each goes or stays with its own text. Where several rows
+    of a group have its smallest id, the one of least text stays. Rows without an id cannot be told apart and stay.
     """
-    found = near_duplicates(docs.where(F.col(id).isNotNull()), id, text, shingle, limit)
-    counts = found.groupBy(id).agg(F.count("*").alias("n"), F.max(F.col(id) != F.col("component_id")).alias("copy"))
-    marked = keep(counts.where("copy or n > 1"))
-    gone = marked.where("copy").select(id)
-    again = marked.where("not copy").select(id)
-    rest = docs.join(gone, id, "left_anti").select(docs.columns)
+    found = _grouped(docs.where(F.col(id).isNotNull()), id, text, shingle, limit)
+    counts = found.groupBy("id").agg(F.count("*").alias("n"), F.max(F.col("id") != F.col("component_id")).alias("copy"))
+    marked = keep(counts.where("copy or n > 1").withColumnRenamed("id", id))
+    rest = docs.join(marked.where("n = 1").select(id), id, "left_anti").select(docs.columns)
+    again = marked.where("n > 1").select(id)
     if again.isEmpty():
         return rest
-    once = rest.join(again, id, "left_anti").select(docs.columns)
-    return once.unionAll(rest.join(again, id, "left_semi").select(docs.columns).dropDuplicates([id]))
+    # Of ids that repeat, the rows are told apart by their fingerprints.
+    fp, component, root = (_unused(name, docs.columns) for name in ("fp", "component_id", "root"))
+    repeated = add_fingerprints(rest.join(again, id, "left_semi").select(docs.columns), text, fp, shingle)
+    groups = found.select(F.col("id").alias(id), F.col("fp").alias(fp), F.col("component_id").alias(component), F.col("root").alias(root))
+    rows = repeated.join(groups.distinct(), [id, fp]).where(F.col(id) == F.col(component))
+    place = _unused("place", [*docs.columns, fp, component, root])
+    first = rows.withColumn(place, F.row_number().over(Window.partitionBy(root).orderBy(text))).where(F.col(place) == 1)
+    return rest.join(again, id, "left_anti").select(docs.columns).unionAll(first.select(docs.columns))

@@ -337,6 +337,6 @@ def score(docs: DataFrame, model: Field, text: str = "text", into: str = "toxici
     """`docs` with the struct `into`: score (0 to 1), places of toxic words (start, end pairs in code points), n_toxic.
 
     Null and empty texts, and texts without a word that has a learned feature, score 0. Repeated rows give repeated rows,
-    an empty table an empty one; other columns stay and are not read.
+    an empty table an empty one; a column called like `into` is replaced, others stay and are not read.
     """
     return docs.withColumn(into, scored(model)(F.col(text)))

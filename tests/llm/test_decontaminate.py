@@ -66,3 +66,13 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.mark(docs, bench).select(F.col("benchmark_hits")["n_hit"]).first()[0] == 0
     assert decontaminate.mark(docs.limit(0), bench).count() == 0
+
+
+def test_columns_with_clashing_names_stay(spark):
+    names = ["benchmark_hits", "benchmark_hits_0", "benchmark_hits_1"]
+    docs = spark.createDataFrame([(1, "a b c", 1, 2, 3), (2, "d", 4, 5, 6)], ["doc_id", "text", *names])
+    bench = spark.createDataFrame([(1, "b c"), (2, "x y")], "item_id long, text string")
+    marked = decontaminate.mark(docs, bench, block_bytes=1)
+    assert set(marked.columns) == set(docs.columns)
+    assert [(r.benchmark_hits.n_hit, r.benchmark_hits_0, r.benchmark_hits_1) for r in marked.orderBy("doc_id").collect()] == [(2, 2, 3), (0, 5, 6)]
+    assert [tuple(r) for r in decontaminate.clean(docs, bench).collect()] == [(2, "d", 4, 5, 6)]

@@ -138,6 +138,20 @@ def test_near_duplicates_of_texts(spark):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    """Of an id with two texts only the copy goes; texts of one id that copy nothing both stay, as do clashing columns."""
+    rows = [
+        (5, "one two three four"), (5, "totally other words in here now"), (1, "one two three four"), (7, "p q r s t u"),
+        (7, "v w x y z aa"), (7, "V W X Y Z AA"), (9, "alone in here"), (9, "alone in here"), (8, "v w x y z aa"), (None, "p q r s t u"),
+    ]
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, fp string, place int, root string")
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == [
+        (0, "p q r s t u"), (1, "one two three four"), (5, "totally other words in here now"), (7, "V W X Y Z AA"), (7, "p q r s t u"), (9, "alone in here"),
+    ]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0
