@@ -77,3 +77,45 @@ def test_without_labels(spark):
     assert {r.verdict for r in urltrees.judge(pages, [("block", "a.org/")]).collect()} == {"block"}
     assert urltrees.judge(pages.limit(0), URL_RULES).count() == 0
     assert urltrees.judge(pages, []).count() == 2
+
+
+def test_no_host_sees_its_own_labels(spark):
+    pages = spark.createDataFrame([(i, f"https://h{i % 9}.example.com/{'en' if i % 2 else 'de'}/{i}") for i in range(60)], "page_id long, url string")
+    some = [("block", f"h{k}.example.com/") for k in range(9)]
+    for k in range(9):
+        flipped = [("allow" if n == k else action, rule) for n, (action, rule) in enumerate(some)]
+        mine, other = (
+            urltrees.featured(pages, rules).where(F.col("host") == f"h{k}.example.com").select("id", *urltrees.FEATURES).collect() for rules in (some, flipped)
+        )
+        assert sorted(map(tuple, mine)) == sorted(map(tuple, other))
+
+
+def test_shares_are_those_of_the_other_folds(spark):
+    pages = spark.createDataFrame([(i, f"https://h{i % 40}.{'net' if i % 2 else 'com'}/{'es' if i % 3 else 'en'}/") for i in range(300)], "page_id long, url string")
+    rows = urltrees.featured(pages, URL_RULES).collect()
+    for r in rows:
+        others = [x.action for x in rows if x.suffix == r.suffix and x.fold != r.fold and x.action]
+        assert math.isclose(r.suffix_block, (others.count("block") + 1) / (len(others) + 2))
+
+
+def test_statistics_of_suffixes(spark):
+    urls = ["https://a.x.com/", "https://a.x.com/1", "https://b.x.com/", "https://abc.y.com/", None, "https://a.x.org/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    found = {r.id: r for r in urltrees.featured(pages, []).collect()}
+    assert math.isclose(found[0].suffix_host_urls, math.log(1 + 4 / 3)) and math.isclose(found[0].domain_host_urls, math.log(1 + 3 / 2))
+    assert math.isclose(found[3].suffix_host_length, (7 + 7 + 9) / 3) and found[3].domain_host_length == 9
+    assert found[4].suffix == "" and found[4].suffix_host_length == 0
+
+
+def test_unseen_hosts_of_the_sample_are_told_apart_and_verdicts_are_of_both_kinds(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    assert urltrees.held_out_auc(pages, URL_RULES) > 0.8
+    free = urltrees.judge(pages, URL_RULES).where("rule is null").groupBy("verdict").count().collect()
+    assert {r.verdict for r in free} == {"allow", "block"}
+
+
+def test_very_long_urls(spark):
+    long = "https://a.net/" + "x1/" * 100_000 + "?" + "a=1&" * 100_000
+    rows = [(1, long), (2, "https://b.com/"), (3, "https://b.net/es/"), (4, "https://" + "h" * 100_000)]
+    out = {r.page_id: r for r in urltrees.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES, trees=2).collect()}
+    assert out[1].path == "/" + "x1/" * 100_000 and len(out[4].host) == 100_000 and out[1].rule is None
