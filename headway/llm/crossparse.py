@@ -22,6 +22,7 @@ from headway.llm.shared import Memo, keep, once, over_texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDECIDED = "und"
+REMEMBERED = 120_000
 
 
 class SuffixAutomaton:
@@ -112,11 +113,11 @@ class Languages:
 
     WIDTH = 40
 
-    def __init__(self, words: dict[str, list[str]]):
+    def __init__(self, words: dict[str, list[str]], remembered: int = REMEMBERED):
         self.names = sorted(words)
         self.automata = [SuffixAutomaton(words[name]) for name in self.names]
         self.bits = np.log2([max(2, a.letters) for a in self.automata])
-        self.seen = Memo(self._parse)
+        self.seen = Memo(self._parse, remembered)
 
     def _parse(self, word: str) -> int:
         padded = f" {word} "
@@ -175,12 +176,15 @@ def training_words(
     return {name: sorted(words) for name, words in learned.items() if words}
 
 
-def predicted(words: dict[str, list[str]]):
-    """Spark function of a text: lang_pred and score. The word lists are bounded, see `training_words`."""
+def predicted(words: dict[str, list[str]], remembered: int = REMEMBERED):
+    """Spark function of a text: lang_pred and score. The word lists are bounded, see `training_words`.
+
+    `remembered` bounds a worker's memory of parsed words; it changes the time only.
+    """
     key = uuid.uuid4().hex
 
     def start():
-        languages = once(key, lambda: Languages(words))
+        languages = once(key, lambda: Languages(words, remembered))
 
         def work(texts):
             pairs = [languages.predict(t) for t in texts]
@@ -191,13 +195,13 @@ def predicted(words: dict[str, list[str]]):
     return over_texts(start, lang_pred="string", score="double")
 
 
-def identify(docs: DataFrame, words: dict[str, list[str]], text: str = "text", into: str = "language") -> DataFrame:
+def identify(docs: DataFrame, words: dict[str, list[str]], text: str = "text", into: str = "language", remembered: int = REMEMBERED) -> DataFrame:
     """`docs` with the struct `into` of lang_pred and score (0 to 1).
 
     Null texts, texts without letters, and all texts if no language was learned, give `und` with score 0. The prediction
     reads the text alone. Empty tables give empty ones; repeated rows give repeated rows.
     """
-    return docs.withColumn(into, predicted(words)(F.col(text)))
+    return docs.withColumn(into, predicted(words, remembered)(F.col(text)))
 
 
 def held_out(id: Column) -> Column:

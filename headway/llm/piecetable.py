@@ -28,6 +28,7 @@ from pyspark.sql.functions import arrow_udf
 
 from headway.llm.shared import Memo, once, over_texts, ship
 
+REMEMBERED = 200_000
 MARK = "▁"
 PART = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -114,17 +115,19 @@ class Vocabulary:
 
 
 class Encoder:
-    def __init__(self, model: bytes):
+    """Encodes texts; remembers up to twice `remembered` words and half as many parts of words."""
+
+    def __init__(self, model: bytes, remembered: int = REMEMBERED):
         self.words = Vocabulary.load(model)
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.words.ids.items():
             if len(piece) == 1 or self.words.merged(piece) == [piece]:
                 self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
-        self.part = Memo(self._packed, 100_000)
+        self.part = Memo(self._packed, remembered // 2)
         # Letters that stand side by side in no piece: nothing merges across them.
         self.together = {pair for piece in self.words.ids for pair in zip(piece, piece[1:])}
-        self.word = Memo(lambda word: b"".join(self.part[p] for p in self.cut(MARK + word)), 200_000)
+        self.word = Memo(lambda word: b"".join(self.part[p] for p in self.cut(MARK + word)), remembered)
 
     def table(self, text: str) -> tuple[list[int], list[int]]:
         """For each prefix of a part the id and length of its last piece; -1 and 1 after a character outside the vocabulary."""
@@ -243,14 +246,14 @@ def _bytes_as_text(raw: bytes):
             at += 1
 
 
-def coder(model: bytes) -> tuple[Encoder, Decoder]:
+def coder(model: bytes, remembered: int = REMEMBERED) -> tuple[Encoder, Decoder]:
     """Encoder and decoder of a model, made once in a worker process."""
 
     def make():
-        encoder = Encoder(model)
+        encoder = Encoder(model, remembered)
         return encoder, Decoder(encoder.words)
 
-    return once(f"pieces {hashlib.sha256(model).hexdigest()}", make)
+    return once(f"pieces {hashlib.sha256(model).hexdigest()} {remembered}", make)
 
 
 def read_model(path: str) -> bytes:
@@ -259,11 +262,14 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def encoded(model: bytes, with_ids: bool = False):
-    """Spark function of a text: n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids."""
+def encoded(model: bytes, with_ids: bool = False, remembered: int = REMEMBERED):
+    """Spark function of a text: n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids.
+
+    `remembered` bounds a worker's memory of words; it changes the time only.
+    """
 
     def start():
-        encoder, decoder = coder(model)
+        encoder, decoder = coder(model, remembered)
 
         def work(texts):
             n, ids_sha, text_sha, ids = [], [], [], []

@@ -26,8 +26,7 @@ def test_phrases_are_the_longest_matches():
 
 def test_memory_may_be_forgotten():
     words = {"a": ["aba", "abb", "bab"], "b": ["cdc", "dcd", "ccd"]}
-    languages, small = crossparse.Languages(words), crossparse.Languages(words)
-    small.seen.limit = 5  # words of two generations
+    languages, small = crossparse.Languages(words), crossparse.Languages(words, 5)
     rng = random.Random(1)
     texts = [" ".join("".join(rng.choices("abcd", k=rng.choice([1, 4, 90]))) for _ in range(40)) for _ in range(30)]
     assert [languages.predict(t.encode()) for t in texts] == [small.predict(t.encode()) for t in texts]

@@ -31,6 +31,16 @@ def test_hard_texts(text):
     assert_same(text)
 
 
+def test_memory_may_be_forgotten():
+    small, _ = piecetable.coder(MODEL, 4)
+    rng = random.Random(3)
+    words = ["the", "quick", "日本語", "x" * 70, "été", "", "fox"]
+    for _ in range(300):
+        text = " ".join(rng.choices(words, k=rng.randint(0, 9)))
+        assert small.encode(text) == ENCODER.encode(text)
+        assert max(len(small.word), len(small.word.older)) <= 4 and max(len(small.part), len(small.part.older)) <= 2
+
+
 def test_random_texts():
     rng = random.Random(0)
     letters = list(" ▁abcdeththeingtion\né🙂ß日本\t.,1234567890")
