@@ -15,6 +15,11 @@ from headway.llm.queries import PIECES, table
 from headway.llm.shared import keep
 
 
+# Words that a worker remembers in the stages that remember some: workers live through all stages, and what they
+# free is not all given back, so it is less than the operators' own bound. It changes the time only.
+REMEMBERED = 50_000
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told (no text or no letters) and sets `lang` to the language found."""
     words = crossparse.learned_from(docs)
@@ -23,7 +28,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     into = "language"
     while into in docs.columns:
         into += "_"
-    found = crossparse.identify(docs, words, into=into).where(F.col(into)["lang_pred"] != crossparse.UNDECIDED)
+    found = crossparse.identify(docs, words, into=into, remembered=REMEMBERED).where(F.col(into)["lang_pred"] != crossparse.UNDECIDED)
     return found.withColumn("lang", F.col(into)["lang_pred"]).select(docs.columns)
 
 
@@ -45,7 +50,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, number of ids, digests of ids and decoded text, and the ids."""
     model = piecetable.read_model(public_tokenizers.path(PIECES))
-    made = piecetable.encoded(model, with_ids=True)(F.col("text")).alias("made")
+    made = piecetable.encoded(model, with_ids=True, remembered=REMEMBERED)(F.col("text")).alias("made")
     return docs.select("doc_id", "lang", "source", made).select("doc_id", "lang", "source", "made.*")
 
 
