@@ -39,6 +39,12 @@ def read_log(
     return folded.select(*schema.names).union(rows)
 
 
+def read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame:
+    """Rows of the part of one batch."""
+    part = read_parts(spark, f"{path}/parts", _with(schema, BATCH), batch_id - 1, batch_id + 1)
+    return part.select(*schema.names)
+
+
 def fold_log(
     spark: SparkSession,
     path: str,

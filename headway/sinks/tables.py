@@ -23,7 +23,13 @@ VERSION = "version"
 def write_part(df: DataFrame, path: str, batch_id: int, *by: str) -> None:
     """K1: the part of one batch, within it a folder per value of ``by``. Repeating a batch
     replaces its part."""
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{BATCH}={batch_id}")
+    _dealt(df, by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{BATCH}={batch_id}")
+
+
+def _dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of a folder together, so that not every task writes a file to every folder. Adaptive
+    execution joins small folders to one task and deals a large one out to several."""
+    return df.hint("rebalance", *by) if by else df
 
 
 def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
@@ -65,7 +71,7 @@ def read_parts(
 def write_version(df: DataFrame, path: str, version: int, *by: str) -> None:
     """K4, K5: a whole new version next to the old ones. Its files appear when the write commits,
     so a failed write leaves the old version the newest."""
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{VERSION}={version}")
+    _dealt(df, by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{VERSION}={version}")
 
 
 def newest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:

@@ -24,7 +24,7 @@ from headway.plans.features import (
     trip_day_counts,
 )
 from headway.schemas import FEATURES, SENSOR_MESSAGE, TICKET_MESSAGE, TYPES, schema
-from headway.sinks.logs import add_to_log, fold_log, fold_now, read_log
+from headway.sinks.logs import add_to_log, fold_log, fold_now, read_batch, read_log
 from headway.sources.messages import decode_messages, good_rows
 from headway.streaming.running import start
 
@@ -57,10 +57,13 @@ def update_features(
     """Bring the table in ``folder`` up to the facts of a batch. The other tables are taken as they
     are now: rows of untouched trip-days keep what they were built with. Repeating a batch replaces
     what it wrote."""
-    new = _as(COUNTS, trip_day_counts(tickets, sensors)).persist()
-    firsts = _firsts(new)
+    # Counts and first times are read back from what is written down, so that they are made once.
+    add_to_log(_as(COUNTS, trip_day_counts(tickets, sensors)), f"{folder}/counts", batch_id, "day")
+    new = read_batch(spark, f"{folder}/counts", COUNTS, batch_id)
+    add_to_log(_firsts(new), f"{folder}/trips", batch_id)
+    firsts = read_batch(spark, f"{folder}/trips", TRIPS, batch_id)
     earlier = read_log(spark, f"{folder}/trips", TRIPS, before=batch_id)
-    known = _merged_firsts(earlier.join(new.select("trip_id").distinct(), "trip_id", "left_semi"))
+    known = _merged_firsts(earlier.join(firsts.select("trip_id"), "trip_id", "left_semi"))
     grown = _merged_firsts(known.unionByName(firsts))
     before = known.select("trip_id", "days", first_flag().alias("_flag"))
     other = ~F.col("_flag").eqNullSafe(first_flag())
@@ -72,19 +75,19 @@ def update_features(
         counts = merged_counts(new.unionByName(touched.select(*new.columns)))
         whole = counts.drop("first_off", "first_on").join(grown.drop("days"), "trip_id")
         rows = features_of_days(days_of_counts(whole), trips, traffic, weather, city_events)
-        live = rows.withColumn("day", F.to_date("timestamp_x")).withColumn("live", F.lit(True))
-        there = live.select(F.col("trip_id_x").alias("trip_id"), "day")
-        gone = need.join(there, TRIP_DAY, "left_anti").select(
-            F.col("trip_id").alias("trip_id_x"), "day", F.lit(False).alias("live")
+        # One row at most of every needed trip-day, and none of others; what has no row is gone.
+        live = rows.withColumns({"trip_id": F.col("trip_id_x"), "day": F.to_date("timestamp_x")})
+        marked = need.join(live.withColumn("live", F.lit(True)), TRIP_DAY, "left")
+        written = marked.withColumns(
+            {
+                "trip_id_x": F.col("trip_id"),
+                "live": F.coalesce("live", F.lit(False)),
+                "written": F.lit(batch_id).cast("long"),
+            }
         )
-        both = live.unionByName(gone, allowMissingColumns=True)
-        written = both.withColumn("written", F.lit(batch_id).cast("long"))
         add_to_log(_as(ROWS, written), f"{folder}/features", batch_id)
-        add_to_log(firsts, f"{folder}/trips", batch_id)
-        add_to_log(new, f"{folder}/counts", batch_id, "day")
     finally:
         need.unpersist()
-        new.unpersist()
 
 
 def read_features(spark: SparkSession, folder: str) -> DataFrame:

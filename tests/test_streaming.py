@@ -478,6 +478,37 @@ def test_maintained_features_equal_a_rebuild(spark, topic, tmp_path):
         assert rows(found) == expected and expected
 
 
+def test_a_folder_of_a_part_is_one_file_if_small(spark, tmp_path):
+    """Of 16 tasks that each hold rows of three days; before, each wrote a file to every day."""
+    df = spark.range(960).repartition(16).select("id", (F.col("id") % 3).cast("int").alias("day"))
+    for name, write in (("part", write_part), ("version", write_version)):
+        path = str(tmp_path / name)
+        write(df, path, 7, "day")
+        written = spark.read.parquet(path)
+        assert len(written.inputFiles()) == 3
+        assert rows(written.select("id", "day")) == rows(df)
+
+
+def test_a_batch_makes_its_counts_once(spark, tmp_path, monkeypatch):
+    """Features, first times and needed trip-days come from the written counts: the facts are read
+    for them alone, and rows of the features are made once."""
+    from headway.streaming import features
+
+    folder, made = str(tmp_path / "features"), []
+    real = features.features_of_days
+
+    def watched(*args):
+        made.append(real(*args))
+        return made[-1]
+
+    monkeypatch.setattr(features, "features_of_days", watched)
+    facts = [parse_messages(spark.createDataFrame([(json.dumps(r),)], "value string"), kind)
+             for r, kind in ((ticket(1, trip="t1", minutes=0), schemas.TICKET_MESSAGE), (sensor(1, trip="t1", minutes=0), schemas.SENSOR_MESSAGE))]
+    update_features(spark, folder, 0, *facts, *other_tables(spark))
+    assert any("/counts/parts/" in f for f in made[0].inputFiles())
+    assert not spark._jsc.sc().getPersistentRDDs().size()
+
+
 def test_late_facts_undo_what_they_change(spark, tmp_path):
     """A late first peak flag turns all days of its trip, a later ticket takes a day away, a reading
     brings it back; days of other trips are neither read nor written."""
