@@ -2,11 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import constants as K
-from headway.functions.bands import fare
 from headway.functions.texts import composite_id, iso_text
 from headway.operators.expand import repeat_rows
 from headway.operators.keyed import first_per_key
@@ -22,10 +21,16 @@ def first_predictions(predictions: DataFrame, order: Sequence[str]) -> DataFrame
 
 def _numbered(predictions: DataFrame, count: str, name: str) -> DataFrame:
     """A row per passenger with an id. All of the id but the position is put together
-    once per prediction."""
+    once per prediction; neither part can be missing, so a passenger only costs the joining of two."""
     prefix = composite_id("stop_id", "route", iso_text(F.col("timestamp")), "prediction_id")
-    copies = repeat_rows(predictions.withColumn("_prefix", prefix), F.col(count), "position")
-    return copies.withColumn(name, composite_id("_prefix", "position"))
+    dashed = predictions.withColumn("_prefix", F.concat(prefix, F.lit("-")))
+    copies = repeat_rows(dashed, F.col(count), "position")
+    return copies.withColumn(name, F.concat("_prefix", F.col("position").cast("string")))
+
+
+def _in_turn(values: Sequence) -> Column:
+    """The value whose turn it is at a position: a place in a constant array."""
+    return F.array(*[F.lit(value) for value in values])[F.pmod(F.col("position"), F.lit(len(values)))]
 
 
 def tickets_of(predictions: DataFrame) -> DataFrame:
@@ -34,16 +39,14 @@ def tickets_of(predictions: DataFrame) -> DataFrame:
     Passenger types take turns. Ids hold the prediction id and the position in it, so they are
     unique and come out the same when a task runs again.
     """
-    types = F.array(*[F.lit(name) for name in K.FARES])
-    turn = types[F.pmod(F.col("position"), F.lit(len(K.FARES)))]
     boarding = _numbered(predictions, "predicted_passengers_in", "ticket_id")
-    return boarding.withColumn("passenger_type", turn).select(
+    return boarding.select(
         "ticket_id",
         "timestamp",
         "stop_id",
         "route",
-        "passenger_type",
-        fare(F.col("passenger_type")).alias("fare"),
+        _in_turn(list(K.FARES)).alias("passenger_type"),
+        _in_turn(list(K.FARES.values())).alias("fare"),
         *_CARRIED,
     )
 

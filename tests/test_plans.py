@@ -373,6 +373,17 @@ def test_expand_counts(spark):
     ]
 
 
+def test_a_ticket_costs_no_rule_of_its_prediction(spark):
+    """What is done per passenger (above the generator) joins two texts and looks up two places of
+    constant arrays: no formatting of missing parts, no comparing of names."""
+    df = predictions(spark, {"prediction_id": 1, "predicted_passengers_in": 4, "predicted_passengers_out": 1})
+    for made in demand.expand_counts(df, ["offset"]):
+        per_row = made._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+        assert not any(word in per_row for word in ("concat_ws", "coalesce", "CASE"))
+    sold = demand.expand_counts(df, ["offset"])[0]
+    assert rows(sold.select("passenger_type", "fare")) == [("adult", 2.5), ("adult", 2.5), ("senior", 1.0), ("student", 1.25)]
+
+
 def line(spark, name, numbers):
     """Points a tenth of a degree apart going north."""
     return spark.createDataFrame([(name, 46 + n / 10, 11.0, n) for n in numbers], schemas.SHAPES)
