@@ -77,6 +77,21 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+
+    For jobs in steps that keep() what they need: a shuffle that is used once more would be made again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old is not None else spark.conf.unset(name)
+
+
 def over_texts(start: Callable[[], Callable[[list], list]], **fields: str) -> Callable[[Column], Column]:
     """A Spark function from a text column to a struct of `fields` (name to type).
 

@@ -1,31 +1,46 @@
 """Word 3-grams of a corpus, and each text's log perplexity under a model of texts that are not its own.
 
 Words are runs without ASCII white space, as they stand; in scripts without spaces each character is one. A word's key has
-its language number in the upper 16 bits and 48 bits of a digest, so languages share no n-grams. Nothing is pruned: the
-tables have a row for each distinct n-gram and grow with the corpus. They stay in Spark; joins bring probabilities to texts.
+its language number in the upper 16 bits and 48 bits of a hash, so languages share no n-grams. Nothing is pruned: what is
+counted grows with the corpus, stays in Spark, and is never sent to all tasks.
 
 Texts fall into two halves by their digest, copies into the same, and a text is scored by the interpolated Kneser-Ney model
 of the other half: under a model that has seen it, the unique words of a text would make each other likely. An n-gram that
 the other half lacks backs off, down to one share for all words that it lacks.
+
+All that the model says of a 3-gram but the share of its last word comes from 3-grams with the same middle word. So they are
+dealt out by it, into buckets of about `BUCKET` words, and twice: first each bucket tells after how many of its words each
+word stands, then it gets these numbers from all buckets and scores. A word with over a quarter of a bucket is spread by the
+word before; its pairs are then summed up over buckets like single words. Tasks pack what they deal out. Each time it goes in
+`PASSES` passes, a share of the buckets in each, so that the disk holds one share at a time.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from hashlib import blake2b
+import struct
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.shared import Memo, keep, map_batches
+from headway.llm.shared import freeing_shuffles, give_back, keep, map_batches, ship
 
 HASH_BITS = 48
 ROWS = 500_000
-ALONE = "฀-໿က-႟ក-៿⺀-꓏豈-﫿\U00020000-\U0003ffff"
+BUCKET = 1_500_000
+PASSES = 2, 3  # to count, to score
+HELD = 1_500_000
+# A task names words of at least this share of its own: which words are spread changes no result.
+SHARE = 4096
+ALONE = "฀-໿က-႟ក-៿⺀-꓏豈-﫿\U00020000-\U0003ffff"
 WORD = re.compile(rf"[{ALONE}]|[^\x20\t-\r{ALONE}]+")
+BREAK = re.compile(rf"[\x20\t-\r{ALONE}]")
+SPACE, SINGLE = 1, 2
 
 
 def words(text: bytes) -> list:
@@ -33,42 +48,103 @@ def words(text: bytes) -> list:
     return text.split() if text.isascii() else WORD.findall(text.decode())
 
 
-def digest(word: bytes | str) -> int:
-    raw = word if isinstance(word, bytes) else word.encode()
-    return int.from_bytes(blake2b(raw, digest_size=HASH_BITS // 8).digest(), "little") or 1
-
-
-def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, lang number) to one row (doc, a, b, c) per word c after a and b; two words 0 stand before a text."""
-    known = Memo(digest)
-    held, docs, size = [], [], 0
-
-    def out() -> pa.RecordBatch:
-        keys = np.concatenate(held)
-        # The first two of each text are no end of a 3-gram.
-        lengths = np.array([len(h) for h in held])
-        last = np.ones(len(keys), bool)
-        starts = np.cumsum(lengths) - lengths
-        last[starts] = last[starts + 1] = False
-        at = np.flatnonzero(last)
-        columns = [np.repeat(np.array(docs, np.int64), lengths - 2), keys[at - 2], keys[at - 1], keys[at]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "a", "b", "c"])
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers whose results look random (the last steps of SplitMix64)."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _kinds() -> np.ndarray:
+    table = np.zeros(0x110000, np.uint8)
+    table[[0x20, *range(9, 14)]] = SPACE
+    for first, last in re.findall("(.)-(.)", ALONE):
+        table[ord(first) : ord(last) + 1] = SINGLE
+    return table
+
+
+KIND = _kinds()
+VALUE = mixed(np.arange(1, 0x110001))
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate(([np.uint64(1)], np.cumprod(np.full(n - 1, base, np.uint64)))) if n > 1 else np.ones(n, np.uint64)
+
+
+def _keys(text: str, powers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a text that ends with white space begins, and its hash: a polynomial of its code points, mixed."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    if len(powers[0]) < len(codes):
+        powers[:] = _powers(FACTOR, len(codes)), _powers(INVERSE, len(codes))
+    kind = KIND[codes]
+    cut = kind != 0
+    begins = kind != SPACE
+    begins[1:] &= cut[1:] | cut[:-1]
+    bounds = np.flatnonzero(begins | (kind == SPACE))
+    at = np.flatnonzero(begins[bounds])
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(VALUE[codes] * powers[0][: len(codes)], out=sums[1:])
+    start, end = bounds[at], bounds[at + 1]
+    keys = mixed((sums[end] - sums[start]) * powers[1][start]) >> np.uint64(64 - HASH_BITS)
+    return start, np.maximum(keys, np.uint64(1)).astype(np.int64)
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about ROWS code points, cut where no word is."""
+    at = 0
+    while len(text) - at > ROWS and (found := BREAK.search(text, at + ROWS)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
+def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(doc, text, lang number) to arrays (doc, a, b, c), one place for each word c after a and b; two words 0 stand before a text."""
+    powers = [np.zeros(0, np.uint64)] * 2
+    held, size = [], 0  # (doc, lang, piece, whether the text begins with it)
+    before = (0, 0)
+
+    def out() -> tuple[np.ndarray, ...]:
+        nonlocal before
+        start, keys = _keys("\n".join(h[2] for h in held) + "\n", powers)
+        lengths = np.array([len(h[2]) + 1 for h in held])
+        piece = np.searchsorted(np.cumsum(lengths), start, "right")
+        n = np.bincount(piece, minlength=len(held))
+        langs = np.array([h[1] for h in held], np.int64) << HASH_BITS
+        row = np.zeros(len(keys) + 2 * len(held), np.int64)
+        last = np.arange(len(keys)) + 2 * (piece + 1)
+        row[last] = keys
+        # The two places before a piece: nothing, or the last words of the same text.
+        first = np.cumsum(n + 2) - n - 2
+        for i in range(len(held)):
+            if not held[i][3]:
+                row[first[i] : first[i] + 2] = before if i == 0 else row[first[i] - 2 : first[i]]
+        row |= np.repeat(langs, n + 2)
+        before = tuple(row[-2:] & (1 << HASH_BITS) - 1)
+        doc = np.array([h[0] for h in held], np.int64)[piece]
+        return doc, row[last - 2], row[last - 1], row[last]
 
     for batch in batches:
-        for doc, text, lang in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist(), strict=True):
-            found = words(text.as_py()) if text.is_valid else ()
-            for at in range(0, len(found), ROWS):
-                part = [known[w] for w in found[max(at - 2, 0) : at + ROWS]]
-                held.append(np.array(([0, 0] if not at else []) + part, np.int64) | lang << HASH_BITS)
-                docs.append(doc)
-                size += len(part)
+        for doc, text, lang in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            for k, piece in enumerate(_pieces(text.as_py())) if text.is_valid else ():
+                held.append((doc, lang, piece, k == 0))
+                size += len(piece) + 1
                 if size >= ROWS:
                     yield out()
-                    held, docs, size = [], [], 0
+                    held, size = [], 0
     if held:
         yield out()
 
 
+def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, text, lang number) to one row (doc, a, b, c) per word c after a and b."""
+    for columns in _triples(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "a", "b", "c"])
+
+
 GRAMS = "doc long, a long, b long, c long"
 
 
@@ -76,61 +152,390 @@ def half(doc: Column) -> Column:
     return doc.bitwiseAND(F.lit(1))
 
 
-def _seen(column: str) -> Column:
-    return F.count(F.when(F.col(column) > 0, 1))
-
-
-def _lang(word: str) -> Column:
-    return F.shiftrightunsigned(word, HASH_BITS)
-
-
 def count(rows: DataFrame) -> DataFrame:
     """(a, b, c, n0, n1): how often each 3-gram of the rows (doc, text, lang) occurs in either half."""
     found = map_batches(rows, grams, GRAMS)
     return found.groupBy("a", "b", "c").agg(*(F.count(F.when(half(F.col("doc")) == h, 1)).alias(f"n{h}") for h in (0, 1)))
 
 
-def _discounted(table: DataFrame) -> DataFrame:
-    """`table` with the absolute discounts d0 and d1 of its language, n1 / (n1 + 2 n2), 0.5 where no n-gram occurs once."""
-    tally = table.groupBy(_lang("c").alias("lang")).agg(*(F.sum((F.col(f"n{h}") == i).cast("double")).alias(f"s{h}{i}") for h in (0, 1) for i in (1, 2)))
-    found = (F.when(F.col(f"s{h}1") > 0, F.col(f"s{h}1") / (F.col(f"s{h}1") + 2 * F.col(f"s{h}2"))).otherwise(0.5) for h in (0, 1))
-    tally = tally.select(F.col("lang"), *(d.alias(f"d{h}") for h, d in enumerate(found)))
-    return table.withColumn("lang", _lang("c")).join(F.broadcast(tally), "lang")  # one row per language
+def places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers in order, and each one's place there; by hashing, as sorting all is slower."""
+    at, found = pd.factorize(x)
+    order = np.argsort(found)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return found[order], rank[at]
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(b, n) of the words that make up much of a task's middle words, and (-1, n) of all."""
+    total, keys, counts = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for _, _, b, _ in _triples(batches):
+        total += len(b)
+        at, new = pd.factorize(b)
+        n = np.bincount(at, minlength=len(new))
+        # What is rare among some 100,000 words and so far is forgotten: a count may only be too low then.
+        often = n * SHARE >= len(b)
+        keys, at = places(np.concatenate((keys, new[often])))
+        counts = np.bincount(at, np.concatenate((counts, n[often])), len(keys)).astype(np.int64)
+        if len(keys) > ROWS:
+            kept = counts * SHARE >= total
+            keys, counts = keys[kept], counts[kept]
+    kept = counts * SHARE >= total
+    columns = np.concatenate(([-1], keys[kept])), np.concatenate(([total], counts[kept]))
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["b", "n"])
+
+
+def pack(arrays: list[np.ndarray]) -> bytes:
+    """Whole numbers from 0, compressed: the bytes of each place together, as far as they are used."""
+    out = []
+    for x in arrays:
+        x = np.ascontiguousarray(x, np.int64)
+        width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+        raw = x.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+        packed = pa.compress(raw, "zstd", asbytes=True) if raw else b""
+        out += struct.pack("<QQB", len(x), len(packed), width), packed
+    return b"".join(out)
+
+
+def unpack(packed: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(packed):
+        n, size, width = struct.unpack_from("<QQB", packed, at)
+        at += struct.calcsize("<QQB")
+        kind = np.int32 if width < 4 else np.int64
+        x = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+        if size:
+            raw = pa.decompress(packed[at : at + size], n * width, "zstd", asbytes=True)
+            x[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, n).T
+        out.append(x.reshape(-1).view(kind))
+        at += size
+    return out
+
+
+def _first(x: np.ndarray) -> np.ndarray:
+    """Whether each place of a sorted array differs from that before it."""
+    return np.concatenate((np.ones(min(len(x), 1), bool), x[1:] != x[:-1]))
+
+
+def _sorted(columns: list[np.ndarray], bits: list[int]) -> list[np.ndarray]:
+    """The rows of columns, numbers of so many bits, in order: side by side in one number if they fit, as that sorts fastest."""
+    if sum(bits) > 63:
+        order = np.lexsort(columns[::-1])
+        return [x[order] for x in columns]
+    key = columns[0].astype(np.int64)
+    for x, n in zip(columns[1:], bits[1:], strict=True):
+        key <<= n
+        key |= x
+    key.sort()
+    out = []
+    for n in bits[::-1]:
+        out.append(key & (1 << n) - 1)
+        key >>= n
+    return out[::-1]
+
+
+def _ordered(b: np.ndarray, a: np.ndarray, c: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by b, a and c, numbers of so many bits, and where in it a new 3-gram begins."""
+    if 3 * bits <= 63:
+        key = (b.astype(np.int64) << bits | a) << bits | c
+        order = np.argsort(key)
+        return order, _first(key[order])
+    order = np.lexsort((c, a, b))
+    return order, _first(b[order]) | _first(a[order]) | _first(c[order])
+
+
+def _dealt(buckets: int, hot: dict[int, int], passes: int, turn: int, docs: bool) -> Callable:
+    """(doc, text, lang) to (bucket, block) for the buckets whose turn it is.
+
+    A block has, packed, the words in order (differences), places of b, a and c in these for each different 3-gram in order (b by
+    lengths of runs), and how often it occurs in each half; with `docs`, the place of each occurrence's document, and the documents.
+    """
+    spread = np.array(sorted(hot), np.int64)
+    parts = np.array([hot[b] for b in sorted(hot)], np.uint64)
+
+    def block(doc: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> bytes:
+        known, at = places(np.concatenate((b, a, c)))
+        b, a, c = np.split(at, 3)
+        # A document's words stand side by side before they are ordered.
+        one = _first(doc) if docs else np.zeros(0, bool)
+        number, halves = (np.cumsum(one) - 1, doc[one] & 1) if docs else (doc & 1, np.arange(2))
+        bits = (len(known) - 1).bit_length()
+        b, a, c, number = _sorted([b, a, c, number], [bits, bits, bits, (len(halves) - 1).bit_length()])
+        starts = np.flatnonzero(_first(b) | _first(a) | _first(c))
+        n = np.diff(np.append(starts, len(doc)))
+        n1 = np.add.reduceat(halves[number], starts)
+        b, a, c = b[starts], a[starts], c[starts]
+        runs = np.flatnonzero(_first(b))
+        out = [np.diff(known, prepend=0), np.diff(b[runs], prepend=0), np.diff(np.append(runs, len(b))), a, c, n - n1, n1]
+        if docs:
+            found = doc[one].view(np.uint64)  # packing takes no numbers below 0
+            out += [number, found >> np.uint64(32), found & np.uint64(0xFFFFFFFF)]
+        return pack(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = [[], [], [], [], []]
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            columns = []
+            for x in held:
+                columns.append(np.concatenate(x))
+                x.clear()
+            place = columns.pop(0)
+            order = np.argsort(place, kind="stable")
+            place = place[order]
+            bounds = np.append(np.flatnonzero(_first(place)), len(place))
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                packed = block(*(x[order[start:end]] for x in columns))
+                yield pa.RecordBatch.from_arrays([pa.array([place[start]], pa.int32()), pa.array([packed], pa.binary())], ["bucket", "block"])
+
+        for doc, a, b, c in _triples(batches):
+            group = b.astype(np.uint64)
+            if len(spread):
+                at = np.minimum(np.searchsorted(spread, b), len(spread) - 1)
+                group += np.where(spread[at] == b, mixed(a) % parts[at], np.uint64(0)) * np.uint64(FACTOR)
+            place = (mixed(group) % np.uint64(buckets)).astype(np.int16 if buckets < 1 << 15 else np.int32)
+            own = np.flatnonzero(place % passes == turn)
+            if len(own):
+                for x, y in zip(held, (place, doc, a, b, c), strict=True):
+                    x.append(y[own])
+                size += len(own)
+            if size >= HELD:
+                yield from out()
+                size = 0
+        if size:
+            yield from out()
+        give_back()
+
+    return run
+
+
+class Bucket:
+    """The different 3-grams of the blocks of a bucket with their counts in both halves; words are places in `words`."""
+
+    def __init__(self, blocks: list[bytes], hot: np.ndarray):
+        parts = [unpack(x) for x in blocks]
+        known = [np.cumsum(p[0], dtype=np.int64) for p in parts]
+        self.words = np.sort(np.concatenate(known))
+        self.words = self.words[_first(self.words)]
+        self.bits = max(len(self.words) - 1, 1).bit_length()
+        own = [np.searchsorted(self.words, k).astype(np.int32) for k in known]
+        b = np.concatenate([k[np.repeat(np.cumsum(p[1]), p[2])] for k, p in zip(own, parts, strict=True)])
+        a, c = (np.concatenate([k[p[i]] for k, p in zip(own, parts, strict=True)]) for i in (3, 4))
+        order, new = _ordered(b, a, c, self.bits)
+        starts = np.flatnonzero(new)
+        self.gram = np.empty(len(order), np.int32)  # of each 3-gram of a block, all blocks side by side
+        self.gram[order] = np.cumsum(new) - 1
+        counts = [np.concatenate([p[i] for p in parts]) for i in (5, 6)]
+        self.times = [p[5] + p[6] for p in parts]
+        self.documents = [p[7:] for p in parts]
+        del parts, known, own
+        self.n = [np.add.reduceat(n[order], starts, dtype=np.int64) for n in counts]
+        self.b, self.a, self.c = (x[order][starts] for x in (b, a, c))
+        self.lang = self.words >> HASH_BITS
+        self.hot = np.isin(self.words, hot)
+        pairs, self.pair = places(self.b.astype(np.int64) << self.bits | self.c)
+        self.pair_b, self.pair_c = pairs >> self.bits, pairs & (1 << self.bits) - 1
+        self.pair_n = [np.bincount(self.pair, n > 0, len(pairs)).astype(np.int64) for n in self.n]
+
+    def after(self) -> list[np.ndarray]:
+        """After how many of its words that are not spread each word stands, in either half."""
+        cold = ~self.hot[self.pair_b]
+        return [np.bincount(self.pair_c[cold], n[cold] > 0, len(self.words)).astype(np.int64) for n in self.pair_n]
+
+
+# Either a block, for a share of the words or a bucket, or a number of a language or a word.
+FOUND = "part int, bucket int, block binary, kind int, key long, n0 long, n1 long"
+TOTAL, AFTER, SIZE, SPREAD_TOTAL, SPREAD_AFTER = 1, 2, 3, 4, 5  # kinds; 10 * order + i: n-grams that occur i times
+
+
+def _found(blocks: list[tuple[int, int, bytes]], numbers: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
+    none, n = [None] * len(blocks), sum(len(x[1]) for x in numbers)
+    whole = lambda k: np.concatenate([np.zeros(0, np.int64), *(x[k] for x in numbers)]).astype(np.int64).tolist()
+    kinds = [x[0] for x in numbers for _ in range(len(x[1]))]
+    part, bucket, block = ([x[k] for x in blocks] + [None] * n for k in range(3))
+    columns = part, bucket, block, none + kinds, *(none + whole(k) for k in (1, 2, 3))
+    types = pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64()
+    return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(FOUND.split(", "), columns, types, strict=True)})
+
+
+def _occurring(order: int, langs: np.ndarray, counts: list[np.ndarray]) -> list[tuple]:
+    found = np.flatnonzero(np.bincount(langs))
+    return [(10 * order + i, found, *(np.bincount(langs[m == i], minlength=found[-1] + 1)[found] for m in counts)) for i in (1, 2) if len(found)]
+
+
+def _summed(kinds: tuple[int, int], keys: np.ndarray, counts: list[np.ndarray]) -> list[tuple]:
+    """The sums of the counts by key, and how many are above 0."""
+    found, at = places(keys)
+    return [(kind, found, *(np.bincount(at, m, len(found)) for m in x)) for kind, x in zip(kinds, (counts, [n > 0 for n in counts]), strict=True)]
+
+
+def _gathered(hot: np.ndarray, parts: int) -> Callable:
+    """What a bucket tells: a block for each share of the words, and n-grams of a language that occur once and twice.
+
+    A block has, packed, its last words c in order (differences) and the numbers of words before each in either half; and
+    for pairs of a spread word b and a word c the places of b in `hot` and of c, and the numbers of words before them.
+    """
 
+    def run(table: pa.Table) -> pa.Table:
+        x = Bucket(table.column("block").to_pylist(), hot)
+        bucket, n = table.column("bucket")[0].as_py(), x.after()
+        last = np.flatnonzero(np.bincount(x.c, minlength=len(x.words)))
+        spread = np.flatnonzero(x.hot[x.pair_b])
+        place, pair_place = (mixed(x.words[k]) % np.uint64(parts) for k in (last, x.pair_c[spread]))
+        blocks = []
+        for part in np.unique(place).tolist():
+            own, pairs = last[place == part], spread[pair_place == part]
+            at = np.searchsorted(hot, x.words[x.pair_b[pairs]]), np.searchsorted(own, x.pair_c[pairs])
+            blocks.append((part, bucket, pack([np.diff(x.words[own], prepend=0), n[0][own], n[1][own], *at, x.pair_n[0][pairs], x.pair_n[1][pairs]])))
+        cold = ~x.hot[x.pair_b]
+        out = _found(blocks, _occurring(3, x.lang[x.b], x.n) + _occurring(2, x.lang[x.pair_b[cold]], [m[cold] for m in x.pair_n]))
+        del x
+        give_back()
+        return out
+
+    return run
+
+
+def _told(hot: np.ndarray) -> Callable:
+    """From the blocks of a share of the words what each bucket is told, packed alike: the numbers by all buckets.
+
+    Words that stand in one bucket alone are known there and left out. And the sums of a language and of a spread word.
+    """
 
-def _interpolated(h: int) -> Column:
+    def run(table: pa.Table) -> pa.Table:
+        parts = [unpack(x) for x in table.column("block").to_pylist()]
+        known = [np.cumsum(p[0], dtype=np.int64) for p in parts]
+        words, at = places(np.concatenate(known))
+        own = np.split(at, np.cumsum([len(k) for k in known])[:-1])
+        n = [np.bincount(at, np.concatenate([p[i] for p in parts]), len(words)).astype(np.int64) for i in (1, 2)]
+        often = np.bincount(at, minlength=len(words)) > 1
+        pairs, pair = places(np.concatenate([p[3].astype(np.int64) << 32 | k[p[4]] for p, k in zip(parts, own, strict=True)]))
+        pair_n = [np.bincount(pair, np.concatenate([p[i] for p in parts]), len(pairs)).astype(np.int64) for i in (5, 6)]
+        b, c = pairs >> 32, pairs & 0xFFFFFFFF
+        for h in (0, 1):
+            n[h] += np.bincount(c, pair_n[h] > 0, len(words)).astype(np.int64)
+        often[c] = True
+        pair = np.split(pair, np.cumsum([len(p[3]) for p in parts])[:-1])
+        blocks = []
+        for bucket, k, q in zip(table.column("bucket").to_pylist(), own, pair, strict=True):
+            k = k[often[k]]
+            blocks.append((None, bucket, pack([np.diff(words[k], prepend=0), n[0][k], n[1][k], b[q], np.searchsorted(k, c[q]), pair_n[0][q], pair_n[1][q]])))
+        lang = words >> HASH_BITS
+        size = np.bincount(lang)
+        found = np.flatnonzero(size)
+        numbers = [(SIZE, found, size[found], size[found]), *_summed((TOTAL, AFTER), lang, n), *_occurring(1, lang, n)]
+        numbers += _occurring(2, lang[c], pair_n) + _summed((SPREAD_TOTAL, SPREAD_AFTER), hot[b], pair_n)
+        return _found(blocks, numbers)
+
+    return run
+
+
+def _interpolated(n, t, u, d, q):
     """Of n-gram count n, context total t with u different words, discount d, and probability q one order below."""
-    n, t, u, d, q = (F.col(f"{x}{h}") for x in "ntudq")
-    return F.when(t > 0, (F.greatest(n - d, F.lit(0.0)) + d * u * q) / t).otherwise(q)
+    return np.where(t > 0, (np.maximum(n - d, 0.0) + d * u * q) / np.maximum(t, 1), q)
 
 
-def _totals() -> list[Column]:
-    return [x for h in (0, 1) for x in (F.sum(f"n{h}").alias(f"t{h}"), _seen(f"n{h}").alias(f"u{h}"))]
+def _scored(hot: dict[int, tuple], of_lang: dict[int, dict]) -> Callable:
+    """A bucket's blocks and those that it is told, to (doc, words, sum of log probabilities).
 
-
-def probabilities(triples: DataFrame) -> DataFrame:
-    """(a, b, c, logp0, logp1): of c after a and b by the model of either half, for the counts (a, b, c, n0, n1)."""
-    lower = lambda table, *key: keep(table.groupBy(*key).agg(_seen("n0").alias("n0"), _seen("n1").alias("n1")))
-    pairs = lower(triples, "b", "c")
-    single = lower(pairs, "c")
-    # The lowest order backs off to an equal share for each word of the language and one more.
-    languages = single.groupBy(_lang("c").alias("lang")).agg(*_totals(), (1 / (F.count("*") + 1)).alias("q0"))
-    rows = _discounted(single).join(F.broadcast(languages.withColumn("q1", F.col("q0"))), "lang")  # one row per language
-    below = keep(rows.select("c", *(_interpolated(h).alias(f"q{h}") for h in (0, 1))))
-    for table, context, shared in ((pairs, ["b"], ["c"]), (triples, ["a", "b"], ["b", "c"])):
-        rows = _discounted(table).drop("lang").join(below, shared).join(table.groupBy(*context).agg(*_totals()), context)
-        made = rows.select(*context, "c", *(_interpolated(h).alias(f"q{h}") for h in (0, 1)))
-        if table is pairs:
-            below = keep(made)
-    return made.select("a", "b", "c", *(F.log(f"q{h}").alias(f"logp{h}") for h in (0, 1)))
-
-
-def log_perplexities(rows: DataFrame) -> DataFrame:
+    of_lang: for each half discounts `d` by order, and total `t`, different words `u` and lowest share `q` of single words;
+    hot: for each spread word the totals and numbers of different words after it, in either half.
+    """
+    spread = np.array(sorted(hot), np.int64)
+    after_spread = np.array([hot[b] for b in sorted(hot)], np.float64).reshape(-1, 4)
+
+    def run(table: pa.Table, got: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.table({k: pa.array([], t) for k, t in (("doc", pa.int64()), ("n", pa.int64()), ("logp", pa.float64()))})
+        x = Bucket(table.column("block").to_pylist(), spread)
+        n1 = x.after()  # of words that stand in no other bucket
+        pairs = x.pair_b.astype(np.int64) << x.bits | x.pair_c
+        for block in got.column("block").to_pylist():
+            p = unpack(block)
+            c = np.searchsorted(x.words, np.cumsum(p[0], dtype=np.int64))
+            at = np.searchsorted(pairs, np.searchsorted(x.words, spread[p[3]]) << x.bits | c[p[4]])
+            for h in (0, 1):
+                n1[h][c] = p[1 + h]
+                x.pair_n[h][at] = p[5 + h]
+        del pairs
+        context = np.flatnonzero(_first(x.b) | _first(x.a))
+        of_gram = np.cumsum(_first(x.b) | _first(x.a)) - 1
+        value = lambda langs, *key: np.array([of_lang.get(i, {}).get(key, 0.0) for i in range(max(of_lang) + 1)])[langs]
+        logp = []
+        for h in (0, 1):
+            q = _interpolated(n1[h], value(x.lang, "t", h), value(x.lang, "u", h), value(x.lang, "d", h, 1), value(x.lang, "q", h))
+            n = x.pair_n[h]
+            t, u = (np.bincount(x.pair_b, m, len(x.words)) for m in (n, n > 0))
+            if len(spread):
+                own = np.flatnonzero(x.hot)
+                t[own], u[own] = after_spread[np.searchsorted(spread, x.words[own])][:, [h, 2 + h]].T
+            q = _interpolated(n, t[x.pair_b], u[x.pair_b], value(x.lang[x.pair_b], "d", h, 2), q[x.pair_c])
+            n = x.n[h]
+            t, u = (np.add.reduceat(m, context)[of_gram] for m in (n, (n > 0).astype(np.int64)))
+            logp.append(np.log(_interpolated(n, t, u, value(x.lang[x.b], "d", h, 3), q[x.pair])))
+        docs, times, sums, first = [], [], [], 0
+        for n, (number, high, low) in zip(x.times, x.documents, strict=True):
+            found = (high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)).view(np.int64)
+            gram = np.repeat(x.gram[first : first + len(n)], n)
+            first += len(n)
+            docs.append(found)
+            times.append(np.bincount(number, minlength=len(found)))
+            # By the other half.
+            sums.append(np.bincount(number, np.where(found[number] & 1, logp[0][gram], logp[1][gram]), len(found)))
+        out = pa.table({"doc": np.concatenate(docs), "n": np.concatenate(times), "logp": np.concatenate(sums)})
+        del x
+        give_back()
+        return out
+
+    return run
+
+
+def _discount(once: float, twice: float) -> float:
+    """n1 / (n1 + 2 n2), 0.5 where no n-gram occurs once."""
+    return once / (once + 2 * twice) if once else 0.5
+
+
+def log_perplexities(rows: DataFrame, bucket: int = BUCKET, passes: tuple[int, int] = PASSES) -> DataFrame:
     """(doc, word_log_perplexity) of the texts of rows (doc, text, lang number); doc is a digest of text and language.
 
     Rows of the same doc are copies and give one row of the result. Texts without words give none.
     """
-    model = probabilities(keep(count(rows)))
-    met = map_batches(rows, grams, GRAMS).join(model, ["a", "b", "c"])
-    logp = F.when(half(F.col("doc")) == 0, F.col("logp1")).otherwise(F.col("logp0"))
-    return met.groupBy("doc").agg(F.round(-F.avg(logp), 6).alias("word_log_perplexity"))
+    spark = rows.sparkSession
+    ship(spark)
+    with freeing_shuffles(spark):
+        # A row per word that is frequent in some task: at most SHARE a task, and few in the whole.
+        frequent = map_batches(rows, _frequent, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
+        frequent = {r.b: r.n for r in frequent.where((F.col("b") == -1) | (4 * F.col("n") > bucket)).collect()}
+        buckets = -(-frequent.pop(-1, 0) // bucket) or 1
+        parts = {b: -(-4 * n // bucket) for b, n in frequent.items()}
+        spread = np.array(sorted(parts), np.int64)
+
+        def dealt(turn: int, of: int, docs: bool):
+            return map_batches(rows, _dealt(buckets, parts, of, turn, docs), "bucket int, block binary").groupBy("bucket")
+
+        union = lambda tables: reduce(DataFrame.unionByName, tables)
+        first, second = (min(n, buckets) for n in passes)
+        found = union([keep(dealt(i, first, False).applyInArrow(_gathered(spread, buckets), FOUND)) for i in range(first)])
+        told = keep(found.where("part IS NOT NULL").select("part", "bucket", "block").groupBy("part").applyInArrow(_told(spread), FOUND))
+        # A row per language or spread word, and kind.
+        numbers = found.where("kind IS NOT NULL").unionByName(told.where("kind IS NOT NULL")).groupBy("kind", "key").agg(F.sum("n0"), F.sum("n1"))
+        numbers = {(r[0], r[1]): (r[2], r[3]) for r in numbers.collect()}
+        of_lang = {}
+        for lang in [key for kind, key in numbers if kind == SIZE]:
+            get = lambda kind, h, lang=lang: numbers.get((kind, lang), (0, 0))[h]
+            own = of_lang[lang] = {}
+            for h in (0, 1):
+                # The lowest order backs off to an equal share for each word of the language and one more.
+                own |= {("t", h): get(TOTAL, h), ("u", h): get(AFTER, h), ("q", h): 1 / (get(SIZE, h) + 1)}
+                own |= {("d", h, k): _discount(get(10 * k + 1, h), get(10 * k + 2, h)) for k in (1, 2, 3)}
+        hot = {b: numbers[SPREAD_TOTAL, b] + numbers[SPREAD_AFTER, b] for b in parts}
+
+        def scored(turn: int) -> DataFrame:
+            got = told.where((F.col("kind").isNull()) & (F.col("bucket") % second == turn)).select("bucket", "block").groupBy("bucket")
+            made = dealt(turn, second, True).cogroup(got).applyInArrow(_scored(hot, of_lang), "doc long, n long, logp double")
+            return keep(made.groupBy("doc").agg(F.sum("n").alias("n"), F.sum("logp").alias("logp")))
+
+        made = union([scored(i) for i in range(second)]).groupBy("doc").agg(F.sum("n").alias("n"), F.sum("logp").alias("logp"))
+        return keep(made.select("doc", F.round(-F.col("logp") / F.col("n"), 6).alias("word_log_perplexity")))

@@ -80,3 +80,54 @@ def test_word_order_moves_the_score(spark):
     rows.append((900, " ".join(rng.sample(text, len(text))), "en"))
     out = {r.doc_id: r for r in perplexity.score(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert out[900].word_log_perplexity > 2 * max(out[i].word_log_perplexity for i in range(200))
+
+
+def test_buckets_passes_and_spread_words_change_nothing(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(["the", "a", *vocabulary], [60, 20, *[1] * 60], k=rng.randint(1, 40))) for _ in range(60)]
+    texts += ["the the the the the the", texts[0], "日本 the 語"]
+    rows = [(texts.index(t), t, texts.index(t) % 4 // 2) for t in texts]
+    docs = spark.createDataFrame(rows, "doc long, text string, lang long").repartition(3)
+    whole = {r.doc: r[1] for r in wordmodel.log_perplexities(docs, passes=(1, 1)).collect()}
+    # 'the' has far over a quarter of a bucket, so its pairs lie in several.
+    cut = {r.doc: r[1] for r in wordmodel.log_perplexities(docs, bucket=150, passes=(2, 3)).collect()}
+    assert cut == pytest.approx(whole, abs=2e-6) and set(cut) == {d for d, _, _ in rows}
+
+
+def test_what_is_dealt_out_is_small():
+    import pyarrow as pa
+
+    rng = random.Random(10)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.8)) % 30000}" for _ in range(400)) for _ in range(250)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (range(250), texts, [1] * 250)], ["doc", "text", "lang"])
+    for docs, most in ((False, 9), (True, 11)):
+        blocks = [b.column(1)[0].as_py() for turn in range(3) for b in wordmodel._dealt(6, {}, 3, turn, docs)(iter([batch]))]
+        assert sum(map(len, blocks)) < most * 400 * 250  # the rows before took 22 bytes a 3-gram
+        assert sum(int((wordmodel.unpack(b)[5] + wordmodel.unpack(b)[6]).sum()) for b in blocks) == 400 * 250
+
+
+def test_words_by_hash_are_those_of_the_pattern():
+    rng = random.Random(12)
+    texts = ["".join(rng.choices(["a", "b", "é", "日", "\U00020001", " ", "\n", "\x0b", "\x1c", "\x85", "\xa0"], k=60)) for _ in range(200)]
+    keys = {}
+    for t in texts:
+        _, found = wordmodel._keys(t + "\n", [wordmodel.np.zeros(0, wordmodel.np.uint64)] * 2)
+        split = wordmodel.WORD.findall(t)
+        assert len(found) == len(split)
+        for w, k in zip(split, found.tolist(), strict=True):
+            assert keys.setdefault(w, k) == k
+    assert len(set(keys.values())) == len(keys)
+
+
+def test_shuffles_of_a_step_are_freed(spark):
+    import contextlib
+
+    from headway.llm.shared import freeing_shuffles
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    with contextlib.suppress(ZeroDivisionError), freeing_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+        1 / 0  # noqa: B018
+    assert spark.conf.get(name, None) == old
