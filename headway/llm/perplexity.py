@@ -19,6 +19,7 @@ The band by words has no lower end: near copies in the other half make a text li
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ LANG_BITS = 63 - DOC_BITS - ORDER * BITS
 PIECE = 1_000_000
 SPACE = b" \t\n\x0b\x0c\r"
 MARKS = b"#*$%&|<>"
+NO_CHARACTER = SPACE + bytes(range(0x80, 0xC0))  # of UTF-8: white space, and bytes that go on with a character
 STEP = 0.001
 # A normal distribution's quartile lies 0.6745 standard deviations from its median: 4 such deviations below, 3 above.
 LOWER, UPPER = 4 / 0.6745, 3 / 0.6745
@@ -54,17 +56,29 @@ def _symbols() -> np.ndarray:
 
 
 SYMBOL = _symbols()
+ASCII_SYMBOL = bytes(SYMBOL[:0x80]).ljust(256)
+WINDOW = 5
+GROUP = 250_000
+# A group of texts ends with the text that makes it larger than GROUP, and each may be as large.
+POWERS = wordmodel._powers(wordmodel.FACTOR, 4 * GROUP), wordmodel._powers(wordmodel.INVERSE, 4 * GROUP)
 
 
 def ngrams(text: bytes) -> Iterator[np.ndarray]:
     """The n-gram at each character of a text, the text's start padded with line ends, in pieces of at most a million."""
-    codes = SYMBOL[np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)]
+    if text.isascii():
+        codes = np.frombuffer(text.translate(ASCII_SYMBOL), np.uint8)
+    else:
+        codes = SYMBOL[np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)]
     codes = np.concatenate((np.full(ORDER - 1, 95, np.uint8), codes))
     for at in range(0, len(codes) - ORDER + 1, PIECE):
-        part = codes[at : at + PIECE + ORDER - 1].astype(np.int64)
+        part = codes[at : at + PIECE + ORDER - 1]
         n = len(part) - ORDER + 1
-        grams = part[:n].copy()
+        grams = part[:n]
         for k in range(1, ORDER):
+            # In the smallest type that holds so many symbols.
+            kind = np.uint16 if k < 2 else np.uint32 if k < 4 else np.int64
+            part = part.astype(kind, copy=False)
+            grams = grams.astype(kind) if grams.dtype != kind else grams
             grams <<= BITS
             grams |= part[k : k + n]
         yield grams
@@ -78,7 +92,9 @@ def _pieces(texts: list[bytes | None], langs: list[int]) -> Iterator[tuple[np.nd
             if docs and (size + len(grams) > PIECE or len(docs) >= 1 << DOC_BITS):
                 yield np.concatenate(held), np.array(docs)
                 held, docs, size = [], [], 0
-            held.append((grams | lang << ORDER * BITS) << DOC_BITS | len(docs))
+            grams <<= DOC_BITS
+            grams |= lang << ORDER * BITS + DOC_BITS | len(docs)
+            held.append(grams)
             docs.append(i)
             size += len(grams)
     if docs:
@@ -225,45 +241,99 @@ def arrays(model: DataFrame) -> Arrays:
 
 def word_statistics(text: bytes | None) -> tuple[int, int, int, int, int]:
     """Words, code points in words, symbols of `#*$%&|<>`, repeated lines, and words in repeated 5-word windows."""
-    if not text:
-        return 0, 0, 0, 0, 0
-    words = text.split()
-    characters = int(np.count_nonzero(np.frombuffer(text, np.int8) >= -64)) - sum(text.count(c) for c in SPACE)
+    return tuple(statistics([text])[0].tolist())
+
+
+def statistics(texts: list[bytes | None]) -> np.ndarray:
+    """The word statistics of each text, texts of about GROUP bytes at a time."""
+    out = np.zeros((len(texts), 5), np.int64)
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        if not text:
+            continue
+        out[i, 1:4] = len(text.translate(None, NO_CHARACTER)), len(text) - len(text.translate(None, MARKS)), _repeated_lines(text)
+        if len(text) > GROUP:
+            words = text.split()
+            out[i, [0, 4]] = len(words), _repeated(words, _windows(np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)))
+            continue
+        held.append(i)
+        size += len(text)
+        if size > GROUP:
+            out[held, 0], out[held, 4] = _words([texts[k] for k in held])
+            held, size = [], 0
+    if held:
+        out[held, 0], out[held, 4] = _words([texts[k] for k in held])
+    return out
+
+
+def _repeated_lines(text: bytes) -> int:
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return (
-        len(words),
-        characters,
-        sum(text.count(c) for c in MARKS),
-        len(lines) - len(set(lines)),
-        repeated_words(words),
-    )
+    return len(lines) - len(set(lines))
 
 
-def repeated_words(words: list[bytes], size: int = 5) -> int:
-    """Words inside windows of `size` words that occur twice or more, the first occurrence included."""
-    n = len(words) - size + 1
-    if n < 2:
-        return 0
-    numbers: dict[bytes, int] = {}
-    ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-    base, windows = len(numbers), ids[:n]
-    most = base
-    for k in range(1, size):
-        if most * base >= 1 << 62:
-            values, windows = np.unique(windows, return_inverse=True)
-            most = len(values)
-        windows, most = windows * base + ids[k : k + n], most * base
-    ordered = np.sort(windows)
-    again = ordered[1:][ordered[1:] == ordered[:-1]]
-    if not len(again):
+def _windows(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the windows of WINDOW words from the words' hashes: same words, same hash."""
+    n = max(len(hashes) - WINDOW + 1, 0)
+    out = hashes[:n].copy()
+    for k in range(1, WINDOW):
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+        out += hashes[k : k + n]
+    return out
+
+
+def _again(hashes: np.ndarray) -> np.ndarray:
+    """Where hashes stand that occur twice or more."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    same = np.flatnonzero(ordered[1:] == ordered[:-1])
+    found = np.zeros(len(hashes), bool)
+    found[order[same]] = found[order[same + 1]] = True
+    return np.flatnonzero(found)
+
+
+def _repeated(words: list[bytes], hashes: np.ndarray) -> int:
+    """Words inside windows that occur twice or more, the first occurrence included; `hashes` are those of the windows.
+
+    Whether windows of the same hash have the same words is looked up.
+    """
+    at = _again(hashes)
+    if not len(at):
         return 0
+    found = [tuple(words[i : i + WINDOW]) for i in at.tolist()]
+    times = Counter(found)
+    at = at[np.fromiter((times[w] > 1 for w in found), bool, len(found))]
     hit = np.zeros(len(words) + 1, np.int64)
-    at = np.flatnonzero(np.isin(windows, again))
     np.add.at(hit, at, 1)
-    np.add.at(hit, at + size, -1)
+    np.add.at(hit, at + WINDOW, -1)
     return int(np.count_nonzero(np.cumsum(hit)))
 
 
+def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Words and repeated words of texts, none empty. Only texts with two windows of the same hash are split into words."""
+    codes = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    space = (codes == 32) | (codes - np.uint8(9) < 5)
+    cuts = np.flatnonzero(space[1:] != space[:-1]) + 1
+    cuts = cuts if space[0] else np.concatenate(([0], cuts))
+    start, end = cuts[::2], cuts[1::2]
+    number = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, "right")
+    n = np.bincount(number, minlength=len(texts))
+    # A word's hash is a polynomial of its bytes.
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * POWERS[0][: len(codes)], out=sums[1:])
+    hashes = _windows((sums[end] - sums[start]) * POWERS[1][start])
+    # Windows that begin and end in the same text; the lowest bits of a hash give way to the text's number.
+    own = np.flatnonzero(number[WINDOW - 1 :] == number[: len(hashes)])
+    of_text = number[own].astype(np.uint64)
+    low = np.uint64((1 << len(texts).bit_length()) - 1)
+    hashes = hashes[own] & ~low | of_text
+    ordered = np.sort(hashes)
+    again = ordered[1:][ordered[1:] == ordered[:-1]] & low
+    repeated, bounds = np.zeros(len(texts), np.int64), np.searchsorted(of_text, np.arange(len(texts) + 1, dtype=np.uint64))
+    for i in np.flatnonzero(np.bincount(again.astype(np.int64))).tolist():
+        repeated[i] = _repeated(texts[i].split(), hashes[bounds[i] : bounds[i + 1]])
+    return n, repeated
+
+
 STATISTICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -278,10 +348,13 @@ def _scored(model):
             for packed, docs in _pieces(texts, batch.column(2).to_pylist()) if tables else ():
                 packed.sort()
                 place = packed & ((1 << DOC_BITS) - 1)
-                found = np.bincount(place, tables.log_probability(packed >> DOC_BITS), len(docs))
+                packed >>= DOC_BITS
+                starts = np.flatnonzero(np.concatenate(([True], packed[1:] != packed[:-1])))
+                values = np.repeat(tables.log_probability(packed[starts]), np.diff(np.append(starts, len(packed))))
+                found = np.bincount(place, values, len(docs))
                 np.add.at(logp, docs, found)
                 np.add.at(size, docs, np.bincount(place, minlength=len(docs)))
-            stats = np.array([word_statistics(t) for t in texts], np.int64).reshape(-1, 5)
+            stats = statistics(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(stats[:, i]) for i in range(5)), batch.column(2), pa.array(size), pa.array(logp)],
                 ["id", *(x.split()[0] for x in STATISTICS.split(", ")), "lang", "size", "logp"],

@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -31,6 +32,7 @@ ROWS = 500
 
 _folders: dict[str, str] = {}
 _shipped: set[str] = set()
+_kept: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -74,7 +76,15 @@ def keep(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    _kept[kept] = path
+    return kept
+
+
+def discard(kept: DataFrame) -> None:
+    """Removes what `keep` wrote for this very table, once nothing reads it any more."""
+    path = kept.sparkSession._jvm.org.apache.hadoop.fs.Path(_kept.pop(kept))
+    path.getFileSystem(kept.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextlib.contextmanager

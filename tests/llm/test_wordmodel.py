@@ -131,3 +131,47 @@ def test_shuffles_of_a_step_are_freed(spark):
         assert spark.conf.get(name) == "true"
         1 / 0  # noqa: B018
     assert spark.conf.get(name, None) == old
+
+
+def test_a_bucket_gives_a_row_per_lot_of_documents_not_per_document():
+    import pyarrow as pa
+
+    texts = [f"a{i} b{i} c{i % 7} d e{i % 3} f g" for i in range(250)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (range(250), texts, [0] * 250)], ["doc", "text", "lang"])
+    dealt = [r for b in wordmodel._dealt(6, {}, 1, 0, True)(iter([batch])) for r in b.to_pylist()]
+    of_lang = {0: {(k, h): 1.0 for k in "tuq" for h in (0, 1)} | {("d", h, k): 0.5 for h in (0, 1) for k in (1, 2, 3)}}
+    run = wordmodel._scored({}, of_lang, type("Sent", (), {"value": wordmodel.NO_WORDS}))
+    got = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.binary())})
+    made = [run(pa.Table.from_pylist([r]), got) for r in dealt]
+    assert sum(t.num_rows for t in made) == 7  # six buckets and the lot's documents; a row per document and bucket before
+    out = wordmodel._summed_up(pa.concat_tables(made)).to_pylist()
+    assert [(r["doc"], r["n"]) for r in out] == [(i, 7) for i in range(250)]
+
+
+def test_numbered_words_make_blocks_smaller_and_change_nothing(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(13)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.8)) % 3000}" for _ in range(40)) for _ in range(100)]
+    docs = spark.createDataFrame(list(zip(range(100), texts, [1] * 100, strict=True)), "doc long, text string, lang long").repartition(2)
+    whole = {r.doc: r[1] for r in wordmodel.log_perplexities(docs, bucket=1000).collect()}
+    monkeypatch.setattr(wordmodel, "DICTIONARY", 20)
+    assert {r.doc: r[1] for r in wordmodel.log_perplexities(docs, bucket=1000).collect()} == pytest.approx(whole, abs=2e-6)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (range(100), texts, [1] * 100)], ["doc", "text", "lang"])
+    named = pa.Table.from_batches(list(wordmodel._frequent(iter([batch])))).to_pydict()
+    assert named["n"][0] == 4000 and sum(named["n"][1:]) == 4000
+    sent = type("Sent", (), {"value": wordmodel.Dictionary([b for b in named["b"] if b >= 0])})
+    size = [sum(len(b.column(1)[0].as_py()) for b in wordmodel._dealt(6, {}, 1, 0, True, d)(iter([batch]))) for d in (None, sent)]
+    assert size[1] < 0.8 * size[0]
+
+
+def test_discarded_tables_leave_no_files(spark):
+    import os
+
+    from headway.llm import shared
+
+    kept = shared.keep(spark.range(5))
+    path = shared._kept[kept]
+    assert kept.count() == 5
+    shared.discard(kept)
+    assert not os.path.exists(path)
