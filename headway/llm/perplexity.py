@@ -254,7 +254,7 @@ def statistics(texts: list[bytes | None]) -> np.ndarray:
         out[i, 1:4] = len(text.translate(None, NO_CHARACTER)), len(text) - len(text.translate(None, MARKS)), _repeated_lines(text)
         if len(text) > GROUP:
             words = text.split()
-            out[i, [0, 4]] = len(words), _repeated(words, _windows(np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)))
+            out[i, [0, 4]] = len(words), repeated_words(words)
             continue
         held.append(i)
         size += len(text)
@@ -308,6 +308,10 @@ def _repeated(words: list[bytes], hashes: np.ndarray) -> int:
     return int(np.count_nonzero(np.cumsum(hit)))
 
 
+def repeated_words(words: list[bytes]) -> int:
+    return _repeated(words, _windows(np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)))
+
+
 def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Words and repeated words of texts, none empty. Only texts with two windows of the same hash are split into words."""
     codes = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
